@@ -89,11 +89,20 @@ class Words:
         self.ends = np.flatnonzero(inside & ~after) + 1
         self.first = np.searchsorted(self.starts, offs)
         if len(self.starts):
-            up, down = _bytes_powers.upto(len(data))
-            self.hashes = mix(np.add.reduceat(values[data] * up, self.starts) * down[self.starts])
+            up, self._down = _bytes_powers.upto(len(data))
+            self._sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(values[data] * up, out=self._sums[1:])
+            self.hashes = self.prefix(len(data))
         else:
             self.hashes = np.zeros(0, np.uint64)
 
+    def prefix(self, k: int) -> np.ndarray:
+        """Hash of the first k bytes of each word."""
+        if not len(self.starts):
+            return np.zeros(0, np.uint64)
+        ends = np.minimum(self.ends, self.starts + k)
+        return mix((self._sums[ends] - self._sums[self.starts]) * self._down[self.starts])
+
     def grams(self, k: int) -> np.ndarray:
         """Hash of the k words from each word on; those that leave their text mean nothing."""
         n = len(self.hashes)

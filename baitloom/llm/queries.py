@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, secrets
+from . import decontaminate, html_text, secrets, shard, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +24,33 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages, keep=["page_id"])
+
+
+def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard.shard(table(spark, sf_dir, "documents"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op4_decontaminate": op4_decontaminate,
+    "op5_url_filter": op5_url_filter,
+    "op6_shard": op6_shard,
+    "op7_html_text": op7_html_text,
+    "op8_toxicity": op8_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op2_secrets": secrets.ORACLE,
