@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SHARDS, TOGETHER, CELLS, FEW = 8, 0.01, 2048, 4000
+SHARDS, TOGETHER, CELLS, FEW = 8, 0.04, 2048, 4000
 DIMENSIONS = ("d0", "d1", "d2", "d3")
 
 
