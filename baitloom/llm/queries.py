@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, pieces, secrets, shard, toxicity, url_filter
+from . import decontaminate, html_text, jaccard, pieces, secrets, shard, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_shard": op6_shard,
     "op7_html_text": op7_html_text,
     "op8_toxicity": op8_toxicity,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_pieces": op10_pieces,
 }
 ORACLES: dict[str, str] = {

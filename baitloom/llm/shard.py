@@ -20,31 +20,17 @@ ignored.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._store import saved
+
 SHARDS, TOGETHER, CELLS, FEW = 8, 0.04, 2048, 4000
 DIMENSIONS = ("d0", "d1", "d2", "d3")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the whole cluster shares."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
-    return f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
-def saved(frame: DataFrame, name: str) -> DataFrame:
-    """The frame, written to the shared folder and read back, so that its rows and ids stay."""
-    to = scratch(frame.sparkSession, name)
-    frame.write.parquet(to)
-    return frame.sparkSession.read.schema(frame.schema).parquet(to)
-
-
 def _place_of(text: str) -> Column:
     """A string as a number that sorts alike, by its first six bytes."""
     padded = F.rpad(F.hex(F.substring(F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8"), 1, 6)), 12, "0")
