@@ -290,7 +290,6 @@ def _named(k: int):
 
 
 def keep_one(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows whose doc_id is their component's least; rows without shingles or id all stay."""
-    classes = jaccard_classes(docs, k=k, percent=percent).where("doc_id = component_id").select("doc_id").distinct()
-    known = docs.where("doc_id IS NOT NULL").join(classes, "doc_id", "left_semi").select(*docs.columns)
-    return known.unionByName(docs.where("doc_id IS NULL"))
+    """The rows whose doc_id is their component's least; rows without shingles or id all stay, and rows of one id stay or go together."""
+    gone = saved(jaccard_classes(docs, k=k, percent=percent).where("doc_id != component_id").select("doc_id").distinct(), "jaccard-gone")
+    return docs.join(sized(gone, gone.count(), MOST_BROADCAST), "doc_id", "left_anti").select(*docs.columns)
