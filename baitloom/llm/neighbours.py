@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ._store import saved
 
 NEIGHBOURS, REVERSE, BLOCK, ORDERS, DESCENTS = 24, 24, 512, 4, 4
-POOL, EXPAND, ROUNDS, EXACT = 320, 48, 9, 64
+POOL, EXPAND, ROUNDS, EXACT = 448, 64, 10, 64
 _LISTS = "node long, ids binary, scores binary, fresh binary"
 
 
