@@ -1,0 +1,5 @@
+"""File formats."""
+
+from .files import read_alignments, read_capture, read_clusters, read_fasta, read_gfa_links, write_capture, write_fasta, write_report_tsv, write_stats_csv
+
+__all__ = ["read_alignments", "read_capture", "read_clusters", "read_fasta", "read_gfa_links", "write_capture", "write_fasta", "write_report_tsv", "write_stats_csv"]
