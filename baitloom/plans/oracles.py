@@ -71,7 +71,7 @@ _PARTS = {
     "cho": "SELECT head, id, rank FROM (SELECT *, count(*) OVER (PARTITION BY head) AS m FROM (SELECT head, ch.id, rank FROM (SELECT *, max(rank) OVER (PARTITION BY head) AS last FROM ch) ch LEFT JOIN od ON od.from_id = ch.id WHERE NOT (rank = last AND coalesce(od.c, 0) = 1))) WHERE m > 1",
     "ps": "SELECT probe_id, '+' AS strand, seq FROM panel UNION ALL SELECT probe_id, '-', reverse(translate(seq, 'ACGTRYacgtry', 'TGCAYRtgcayr')) FROM panel",
     "pw": "SELECT * FROM (SELECT probe_id, strand, i AS p, substr(seq, i + 1, 13) AS w FROM (SELECT *, unnest(range(0, length(seq) - 12)) AS i FROM ps)) WHERE length(translate(w, 'ACGT', '')) = 0",
-    "tw": "SELECT * FROM (SELECT target_id, i AS t, array_to_string(c[i + 1 : i + 13], '') AS w FROM (SELECT target_id, string_split(seq, '') AS c, unnest(range(0, length(seq) - 12)) AS i FROM k)) WHERE w IN (SELECT w FROM pw)",
+    "tw": "SELECT * FROM (SELECT target_id, i AS t, substr(seq, i + 1, 13) AS w FROM (SELECT target_id, seq, unnest(range(0, length(seq) - 12)) AS i FROM k)) WHERE w IN (SELECT w FROM pw)",
     "dg": "SELECT DISTINCT probe_id, strand, target_id, t - p AS diag FROM tw JOIN pw USING (w)",
     "xs": "SELECT dg.*, unnest(range(0, length(ps.seq))) AS x, unnest(string_split(ps.seq, '')) AS pb FROM dg JOIN ps USING (probe_id, strand)",
     "xm": "SELECT xs.*, CASE WHEN pb IN ('A', 'C', 'G', 'T') AND pb = base THEN 1 ELSE -2 END AS v, CASE WHEN pb IN ('A', 'C', 'G', 'T') AND pb = base THEN 1 ELSE 0 END AS eq FROM xs LEFT JOIN letters l ON l.target_id = xs.target_id AND l.p = diag + x",
