@@ -25,6 +25,7 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
     out = spark.read.schema(frame.schema).parquet(to)
     del frame
     gc.collect()
+    spark.sparkContext._jvm.System.gc()  # Spark drops the shuffle files of frames that are gone
     return out
 
 

@@ -11,8 +11,8 @@ Prefix postings of the first order meet in Spark, by token. Each token's classes
 are paired with the token's leader first, the class with the fewest rare tokens;
 links found there join most of a group of near copies without pairing them
 all. What still holds different components under one token is paired in full.
-Pairs must share a prefix token under each further order too, and are then
-verified on whole sets. The result is exact: a pair is left out only if its
+Of a pair, bitmaps of both sets must allow the overlap, and the sets must share a
+prefix token under each further order too; then whole sets are compared. The result is exact: a pair is left out only if its
 members are known to be connected, differ too much in size, or share no prefix
 token.
 
@@ -37,7 +37,7 @@ from ._flat import Words, byte_values, flat, mix, slices
 from ._store import components, saved, sized
 
 SHINGLE, PERCENT, ORDERS = 5, 80, 3
-MOST_HEAVY, MOST_BROADCAST, IN_BUCKET, IN_TASK = 2_000_000, 1_000_000, 1_000_000, 2_000
+HEAVY, MOST_HEAVY, MOST_BROADCAST, IN_BUCKET, IN_TASK = 16, 2_000_000, 1_000_000, 1_000_000, 2_000
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[0x20] = False
 _IS_WORD[0x09:0x0E] = False
@@ -68,6 +68,21 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def sign(tokens: np.ndarray) -> bytes:
+    """A bitmap of the cells that a set's tokens fall in, 4 to 8 cells a token."""
+    cells = 1 << max(6, int(4 * len(tokens) - 1).bit_length())
+    bits = np.zeros(cells, bool)
+    bits[(mix(tokens) & np.uint64(cells - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_common(a: bytes, n_a: int, b: bytes, n_b: int) -> int:
+    """At most so many tokens are in both sets: shared cells, and what may stand twice in one."""
+    size = min(len(a), len(b))
+    x, y = (int.from_bytes(np.bitwise_or.reduce(np.frombuffer(s, np.uint8).reshape(-1, size), axis=0).tobytes() if len(s) > size else s, "little") for s in (a, b))
+    return (x & y).bit_count() + min(n_a - x.bit_count(), n_b - y.bit_count())
+
+
 class Orders:
     """Token orders: heavy tokens last, by rising count, then a seeded hash."""
 
@@ -94,14 +109,15 @@ class Orders:
 
 
 def _sets(k: int):
-    """(doc_id, text) to (doc_id, n, node, tokens, counts); the last two once a batch: tokens that many of its documents hold."""
+    """(doc_id, text) to (doc_id, n, node, sign, tokens, counts); the last two once a batch: tokens that several of its documents hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, nodes, seen, held, filled = [], [], [], [], 0
+            n, nodes, signs, seen, held, filled = [], [], [], [], [], 0
             for tokens in shingle_sets(batch.column(1), k):
                 n.append(len(tokens))
                 nodes.append(node_of(tokens) if len(tokens) else None)
+                signs.append(sign(tokens) if len(tokens) else None)
                 seen.append(tokens)
                 filled += len(tokens)
                 if filled > 4_000_000:
@@ -111,19 +127,19 @@ def _sets(k: int):
             tokens, counts = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
             rest = [None] * (len(n) - 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int32()), pa.array(nodes, pa.int64()), pa.array(([tokens.tobytes()] + rest)[: len(n)], pa.binary()), pa.array(([counts.tobytes()] + rest)[: len(n)], pa.binary())],
-                ["doc_id", "n", "node", "tokens", "counts"],
+                [batch.column(0), pa.array(n, pa.int32()), pa.array(nodes, pa.int64()), pa.array(signs, pa.binary()), pa.array(([tokens.tobytes()] + rest)[: len(n)], pa.binary()), pa.array(([counts.tobytes()] + rest)[: len(n)], pa.binary())],
+                ["doc_id", "n", "node", "sign", "tokens", "counts"],
             )
 
     return run
 
 
 def _often(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens that at least 4 and one in 1000 of these sets hold, and how many do."""
+    """Tokens that several of these sets hold, and how many do."""
     if not sets:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
-    often = counts >= max(4, len(sets) / 1000)
+    often = counts >= 2
     return tokens[often], counts[often]
 
 
@@ -134,10 +150,10 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(tokens, np.int64)), pa.array(np.frombuffer(counts, np.int64))], ["token", "count"])
 
 
-def _heavy(sets: DataFrame, documents: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens that come last: held by one document in 2000, and 50, as far as batches counted them. At most MOST_HEAVY."""
+def _heavy(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that come last: held by HEAVY documents, as far as batches saw them more than once. At most MOST_HEAVY, the most frequent."""
     counted = sets.where("tokens IS NOT NULL").select("tokens", "counts").mapInArrow(_spread, "token long, count long").groupBy("token").agg(F.sum("count").alias("count"))
-    top = counted.where(F.col("count") >= max(50, documents // 2000)).orderBy(F.desc("count"), "token").limit(MOST_HEAVY).toArrow()
+    top = counted.where(F.col("count") >= HEAVY).orderBy(F.desc("count"), "token").limit(MOST_HEAVY).toArrow()
     return top["token"].to_numpy().view(np.uint64), top["count"].to_numpy()
 
 
@@ -175,22 +191,28 @@ def _postings(k: int, orders, buckets: int):
     return run
 
 
-def _met(table: pa.Table) -> pa.Table:
-    """A bucket's postings of tokens that several classes hold: (token, node, n, leader)."""
-    join = lambda name, kind: np.frombuffer(b"".join(x.as_py() for x in table[name]), kind)
-    counts = join("counts", np.int32)
-    token, node = join("tokens", np.int64), np.repeat(join("nodes", np.int64), counts)
-    size, light = np.repeat(join("sizes", np.int32), counts), np.repeat(join("light", np.int32), counts)
-    by = np.lexsort((node, light, token))
-    token, node, size = token[by], node[by], size[by]
-    fresh = np.ones(len(token), bool)
-    fresh[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
-    token, node, size = token[fresh], node[fresh], size[fresh]
-    start = np.flatnonzero(np.diff(token, prepend=token[0] - 1 if len(token) else 0))
-    length = np.diff(np.append(start, len(token)))
-    leader = np.repeat(node[start], length)
-    shared = np.repeat(length > 1, length)
-    return pa.table({"token": token[shared], "node": node[shared], "n": size[shared], "leader": leader[shared], "leader_n": np.repeat(size[start], length)[shared]})
+def _met(orders):
+    """A bucket's postings of tokens that several classes hold: (token, heavy, node, n, light, leader, leader_n)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        join = lambda name, kind: np.frombuffer(b"".join(x.as_py() for x in table[name]), kind)
+        counts = join("counts", np.int32)
+        token, node = join("tokens", np.int64), np.repeat(join("nodes", np.int64), counts)
+        size, light = np.repeat(join("sizes", np.int32), counts), np.repeat(join("light", np.int32), counts)
+        by = np.lexsort((node, light, token))
+        token, node, size, light = token[by], node[by], size[by], light[by]
+        fresh = np.ones(len(token), bool)
+        fresh[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
+        token, node, size, light = token[fresh], node[fresh], size[fresh], light[fresh]
+        start = np.flatnonzero(np.diff(token, prepend=token[0] - 1 if len(token) else 0))
+        length = np.diff(np.append(start, len(token)))
+        shared = np.repeat(length > 1, length)
+        leader, leader_n = np.repeat(node[start], length), np.repeat(size[start], length)
+        heavy = orders.value.ranks(token.view(np.uint64), 0)[1]
+        columns = {"token": token, "heavy": heavy, "node": node, "n": size, "light": light, "leader": leader, "leader_n": leader_n}
+        return pa.table({k: v[shared] for k, v in columns.items()})
+
+    return run
 
 
 def _verify(k: int, percent: int, orders):
@@ -214,8 +236,36 @@ def _verify(k: int, percent: int, orders):
     return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame, run) -> DataFrame:
-    """Links among pairs (hub, member). A hub's members are cut into parts, each of which gets the hub's text."""
+def _possible(percent: int):
+    """Pairs (hub, member, n, sign, hub_n, hub_sign) whose bitmaps allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, n_a, b, n_b in zip(*(batch.column(i).to_pylist() for i in (3, 2, 5, 4)), strict=True):
+                common = most_common(a, n_a, b, n_b)
+                keep.append(100 * common >= percent * (n_a + n_b - common))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["hub", "member"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """(node, text) of the classes in these pairs. Ids that repeat, and rows without one, are told apart by the set itself."""
+    nodes = pairs.select(F.col("hub").alias("node")).unionByName(pairs.select(F.col("member").alias("node"))).distinct()
+    wanted = saved(classes.join(nodes, "node").select("node", F.col("least").alias("doc_id")), "jaccard-wanted")
+    texts = docs.join(sized(wanted.where("doc_id IS NOT NULL"), wanted.count(), MOST_BROADCAST), "doc_id").select("node", "text")
+    if not wanted.where("doc_id IS NULL").isEmpty():
+        texts = texts.unionByName(docs.where("doc_id IS NULL").select(F.lit(None).cast("long").alias("node"), "text"))
+    return texts.mapInArrow(_named(k), "node long, text string")
+
+
+def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, run, k: int, percent: int) -> DataFrame:
+    """Links among pairs (hub, member), by bitmaps first. A hub's members are cut into parts, each of which gets the hub's text."""
+    signs = classes.select("node", "n", "sign")
+    both = pairs.join(signs.toDF("member", "n", "sign"), "member").join(signs.toDF("hub", "hub_n", "hub_sign"), "hub")
+    pairs = saved(both.select("hub", "member", "n", "sign", "hub_n", "hub_sign").mapInArrow(_possible(percent), "hub long, member long"), "jaccard-possible")
+    texts = _texts(docs, classes, pairs, k)
     parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / IN_TASK).cast("int").alias("parts"))
     salted = pairs.join(parts, "hub").select("hub", "member", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("salt"))
     hubs = parts.select("hub", F.col("hub").alias("member"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
@@ -229,46 +279,39 @@ def jaccard_classes(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType
-    fields = [T.StructField("doc_id", kind), T.StructField("n", T.IntegerType()), T.StructField("node", T.LongType()), T.StructField("tokens", T.BinaryType()), T.StructField("counts", T.BinaryType())]
+    fields = [T.StructField("doc_id", kind), T.StructField("n", T.IntegerType()), T.StructField("node", T.LongType()), T.StructField("sign", T.BinaryType()), T.StructField("tokens", T.BinaryType()), T.StructField("counts", T.BinaryType())]
     sets = saved(docs.mapInArrow(_sets(k), T.StructType(fields)), "jaccard-sets")
-    whole = sets.agg(F.count("*"), F.sum("n")).first()
-    orders = spark.sparkContext.broadcast(Orders(*_heavy(sets, whole[0]), percent))
+    tokens = sets.agg(F.sum("n")).first()[0] or 0
+    orders = spark.sparkContext.broadcast(Orders(*_heavy(sets), percent))
 
     wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(wide, -(-(whole[1] or 0) * (100 - percent) // 100 // IN_BUCKET))
+    buckets = max(wide, -(-tokens * (100 - percent) // 100 // IN_BUCKET))
     postings = docs.where("text IS NOT NULL").select("text").mapInArrow(_postings(k, orders, buckets), "bucket int, nodes binary, sizes binary, light binary, counts binary, tokens binary")
-    met = saved(postings.groupBy("bucket").applyInArrow(_met, "token long, node long, n int, leader long, leader_n int"), "jaccard-met")
+    met = saved(postings.groupBy("bucket").applyInArrow(_met(orders), "token long, heavy boolean, node long, n int, light int, leader long, leader_n int"), "jaccard-met")
 
     like = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
-    classes = sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    nodes = met.select("node").distinct()
-    # one text of each class that has a candidate; ids that repeat are told apart by the set itself
-    wanted = saved(sets.select("doc_id", "node").join(nodes, "node").where("doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-wanted")
-    orphans = sets.where("doc_id IS NULL AND node IS NOT NULL").limit(1).count()
-    texts = docs.join(sized(wanted, wanted.count(), MOST_BROADCAST), "doc_id")
-    if orphans:
-        texts = texts.unionByName(docs.where("doc_id IS NULL").withColumn("node", F.lit(None).cast("long")))
-    texts = texts.select("node", "text").mapInArrow(_named(k), "node long, text string")
-    texts = saved(texts.dropDuplicates(["node"]) if orphans else texts.groupBy("node").agg(F.first("text").alias("text")), "jaccard-texts")
-
+    classes = saved(sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sign").alias("sign")), "jaccard-classes")
     run = _verify(k, percent, orders)
     stars = saved(met.where((F.col("node") != F.col("leader")) & like(F.col("n"), F.col("leader_n"))).select(F.col("leader").alias("hub"), F.col("node").alias("member")).distinct(), "jaccard-stars")
-    links = saved(_links(stars, texts, run), "jaccard-links")
+    links = saved(_links(stars, docs, classes, run, k, percent), "jaccard-links")
     labels = components(links)
 
-    # what is still apart under a token: all pairs of different components that were not tried
-    labelled = met.select("token", "node", "n").join(labels, "node", "left").select("token", "node", "n", F.coalesce("label", "node").alias("label"))
+    # What is still apart under a token: pairs of different components that were not tried.
+    # Whoever has a heavy token in its prefix has all its light ones there, so a pair that meets
+    # only under heavy tokens shares heavy ones at most.
+    labelled = met.select("token", "heavy", "node", "n", "light").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     apart = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("token")
     rest = saved(labelled.join(apart, "token"), "jaccard-rest")
     a, b = rest.alias("a"), rest.alias("b")
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & like(F.col("a.n"), F.col("b.n")))
+    enough = F.least(F.col("a.n") - F.col("a.light"), F.col("b.n") - F.col("b.light")) * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & like(F.col("a.n"), F.col("b.n")) & (~F.col("a.heavy") | enough))
     pairs = pairs.select(F.col("a.node").alias("hub"), F.col("b.node").alias("member")).distinct()
     tried = stars.select(F.least("hub", "member").alias("hub"), F.greatest("hub", "member").alias("member"))
-    more = saved(_links(saved(pairs.join(tried, ["hub", "member"], "left_anti"), "jaccard-pairs"), texts, run), "jaccard-links")
+    more = saved(_links(saved(pairs.join(tried, ["hub", "member"], "left_anti"), "jaccard-pairs"), docs, classes, run, k, percent), "jaccard-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
-    known = classes.join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
+    known = classes.select("node", "least").join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     least = known.groupBy("label").agg(F.min("least").alias("component_id"))
     found = known.join(least, "label").select("node", "component_id")
     out = sets.select("doc_id", "n", "node").join(found, "node", "left")
