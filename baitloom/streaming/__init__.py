@@ -1,0 +1 @@
+"""Nothing yet: all inputs of this kind of work are whole files."""
