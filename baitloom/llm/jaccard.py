@@ -5,7 +5,8 @@ equal sets form a class, and classes stand for them from then on. Two sets whose
 similarity reaches the threshold share a token among the first n - ceil(0.8 n) + 1
 of each, in any order of all tokens. Orders put tokens by rising frequency
 class (those that many documents hold come last) and by a seeded hash within it,
-so that common passages rarely stand in a prefix.
+so that common passages rarely stand in a prefix. In the first order prefixes are
+three tokens longer, so that pairs must share four.
 
 Prefix postings of the first order meet in Spark, by token. Each token's classes
 are paired with the token's leader first, the class with the fewest rare tokens;
@@ -36,7 +37,7 @@ from pyspark.sql import types as T
 from ._flat import Words, byte_values, flat, mix, slices
 from ._store import components, saved, sized
 
-SHINGLE, PERCENT, ORDERS = 5, 80, 3
+SHINGLE, PERCENT, ORDERS, SHARED = 5, 80, 3, 4
 HEAVY, MOST_HEAVY, MOST_BROADCAST, IN_BUCKET, IN_TASK = 16, 2_000_000, 1_000_000, 1_000_000, 2_000
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[0x20] = False
@@ -100,10 +101,10 @@ class Orders:
         late = np.uint64(1) << np.uint64(63) | (self.counts[at].astype(np.uint64) << np.uint64(31)) | (hashed >> np.uint64(33))
         return np.where(heavy, late, hashed >> np.uint64(1)), heavy
 
-    def prefix(self, tokens: np.ndarray, order: int) -> tuple[np.ndarray, int]:
+    def prefix(self, tokens: np.ndarray, order: int, more: int = 0) -> tuple[np.ndarray, int]:
         """The first tokens of a set in this order, and how many of the set's are not heavy."""
         ranks, heavy = self.ranks(tokens, order)
-        size = prefix_size(len(tokens), self.percent)
+        size = prefix_size(len(tokens), self.percent) + more
         first = np.argpartition(ranks, size - 1)[:size] if size < len(tokens) else np.arange(len(tokens))
         return tokens[first], int(len(tokens) - heavy.sum())
 
@@ -167,7 +168,7 @@ def _postings(k: int, orders, buckets: int):
             for tokens in shingle_sets(batch.column(0), k):
                 if len(tokens) and (x := node_of(tokens)) not in done:
                     done.add(x)
-                    prefix, rare = own.prefix(tokens, 0)
+                    prefix, rare = own.prefix(tokens, 0, SHARED - 1)
                     node.append(x)
                     size.append(len(tokens))
                     light.append(rare)
@@ -292,7 +293,10 @@ def jaccard_classes(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT
     like = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
     classes = saved(sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sign").alias("sign")), "jaccard-classes")
     run = _verify(k, percent, orders)
-    stars = saved(met.where((F.col("node") != F.col("leader")) & like(F.col("n"), F.col("leader_n"))).select(F.col("leader").alias("hub"), F.col("node").alias("member")).distinct(), "jaccard-stars")
+    # prefixes longer by SHARED - 1 tokens share SHARED at least, if the sets' overlap has as many
+    need = lambda a, b: F.least(F.lit(SHARED), F.ceil(F.greatest(a, b) * percent / 100).cast("int"))
+    both = [need(F.col("n"), F.col("leader_n")).alias("need")]
+    stars = saved(met.where((F.col("node") != F.col("leader")) & like(F.col("n"), F.col("leader_n"))).select(F.col("leader").alias("hub"), F.col("node").alias("member"), *both).groupBy("hub", "member").agg(F.count("*").alias("shared"), F.first("need").alias("need")).where("shared >= need").select("hub", "member"), "jaccard-stars")
     links = saved(_links(stars, docs, classes, run, k, percent), "jaccard-links")
     labels = components(links)
 
@@ -305,7 +309,11 @@ def jaccard_classes(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT
     a, b = rest.alias("a"), rest.alias("b")
     enough = F.least(F.col("a.n") - F.col("a.light"), F.col("b.n") - F.col("b.light")) * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
     pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & like(F.col("a.n"), F.col("b.n")) & (~F.col("a.heavy") | enough))
-    pairs = pairs.select(F.col("a.node").alias("hub"), F.col("b.node").alias("member")).distinct()
+    # All tokens that a pair shares are counted here, unless it shares heavy ones and is not `enough`.
+    whole = lambda x: F.col(f"{x}.light") >= F.least(F.col(f"{x}.n"), F.col(f"{x}.n") - F.ceil(F.col(f"{x}.n") * percent / 100) + SHARED)
+    least = F.when(enough | whole("a") | whole("b"), need(F.col("a.n"), F.col("b.n"))).otherwise(1)
+    pairs = pairs.select(F.col("a.node").alias("hub"), F.col("b.node").alias("member"), least.alias("need"))
+    pairs = pairs.groupBy("hub", "member").agg(F.count("*").alias("shared"), F.first("need").alias("need")).where("shared >= need").select("hub", "member")
     tried = stars.select(F.least("hub", "member").alias("hub"), F.greatest("hub", "member").alias("member"))
     more = saved(_links(saved(pairs.join(tried, ["hub", "member"], "left_anti"), "jaccard-pairs"), docs, classes, run, k, percent), "jaccard-links")
     if not more.isEmpty():
