@@ -38,7 +38,7 @@ from ._flat import Words, byte_values, flat, mix, slices
 from ._store import components, saved, sized
 
 SHINGLE, PERCENT, ORDERS, SHARED = 5, 80, 3, 4
-HEAVY, MOST_HEAVY, MOST_BROADCAST, IN_BUCKET, IN_TASK = 16, 2_000_000, 1_000_000, 1_000_000, 2_000
+HEAVY, MOST_HEAVY, MOST_BROADCAST, IN_BUCKET, IN_TASK = 16, 2_000_000, 1_000_000, 1_000_000, 256
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[0x20] = False
 _IS_WORD[0x09:0x0E] = False
