@@ -38,7 +38,7 @@ from ._flat import Words, byte_values, flat, mix, slices
 from ._store import components, saved, sized
 
 SHINGLE, PERCENT, ORDERS, SHARED = 5, 80, 3, 4
-HEAVY, MOST_HEAVY, MOST_BROADCAST, IN_BUCKET, IN_TASK = 16, 2_000_000, 1_000_000, 1_000_000, 256
+HEAVY, MOST_HEAVY, MOST_BROADCAST, IN_BUCKET, IN_TASK = 16, 2_000_000, 1_000_000, 300_000, 256
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[0x20] = False
 _IS_WORD[0x09:0x0E] = False
@@ -121,7 +121,7 @@ def _sets(k: int):
                 signs.append(sign(tokens) if len(tokens) else None)
                 seen.append(tokens)
                 filled += len(tokens)
-                if filled > 4_000_000:
+                if filled > 2_000_000:
                     held.append(_often(seen))
                     seen, filled = [], 0
             held.append(_often(seen))
