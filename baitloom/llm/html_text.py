@@ -3,8 +3,8 @@
 A page is read into a tree of block elements. Each paragraph passes points, for
 itself, its length and its commas, to its parent and in part to further
 ancestors; a container's points are discounted by its link density. The text is
-that of the best container and of siblings that score alike, without what is
-marked as menu, header, footer, sidebar, notice, advert, form, script, style or
+that of the best container and of the article around it, without what is dense
+in links or marked as menu, header, footer, sidebar, notice, advert, form, script, style or
 comment.
 
 A block's text has character references decoded and white space turned into
@@ -31,6 +31,8 @@ _RAW = frozenset("script style textarea title iframe noembed noframes xmp".split
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _DROPPED = frozenset("nav footer aside form script style textarea title iframe noembed noframes noscript template button select option optgroup head menu dialog object svg math canvas audio video search fieldset label legend input".split())
 _PARAGRAPHS = frozenset("p pre blockquote td li dd dt h1 h2 h3 h4 h5 h6 figcaption caption".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+_LINES = _HEADINGS | frozenset("p pre blockquote figcaption caption".split())
 _CLOSES_P = _BLOCK - frozenset(["html", "body", "option", "optgroup", "button", "label", "legend"])
 # Words of class names, ids and roles that mark what is not the article.
 _AWAY = re.compile(
@@ -223,23 +225,49 @@ def main_text(page: str | None) -> str:
     if not scored:
         return ""
     best = max(scored, key=lambda x: (x.score, -x.order))
-    chosen = [best]
-    if best.parent is not None and best.tag not in ("body", "html"):
-        for x in best.parent.children:
-            if x is best or x.away:
-                continue
-            dense = _link_density(x)
-            same = x.score >= 0.2 * best.score and x.score > 10 and x.tag not in _PARAGRAPHS
-            if same or (x.tag in ("p", "pre", "blockquote") and x.text_n > 80 and dense < 0.25):
-                chosen.append(x)
-    blocks = []
-    for top in chosen:
-        for x in _walk(top):
-            if not x.away:
-                blocks += x.blocks
+    blocks = [b for x in _walk(best) if not x.away for b in x.blocks]
+    for x in _around(best):
+        blocks += x
     return " ".join(t for _, t in sorted(blocks, key=lambda b: b[0]))
 
 
+def _readable(top: Node) -> list[tuple[int, str]]:
+    """Blocks below a node, without what is marked away or is a list, table or container of links."""
+    out, todo = [], [top]
+    while todo:
+        x = todo.pop()
+        if not x.away and (_link_density(x) < 0.5 or x.tag in _LINES):
+            out += x.blocks
+            todo += x.children
+    return out
+
+
+def _around(best: Node) -> Iterator[list[tuple[int, str]]]:
+    """Blocks that belong to the article beside the best container.
+
+    They are those of the article or main around it. Without one, they are those of
+    the nearest container that holds more, and headings beside what encloses that.
+    """
+    above = [best]
+    while above[-1].parent is not None:
+        above.append(above[-1].parent)
+    holder = next((x for tag in ("article", "main") for x in above if x.tag == tag), None)
+    x, met = best, False
+    while x is not holder and x.parent is not None and x.tag not in ("body", "html"):
+        found = [] if met else list(x.parent.blocks)
+        for y in x.parent.children:
+            if y is not x and (not met or y.tag in _HEADINGS):
+                found += _readable(y)
+        yield found
+        met = holder is None and (met or bool(found))
+        x = x.parent
+    if best.parent is not None and best is holder:
+        for y in best.parent.children:
+            same = y.score >= 0.2 * best.score and y.score > 10 and y.tag not in _PARAGRAPHS
+            if y is not best and not y.away and (same or (y.tag in ("p", "pre", "blockquote") and y.text_n > 80 and _link_density(y) < 0.25)):
+                yield [b for z in _walk(y) if not z.away for b in z.blocks]
+
+
 def extract_text(pages: DataFrame, *, keep: list[str] | None = None) -> DataFrame:
     """Adds text and n_chars to each page row; columns with these names are replaced."""
     keep = [c for c in (pages.columns if keep is None else keep) if c not in ("text", "n_chars")]

@@ -2,6 +2,7 @@
 
 import random
 
+from baitloom.llm import html_text
 from baitloom.operators import cluster as C
 
 
@@ -27,3 +28,14 @@ def test_reverse_copies_of_genomes_are_one(spark):
     seq = letters(random.Random(13), 900)
     back = seq[::-1].translate(str.maketrans("ACGT", "TGCA"))
     assert C.dereplicate_genomes(spark.createDataFrame([("a", seq), ("b", back)], "id string, seq string"), trigger=0).count() == 1
+
+
+def test_short_sections_and_headings_stay():
+    long = "".join(f"<p>{'Word, and more words, ' * 20}{i}.</p>" for i in range(6))
+    short = "<h2>Two</h2><p>Short one.</p><ul><li>Point.</li></ul><table><tr><td>Cell.</td></tr></table>"
+    links = "<ul><li><a href='/a'>Link away</a></li></ul>"
+    for a, z in (("<article>", "</article>"), ("<main>", "</main>"), ("<div>", "</div>")):
+        page = f"<html><body><nav>Menu</nav>{a}<h1>Title</h1><div class='body'><div class='sec'>{long}</div><div class='sec'>{short}</div>{links}</div><div class='comments'><p>Reply</p></div>{z}<footer>End</footer></body></html>"
+        got = html_text.main_text(page)
+        assert got.startswith("Title Word,") and got.endswith("Two Short one. Point. Cell.")
+        assert not any(x in got for x in ("Menu", "Link away", "Reply", "End"))
