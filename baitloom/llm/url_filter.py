@@ -6,8 +6,9 @@ context, smoothed with the next shorter one's down to the uniform. The verdict
 of other URLs is that of the log-likelihood difference per character, against
 a threshold calibrated where the two classes' error rates are least in sum.
 
-Counts cover every decided row of the table. They live in 2^`bits` hashed
-cells for each class, which bounds what is broadcast whatever the input.
+Counts cover every decided row of the table and are exact: a context or gram of
+up to six bytes is its own key. Up to 2^`bits` keys are broadcast. Beyond, they are
+joined to the distinct grams of the distinct URLs, which gives the same scores.
 
 A null URL, and one without "://", has an empty host and path and no rule; it
 scores 0. Without decided URLs of both classes every score is 0, the threshold
@@ -24,11 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._flat import flat, mix, slices
+from ._flat import flat, slices
+from ._store import saved
 
 # Host, path and verdict of the rules.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-ORDER, BITS, STRENGTH, CELLS = 5, 19, 3.0, 4096
+ORDER, BITS, STRENGTH, CELLS = 5, 21, 3.0, 4096
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -52,95 +54,131 @@ def apply_rules(rules: tuple[tuple[str, str, str], ...] = RULES) -> tuple[Column
     return name, verdict
 
 
-def _cells(data: np.ndarray, offs: np.ndarray, bits: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each order, each character's cell of context and of context with character."""
+def _grams(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Each character with the five before it, nine bits each, the nearest lowest; 0 is before the URL's start."""
     place = np.arange(len(data)) - np.repeat(offs[:-1], np.diff(offs))
-    contexts, grams = [], []
-    context = np.zeros(len(data), np.uint64)
+    out = (data.astype(np.int64) + 1) << (9 * ORDER)
+    for k in range(1, ORDER + 1):
+        before = np.zeros(len(data), np.int64)
+        before[k:] = data[:-k].astype(np.int64) + 1
+        before[place < k] = 0
+        out |= before << (9 * (k - 1))
+    return out
+
+
+def _keys(gram):
+    """(context, gram) keys of orders 0 to 5 of whole grams: of an array, or of a column's expression."""
     for k in range(ORDER + 1):
-        if k:
-            before = np.zeros(len(data), np.uint64)
-            before[k:] = data[:-k].astype(np.uint64) + np.uint64(1)
-            before[place < k] = 0  # before the URL's start
-            context = mix(context * np.uint64(0x9E3779B97F4A7C15) + before + np.uint64(k << 10))
-        gram = mix(context * np.uint64(0xD1342543DE82EF95) + data.astype(np.uint64) + np.uint64(7))
-        contexts.append((mix(context + np.uint64(1)) >> np.uint64(64 - bits)).astype(np.int64))
-        grams.append((gram >> np.uint64(64 - bits)).astype(np.int64))
-    return contexts, grams
+        context, char, top = (1 << 9 * k) - 1, 511 << 9 * ORDER, k << 9 * (ORDER + 1)
+        if isinstance(gram, Column):
+            yield gram.bitwiseAND(F.lit(context)) + F.lit(top), gram.bitwiseAND(F.lit(context | char)) + F.lit(top)
+        else:
+            yield (gram & context) + top, (gram & (context | char)) + top
 
 
-class Models:
-    """Counts of both classes by cell; class 0 rejected, 1 accepted."""
+class Counts:
+    """Counts of both classes by key, for sharing; class 0 rejected, 1 accepted."""
 
-    def __init__(self, counts: np.ndarray, bits: int):
-        self.counts, self.bits, self.threshold = counts.astype(np.float32), bits, 0.0
-        self.ready = bool(counts[0].any() and counts[1].any())
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.counts = keys[order], counts[:, order]
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.counts[:, at], 0)
 
     def scores(self, column: pa.Array) -> np.ndarray:
         """Log-likelihood difference per character, positive if accepted URLs are likelier."""
         data, offs = flat(column)
         out = np.zeros(len(offs) - 1)
-        for a, b in slices(offs) if self.ready else ():
+        for a, b in slices(offs):
             own = offs[a : b + 1] - offs[a]
-            contexts, grams = _cells(data[offs[a] : offs[b]], own, self.bits)
-            logs = []
-            for y in (0, 1):
-                p = np.full(len(contexts[0]), 1 / 256)
-                for context, gram in zip(contexts, grams, strict=True):
-                    c, g = self.counts[y][context], self.counts[y][gram]
-                    p = (np.minimum(g, c) + STRENGTH * p) / (c + STRENGTH)
-                logs.append(np.log(p))
-            sums = np.concatenate([[0], np.cumsum(logs[1] - logs[0])])
+            grams, which = np.unique(_grams(data[offs[a] : offs[b]], own), return_inverse=True)
+            p = np.full((2, len(grams)), 1 / 256)
+            for context, gram in _keys(grams):
+                p = (self.of(gram) + STRENGTH * p) / (self.of(context) + STRENGTH)
+            sums = np.concatenate([[0], np.cumsum((np.log(p[1]) - np.log(p[0]))[which])])
             out[a:b] = (sums[own[1:]] - sums[own[:-1]]) / np.maximum(1, np.diff(own))
         return out
 
 
-def train(decided: DataFrame, *, bits: int = BITS) -> Models:
-    """Models of the rows (target, label) of decided URLs, every one of them counted."""
+def count_keys(decided: DataFrame) -> DataFrame:
+    """(key, n0, n1): exact counts of contexts and grams over the rows (target, label), every one of them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << bits), np.int64)
         for batch in batches:
             labels = batch.column(1).to_numpy(zero_copy_only=False)
             data, offs = flat(batch.column(0))
             for a, b in slices(offs):
                 own = offs[a : b + 1] - offs[a]
-                label = np.repeat(labels[a:b], np.diff(own))
-                contexts, grams = _cells(data[offs[a] : offs[b]], own, bits)
-                for cells in (*contexts, *grams):
-                    for y in (0, 1):
-                        counts[y] += np.bincount(cells[label == y], minlength=1 << bits)
-        for y in (0, 1):
-            used = np.flatnonzero(counts[y])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), y, np.int32)), pa.array(used.astype(np.int32)), pa.array(counts[y][used])], ["label", "cell", "n"])
-
-    cells = decided.select("target", "label").mapInArrow(count, "label int, cell int, n long").groupBy("label", "cell").agg(F.sum("n").alias("n"))
-    got = cells.toArrow()  # at most 2^(bits + 1) rows
-    counts = np.zeros((2, 1 << bits), np.int64)
-    counts[got["label"].to_numpy(), got["cell"].to_numpy()] = got["n"].to_numpy()
-    models = Models(counts, bits)
-    if models.ready:
-        scored = _scored(decided, models, ["label"])
-        cell = F.least(F.greatest(F.floor((F.col("score") + 4) / 8 * CELLS), F.lit(0)), F.lit(CELLS - 1)).cast("int")
-        table = np.zeros((2, CELLS))
-        for r in scored.groupBy("label", cell.alias("cell")).count().collect():  # at most 2 * CELLS rows
-            table[r["label"], r["cell"]] = r["count"]
-        share = table / table.sum(1, keepdims=True)
-        wrong = np.concatenate([[0], np.cumsum(share[1])]) + 1 - np.concatenate([[0], np.cumsum(share[0])])
-        best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
-        models.threshold = float((best[0] + best[-1]) / 2 / CELLS * 8 - 4)
-    return models
-
-
-def _scored(urls: DataFrame, models: Models, keep: list[str]) -> DataFrame:
-    shared = urls.sparkSession.sparkContext.broadcast(models)
+                grams, label = _grams(data[offs[a] : offs[b]], own), np.repeat(labels[a:b], np.diff(own))
+                for y in (0, 1):
+                    distinct, n = np.unique(grams[label == y], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(np.where(y == 0, n, 0)), pa.array(np.where(y == 1, n, 0))], ["gram", "n0", "n1"])
+
+    add = [F.sum("n0").alias("n0"), F.sum("n1").alias("n1")]
+    grams = decided.select("target", "label").mapInArrow(count, "gram long, n0 long, n1 long").groupBy("gram").agg(*add)
+    # a context and its gram of one order differ in the highest letter, which no context has
+    return grams.select(F.explode(F.array(*[x for pair in _keys(F.col("gram")) for x in pair])).alias("key"), "n0", "n1").groupBy("key").agg(*add)
+
+
+def _joined_scores(targets: DataFrame, counts: DataFrame) -> DataFrame:
+    """(target, score) of distinct targets, by joins of their grams with the counts."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offs = flat(batch.column(0))
+            for a, b in slices(offs):
+                own = offs[a : b + 1] - offs[a]
+                which = np.repeat(np.arange(a, b), np.diff(own))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(which)), pa.array(_grams(data[offs[a] : offs[b]], own))], ["target", "gram"])
+
+    parts = saved(targets.mapInArrow(cut, "target string, gram long").groupBy("target", "gram").agg(F.count("*").alias("n")), "url-grams")
+    wanted = [F.struct(F.lit(2 * k + j).alias("i"), x.alias("key")) for k, pair in enumerate(_keys(F.col("gram"))) for j, x in enumerate(pair)]
+    rows = parts.select("gram").distinct().select("gram", F.explode(F.array(*wanted)).alias("w")).select("gram", "w.i", "w.key")
+    n = [F.max(F.when(F.col("i") == i, F.coalesce(f"n{y}", F.lit(0)))).alias(f"c{y}_{i}") for i in range(2 * ORDER + 2) for y in (0, 1)]
+    wide = rows.join(counts, "key", "left").groupBy("gram").agg(*n)
+    logs = []
+    for y in (0, 1):
+        p = F.lit(1 / 256)
+        for k in range(ORDER + 1):
+            p = (F.col(f"c{y}_{2 * k + 1}") + F.lit(STRENGTH) * p) / (F.col(f"c{y}_{2 * k}") + F.lit(STRENGTH))
+        logs.append(F.log(p))
+    differences = wide.select("gram", (logs[1] - logs[0]).alias("d"))
+    return parts.join(differences, "gram").groupBy("target").agg((F.sum(F.col("d") * F.col("n")) / F.sum("n")).alias("score"))
+
+
+def scored(urls: DataFrame, decided: DataFrame, *, bits: int = BITS) -> tuple[DataFrame, bool]:
+    """The rows of urls with the score of their target, under models of the rows (target, label) of decided, and whether there are models."""
+    counts = saved(count_keys(decided), "url-counts")
+    total = counts.agg(F.count("*").alias("keys"), F.min_by("n0", "key").alias("n0"), F.min_by("n1", "key").alias("n1")).first()  # the empty context has the least key
+    if not (total["n0"] and total["n1"]):
+        return urls.withColumn("score", F.lit(0.0)), False
+    if total["keys"] > 1 << bits:
+        found = saved(_joined_scores(urls.select("target").distinct(), counts), "url-scores")
+        return urls.join(found, "target", "left").withColumn("score", F.coalesce("score", F.lit(0.0))), True
+    got = counts.toArrow()  # at most 2^bits rows
+    shared = urls.sparkSession.sparkContext.broadcast(Counts(got["key"].to_numpy(), np.stack([got["n0"].to_numpy(), got["n1"].to_numpy()])))
+    keep = [c for c in urls.columns if c != "target"]
     read = urls.select("target", *keep)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(shared.value.scores(batch.column(0)))], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.scores(batch.column(0)))], ["target", *keep, "score"])
+
+    return read.mapInArrow(score, T.StructType([*read.schema.fields, T.StructField("score", T.DoubleType())])), True
+
 
-    return read.mapInArrow(score, T.StructType([*read.schema.fields[1:], T.StructField("score", T.DoubleType())]))
+def best_threshold(scores: DataFrame) -> float:
+    """Where the error rates of the classes of (label, score) are least in sum."""
+    cell = F.least(F.greatest(F.floor((F.col("score") + 4) / 8 * CELLS), F.lit(0)), F.lit(CELLS - 1)).cast("int")
+    table = np.zeros((2, CELLS))
+    for r in scores.groupBy("label", cell.alias("cell")).count().collect():  # at most 2 * CELLS rows
+        table[r["label"], r["cell"]] = r["count"]
+    share = table / table.sum(1, keepdims=True)
+    wrong = np.concatenate([[0], np.cumsum(share[1])]) + 1 - np.concatenate([[0], np.cumsum(share[0])])
+    best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
+    return float((best[0] + best[-1]) / 2 / CELLS * 8 - 4)
 
 
 def filter_urls(pages: DataFrame, *, rules: tuple[tuple[str, str, str], ...] = RULES, keep: list[str] | None = None, bits: int = BITS) -> DataFrame:
@@ -154,7 +192,9 @@ def filter_urls(pages: DataFrame, *, rules: tuple[tuple[str, str, str], ...] = R
         .withColumns({"rule": name, "__verdict": verdict, "target": F.concat("host", "path", F.when(F.col("__url").isNotNull(), F.lit("\n")).otherwise(F.lit("")))})
     )
     judged = judged.withColumn("target", F.when(F.col("host") == "", F.lit("")).otherwise(F.col("target")))
-    models = train(judged.where(F.col("__verdict").isNotNull()).select("target", (F.col("__verdict") == "allow").cast("int").alias("label")), bits=bits)
-    scored = _scored(judged, models, [*keep, "host", "path", "rule", "__verdict"])
-    method = F.when(F.col("score") >= models.threshold, F.lit("allow")).otherwise(F.lit("block"))
-    return scored.select(*keep, "host", "path", "rule", F.coalesce("__verdict", method).alias("verdict"), "score")
+    label = (F.col("__verdict") == "allow").cast("int").alias("label")
+    decided = judged.where(F.col("__verdict").isNotNull()).select("target", label)
+    found, ready = scored(judged, decided, bits=bits)
+    threshold = best_threshold(found.where(F.col("__verdict").isNotNull()).select(label, "score")) if ready else 0.0
+    method = F.when(F.col("score") >= threshold, F.lit("allow")).otherwise(F.lit("block"))
+    return found.select(*keep, "host", "path", "rule", F.coalesce("__verdict", method).alias("verdict"), "score")

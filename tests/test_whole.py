@@ -1,8 +1,12 @@
 """The whole job, where less was done before."""
 
+import math
 import random
+from collections import Counter
 
-from baitloom.llm import html_text
+import pytest
+
+from baitloom.llm import html_text, url_filter
 from baitloom.operators import cluster as C
 
 
@@ -39,3 +43,27 @@ def test_short_sections_and_headings_stay():
         got = html_text.main_text(page)
         assert got.startswith("Title Word,") and got.endswith("Two Short one. Point. Cell.")
         assert not any(x in got for x in ("Menu", "Link away", "Reply", "End"))
+
+
+@pytest.mark.parametrize("bits", [21, 8])
+def test_url_scores_are_of_exact_counts(spark, bits):
+    rng = random.Random(14)
+    hosts = ("a.net", "www.example.net", "example.com", "x.org", "other.info", "é.dev")
+    rows = [(i, f"http://{rng.choice(hosts)}/{rng.choice(('en', 'de', 'fr'))}/{rng.randrange(10**6)}") for i in range(80)] + [(80, None), (81, "nothing")]
+    got = url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), bits=bits).collect()
+    text = lambda r: list(f"{r.host}{r.path}\n".encode()) if r.host else []
+    counts = {"allow": Counter(), "block": Counter()}
+    grams = lambda u: [[(tuple(([-1] * 5 + u)[i + 5 - k : i + 5]), u[i]) for k in range(6)] for i in range(len(u))]
+    for r in got:
+        for char in grams(text(r)) if r.rule else ():
+            for context, letter in char:
+                counts[r.verdict].update([(context,), (context, letter)])
+    for r in got:
+        want = 0.0
+        for char in grams(text(r)):
+            p = {"allow": 1 / 256, "block": 1 / 256}
+            for context, letter in char:
+                p = {y: (counts[y][context, letter] + 3 * p[y]) / (counts[y][context,] + 3) for y in p}
+            want += math.log(p["allow"] / p["block"]) / len(text(r))
+        assert abs(r.score - want) < 1e-6
+    assert len(got) == len(rows)
