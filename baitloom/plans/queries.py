@@ -345,10 +345,10 @@ def g9_evaluate(spark, d):
 
 @query
 def g2_cluster_sequences(spark, d):
-    """Tiles of all kept genomes, clustered at panel identity."""
+    """All k-mers of all kept genomes, clustered at panel identity."""
     from ..operators.cluster import cluster_kmers
 
-    support = P.kmer_support(P.enum_kmers(T.kept(spark, d), k=120, step=120))
+    support = P.kmer_support(P.enum_kmers(T.kept(spark, d), k=120))
     return cluster_kmers(support, 0.85).select(F.md5("kmer").alias("kmer_md5"), "size")
 
 
@@ -369,25 +369,25 @@ def g4_collapse_shared_sequence(spark, d):
 def g5_fill_gaps(spark, d):
     from ..operators.design import fill_gaps
 
-    return fill_gaps(T.panel(spark, d), T.kept(spark, d), step=120, max_rounds=1)[0]
+    return fill_gaps(T.panel(spark, d), T.kept(spark, d))[0]
 
 
 @query
 def g6_design_incremental(spark, d):
     from ..operators.design import design_incremental
 
-    return design_incremental(T.kept(spark, d), 500, step=120, max_rounds=1)[0]
+    return design_incremental(T.kept(spark, d), 500)[0]
 
 
 @query
 def g7_cluster_kmers_panel(spark, d):
     from ..operators.design import cluster_kmers_panel
 
-    return cluster_kmers_panel(T.kept(spark, d), step=120)[0]
+    return cluster_kmers_panel(T.kept(spark, d))[0]
 
 
 @query
 def g10_design(spark, d):
     from ..operators.design import design
 
-    return design(T.genomes(spark, d), step=120, max_rounds=1)[0]
+    return design(T.genomes(spark, d))[0]

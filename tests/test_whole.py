@@ -6,14 +6,27 @@ from collections import Counter
 
 import pytest
 
+from baitloom import catalog
 from baitloom.llm import html_text, url_filter
 from baitloom.operators import cluster as C
+from baitloom.operators import depth as D
+from baitloom.operators.design import capture
+from baitloom.plans import tables as T
 
 
 def letters(rng, n, of="ACGT"):
     return "".join(rng.choice(of) for _ in range(n))
 
 
+def test_gap_rounds_go_on(spark, tmp_path):
+    rng = random.Random(11)
+    spark.createDataFrame([(1, letters(rng, 420, "enta"), "s", "en")], "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, letters(rng, 120, "enta"))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = T.kept(spark, str(tmp_path))
+    panel = catalog.QUERIES["g5_fill_gaps"](spark, str(tmp_path))
+    assert kept.count() == 1 and D.low_coverage(capture(panel, kept), kept, 120, 0, 20).isEmpty()
+
+
 def test_pairs_with_any_common_seed_are_found(spark):
     rng = random.Random(12)
     rows, want = [], set()
