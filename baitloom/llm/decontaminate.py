@@ -3,8 +3,9 @@
 Words are runs of bytes outside 00-2F, 3A-60 and 7B-7F after A-Z are lowered.
 A window is 13 consecutive item words, or a whole shorter item. The least
 5-gram hash of each window is its fingerprint, so equal windows always share
-one. Document windows whose fingerprint a benchmark item has are extended to
-all their words; a document word inside any occurrence of a window is hit.
+one. Where a document and an item share a fingerprint, the hit is extended to both
+sides as far as words agree, letter for letter; if it is a window long, its words
+are hit. Items shorter than a window are looked up whole.
 
 The benchmark's index goes to the executors only while it has at most
 `broadcast_words` words. Beyond that, fingerprints of documents and items meet
@@ -13,8 +14,10 @@ in a Spark join, and only pairs that share one are compared.
 Null, empty and wordless texts give zero counts, an empty item list and
 contaminated = false. Repeated rows are judged each for itself, and a null
 doc_id stays null. Items with a null id or without words have no window; rows
-that repeat an item_id count as one item with the windows of all its rows.
-Other columns of either table are ignored.
+that repeat an item_id count as one item with the windows of all its rows. An
+empty table of documents gives no rows; without items nothing is hit. Texts are
+judged whole; memory follows the longest. Other columns stay as they are, whatever
+their names; those named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._flat import Words, byte_values, flat, slices, sliding_min
+from ._store import free_name
 
 WINDOW, GRAM = 13, 5
 _IS_WORD = np.ones(256, bool)
@@ -38,45 +42,79 @@ RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contamina
 
 
 class Index:
-    """Windows of benchmark items by length: sorted hashes, and the items of each."""
+    """Benchmark items by fingerprint: words, their hashes, and where each fingerprint stands; short items by their whole hash."""
 
     def __init__(self, ids: list[str], texts: list[str], window: int, gram: int):
-        self.window, self.gram = window, gram
+        self.window, self.gram, self.ids = window, gram, ids
         data, offs = flat(pa.array(texts, pa.string()))
         words = Words(data, offs, _VALUES)
-        found: dict[int, dict[int, set[str]]] = {}
-        prints: list[np.ndarray] = []
-        long, least = words.grams(window), fingerprints(words, window, gram)
-        for item, a, b in zip(ids, words.first[:-1], words.first[1:], strict=True):
-            if b - a >= window:
-                for h in long[a : b - window + 1]:
-                    found.setdefault(window, {}).setdefault(int(h), set()).add(item)
-                prints.append(least[a : b - window + 1])
-            elif b > a:
-                found.setdefault(int(b - a), {}).setdefault(int(words.span(a, b)), set()).add(item)
-        self.tables = {n: (np.array(sorted(t), np.uint64), [t[h] for h in sorted(t)]) for n, t in found.items()}
-        self.prints = np.unique(np.concatenate([*prints, np.zeros(0, np.uint64)]))
+        self.hashes, self.first, self.words = words.hashes, words.first, _spelled(data, words)(0, len(words.starts))
+        self.item = np.repeat(np.arange(len(ids)), np.diff(words.first))
+        at = selected(words, window, gram)
+        prints = words.grams(gram)[at] if len(at) else np.zeros(0, np.uint64)
+        by = np.argsort(prints, kind="stable")
+        self.places, self.prints = at[by], prints[by]
         self.bits = max(16, int(len(self.prints) * 16).bit_length())
         self.bitmap = np.zeros(1 << self.bits, bool)
         self.bitmap[self.prints >> np.uint64(64 - self.bits)] = True
-
-    def hits(self, words: Words) -> Iterator[tuple[int, int, set[str]]]:
-        """Each occurrence of a window: first word, word count, items."""
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for i, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)):
+            if 0 < b - a < window:
+                self.short.setdefault(b - a, {}).setdefault(int(words.span(a, b)), []).append(i)
+
+    def hits(self, data: np.ndarray, words: Words) -> Iterator[tuple[int, int, str]]:
+        """Maximal stretches of windows that an item has: first word, word count, item."""
+        spelled = _spelled(data, words)
+        at = selected(words, self.window, self.gram)
+        if len(at) and len(self.prints):
+            prints = words.grams(self.gram)[at]
+            near = np.flatnonzero(self.bitmap[prints >> np.uint64(64 - self.bits)])
+            low, high = np.searchsorted(self.prints, prints[near]), np.searchsorted(self.prints, prints[near], "right")
+            done: dict[tuple[int, int], int] = {}  # by item and distance: up to where a stretch was extended
+            for p, x, y in zip(at[near].tolist(), low.tolist(), high.tolist(), strict=True):
+                for q in self.places[x:y].tolist():
+                    line = (int(self.item[q]), p - q)
+                    if p >= done.get(line, 0):
+                        a, b = self._extended(words, p, q)
+                        done[line] = b
+                        yield from self._equal(spelled, a, b, q - p, self.ids[line[0]])
         text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
-        for n, (hashes, items) in self.tables.items():
+        for n, table in self.short.items():
             grams = words.grams(n)
-            whole = text[: len(grams)] == text[n - 1 :]
-            if n == self.window:
-                least = fingerprints(words, n, self.gram)
-                near = self.bitmap[least >> np.uint64(64 - self.bits)] & whole
-                at = np.flatnonzero(near)
-                at = at[np.isin(least[at], self.prints)]
-            else:
-                at = np.flatnonzero(whole)
-            if len(at):
-                found = np.minimum(np.searchsorted(hashes, grams[at]), len(hashes) - 1)
-                same = hashes[found] == grams[at]
-                yield from ((int(p), n, items[i]) for p, i in zip(at[same], found[same], strict=True))
+            keys = np.array(sorted(table), np.uint64)
+            found = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
+            for p in np.flatnonzero((keys[found] == grams) & (text[: len(grams)] == text[n - 1 :])).tolist():
+                for i in table[int(grams[p])]:
+                    if spelled(p, p + n) == self.words[int(self.first[i]) : int(self.first[i]) + n]:
+                        yield p, n, self.ids[i]
+
+    def _extended(self, words: Words, p: int, q: int) -> tuple[int, int]:
+        """The stretch around document word p on which words agree with those around item word q."""
+        t = int(np.searchsorted(words.first, p, "right")) - 1
+        i = int(self.item[q])
+        left = min(p - int(words.first[t]), q - int(self.first[i]))
+        right = min(int(words.first[t + 1]) - p, int(self.first[i + 1]) - q)
+        before = np.flatnonzero(words.hashes[p - left : p] != self.hashes[q - left : q])
+        after = np.flatnonzero(words.hashes[p : p + right] != self.hashes[q : q + right])
+        return p - left + (int(before[-1]) + 1 if len(before) else 0), p + (int(after[0]) if len(after) else right)
+
+    def _equal(self, spelled, a: int, b: int, shift: int, name: str) -> Iterator[tuple[int, int, str]]:
+        """Parts of a stretch, a window long at least, whose words are letter for letter the item's."""
+        if b - a >= self.window:
+            same = [x == y for x, y in zip(spelled(a, b), self.words[a + shift : b + shift], strict=True)]
+            start = 0
+            for i, good in enumerate([*same, False]):
+                if not good:
+                    if i - start >= self.window:
+                        yield a + start, i - start, name
+                    start = i + 1
+
+
+def _spelled(data: np.ndarray, words: Words):
+    """The words a to b - 1 with A-Z lowered."""
+    whole = data.tobytes().lower()  # bytes: A-Z alone
+    starts, ends = words.starts, words.ends
+    return lambda a, b: [whole[x:y] for x, y in zip(starts[a:b].tolist(), ends[a:b].tolist(), strict=True)]
 
 
 def fingerprints(words: Words, window: int, gram: int) -> np.ndarray:
@@ -84,17 +122,30 @@ def fingerprints(words: Words, window: int, gram: int) -> np.ndarray:
     return sliding_min(words.grams(gram), window - gram + 1)
 
 
+def selected(words: Words, window: int, gram: int) -> np.ndarray:
+    """Words from which a k-gram goes on that is the fingerprint of a window inside its text."""
+    least, grams = fingerprints(words, window, gram), words.grams(gram)
+    if not len(least):
+        return np.zeros(0, np.int64)
+    text = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+    # no hash of a window is over that of a k-gram in it, so the greatest of them equals it or none does
+    asked = np.where(text[: len(least)] == text[window - 1 :], ~least, ~np.uint64(0))
+    edge = np.full(window - gram, ~np.uint64(0))
+    return np.flatnonzero(sliding_min(np.concatenate([edge, asked, edge]), window - gram + 1) == ~grams)
+
+
 def _judge(texts: pa.Array, index: Index, one_in: int) -> list[tuple]:
     data, offs = flat(texts)
     rows = []
     for a, b in slices(offs):
-        words = Words(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a], _VALUES)
+        part = data[offs[a] : offs[b]]
+        words = Words(part, offs[a : b + 1] - offs[a], _VALUES)
         hit = np.zeros(len(words.starts) + 1, np.int64)
         items: dict[int, set[str]] = {}
-        for at, n, which in index.hits(words):
+        for at, n, item in index.hits(part, words):
             hit[at] += 1
             hit[at + n] -= 1
-            items.setdefault(int(np.searchsorted(words.first, at, "right")) - 1, set()).update(which)
+            items.setdefault(int(np.searchsorted(words.first, at, "right")) - 1, set()).add(item)
         covered = np.concatenate([[0], np.cumsum(np.cumsum(hit[:-1]) > 0)])
         n_words = np.diff(words.first)
         n_hit = covered[words.first[1:]] - covered[words.first[:-1]]
@@ -139,7 +190,7 @@ def decontaminate(
         return _by_join(docs, items, window, gram, one_in, made).select(*keep, *made)
     rows = items.collect()
     index = docs.sparkSession.sparkContext.broadcast(Index([r[0] for r in rows], [r[1] for r in rows], window, gram))
-    read = docs.select(F.coalesce("text", F.lit("")).alias("__text"), *keep)
+    read = docs.select(F.coalesce("text", F.lit("")).alias(free_name("text", keep)), *keep)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,11 +204,11 @@ def _made_fields() -> list[T.StructField]:
     return [T.StructField(name, kinds[kind]) for name, kind in (x.split() for x in RESULT.split(", "))]
 
 
-def _prints(window: int, gram: int, short_too: bool):
+def _prints(window: int, gram: int, lengths: list[int] | None):
     """Rows (id, print) of the texts of (id, text): fingerprints of windows, and of shorter whole texts.
 
-    short_too: also every run of fewer words than a window, for documents that
-    short items may occur in.
+    With lengths, of documents: all runs of so many words instead of shorter whole
+    texts, for short items occur in them.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,13 +217,13 @@ def _prints(window: int, gram: int, short_too: bool):
             for a, b in slices(offs):
                 words = Words(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a], _VALUES)
                 least, keys, out = fingerprints(words, window, gram), [], []
-                by_n = {n: words.grams(n) for n in range(1, window)}
-                for i, (x, y) in enumerate(zip(words.first[:-1], words.first[1:], strict=True)):
+                by_n = {n: words.grams(n) for n in (range(1, window) if lengths is None else lengths)}
+                for i, (x, y) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)):
                     found = [least[x : y - window + 1]] if y - x >= window else []
-                    if short_too:
+                    if lengths is not None:
                         found += [by_n[n][x : y - n + 1] for n in by_n if y - x >= n]
                     elif 0 < y - x < window:
-                        found += [by_n[int(y - x)][x : x + 1]]
+                        found += [by_n[y - x][x : x + 1]]
                     if found:
                         out.append(np.unique(np.concatenate(found)).view(np.int64))
                         keys.append(np.full(len(out[-1]), a + i))
@@ -183,17 +234,24 @@ def _prints(window: int, gram: int, short_too: bool):
     return rows
 
 
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offs = flat(batch.column(0))
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.diff(Words(data, offs, _VALUES).first)))], ["n"])
+
+
 def _by_join(docs: DataFrame, items: DataFrame, window: int, gram: int, one_in: int, made: list[str]) -> DataFrame:
     """The same without a broadcast: fingerprints are joined, then texts that share one."""
-    short = F.size(F.split("text", "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]+")) < window + 2
-    short_too = not items.where(short).isEmpty()
-    item_prints = items.mapInArrow(_prints(window, gram, False), "id string, print long").distinct()
-    keyed = docs.withColumn("__key", F.sha2(F.coalesce("text", F.lit("")), 256))
-    texts = keyed.groupBy("__key").agg(F.first(F.coalesce("text", F.lit(""))).alias("__text"))
-    doc_prints = texts.mapInArrow(_prints(window, gram, short_too), "id string, print long")
-    pairs = doc_prints.select(F.col("id").alias("__key"), "print").join(item_prints.select(F.col("id").alias("item_id"), "print"), "print")
-    near = pairs.select("__key", "item_id").distinct().join(items, "item_id")
-    found = near.groupBy("__key").agg(F.collect_list(F.struct("item_id", "text")).alias("items"))
+    counts = items.select("text").mapInArrow(_word_counts, "n long").where((F.col("n") > 0) & (F.col("n") < window)).distinct()
+    lengths = sorted(r["n"] for r in counts.collect())  # fewer than a window's words, so fewer numbers than that
+    item_prints = items.mapInArrow(_prints(window, gram, None), "id string, print long").distinct()
+    key = free_name("key", docs.columns)
+    keyed = docs.withColumn(key, F.sha2(F.coalesce("text", F.lit("")), 256))
+    texts = keyed.groupBy(F.col(key).alias("id")).agg(F.first(F.coalesce("text", F.lit(""))).alias("text"))
+    doc_prints = texts.mapInArrow(_prints(window, gram, lengths), "id string, print long")
+    pairs = doc_prints.join(item_prints.withColumnRenamed("id", "item_id"), "print")
+    near = pairs.select("id", "item_id").distinct().join(items, "item_id")
+    found = near.groupBy("id").agg(F.collect_list(F.struct("item_id", "text")).alias("items"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,10 +259,10 @@ def _by_join(docs: DataFrame, items: DataFrame, window: int, gram: int, one_in:
             for text, close in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
                 index = Index([x["item_id"] for x in close or ()], [x["text"] for x in close or ()], window, gram)
                 rows += _judge(pa.array([text.as_py()], pa.string()), index, one_in)
-            yield _table([batch.column(0)], rows, ["__key", *made])
+            yield _table([batch.column(0)], rows, ["id", *made])
 
-    judged = texts.join(found, "__key", "left").mapInArrow(judge, "__key string, " + RESULT)
-    return keyed.join(judged, "__key")
+    judged = texts.join(found, "id", "left").mapInArrow(judge, "id string, " + RESULT)
+    return keyed.join(judged.withColumnRenamed("id", key), key)
 
 
 ORACLE = r"""

@@ -319,6 +319,7 @@ def jaccard_classes(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
+    orders.destroy()  # all that was made with it is written
     known = classes.select("node", "least").join(labels, "node", "left").select("node", "least", F.coalesce("label", "node").alias("label"))
     least = known.groupBy("label").agg(F.min("least").alias("component_id"))
     found = known.join(least, "label").select("node", "component_id")

@@ -1,23 +1,29 @@
 """SentencePiece encoding and decoding with a weighted finite-state transducer.
 
-A model file is compiled into transducers: the normaliser (a dummy prefix, white
-space as U+2581), the pieces as a trie whose arcs weigh minus their scores, byte
-fallback for characters without a piece, and, for merge models, an acceptor of
-piece pairs. Composed with an input they give a lattice, and the encoding is its
-shortest path in the tropical semiring.
-
-In a unigram model arcs carry their weights. In a merge (BPE) model a sequence is
-the encoding exactly when each pair of neighbours is: merging the pair's own
-characters, best piece first and leftmost among equals, ends in that pair. The
-acceptor weighs such pairs 0 and others infinity, so one path is finite.
+Three machines are compiled from a model file. The normaliser writes a dummy
+prefix and U+2581 for a space, and copies other characters. The pieces are a trie
+whose final arcs write a piece and weigh minus its score; a character that is no
+piece has a fallback arc, which writes its bytes. An acceptor weighs each pair of
+neighbouring pieces. Normaliser and pieces are composed once. That machine is
+composed with each input, which gives a lattice, and the encoding is the lattice's
+shortest path in the tropical semiring: weights add along a path, the least wins.
+
+The acceptor takes every pair in a unigram model, where arcs carry the scores. In a
+merge (BPE) model a sequence of pieces is the encoding exactly when each pair of
+neighbours is: merging the pair's own characters, best piece first and leftmost
+among equals, ends in that pair. The acceptor weighs such pairs 0 and others
+infinity, and arcs weigh nothing, so the shortest path is the one finite path.
 
 Where no piece of the model goes across, between words and between letters and
 other characters, the lattice falls apart; each different part is composed once
-per worker, in a memo of bounded size.
-
-Null texts count as empty; empty texts have no pieces. U+2581 in a text decodes
-to a space, as the model's own normaliser has it. Models with a precompiled
-character map, white-space trimming or suffix marks are refused.
+per task, in a memo of at most MEMO entries that ends with the task.
+
+Each row is encoded by itself: repeated rows, and rows with a null id, give what
+one row does. Null texts count as empty; empty texts have no pieces. An empty table
+gives no rows. A very long text is one row of one task, and takes memory in
+proportion to its length. Other columns stay as they are, whatever their names.
+U+2581 in a text decodes to a space, as the model's own normaliser has it. Models
+with a precompiled character map, white-space trimming or suffix marks are refused.
 """
 
 from __future__ import annotations
@@ -25,7 +31,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +40,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._store import free_name
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-_MEMO = 900_000
+MEMO = 120_000
 INFINITE = float("inf")
 
 
@@ -76,20 +85,63 @@ class Pieces:
         )
 
 
+@dataclass
+class Machine:
+    """A weighted transducer. State 0 is its start; an arc reads a character and writes one, or with `writes` a piece at its end."""
+
+    arcs: dict[tuple[int, str], int] = field(default_factory=dict)
+    writes: list[int] = field(default_factory=lambda: [-1])  # by state: the piece that may be written there, after which the start follows
+    weights: list[float] = field(default_factory=lambda: [INFINITE])
+
+    def add(self, text: str, piece: int, weight: float) -> None:
+        at = 0
+        for c in text:
+            to = self.arcs.get((at, c))
+            if to is None:
+                to = self.arcs[at, c] = len(self.writes)
+                self.writes.append(-1)
+                self.weights.append(INFINITE)
+            at = to
+        self.writes[at], self.weights[at] = piece, weight
+
+
+def pieces_machine(model: Pieces) -> Machine:
+    """The trie of all ordinary pieces; arcs of merge models weigh nothing."""
+    out = Machine()
+    for i, p in enumerate(model.pieces):
+        if i not in model.special:
+            out.add(p, i, 0.0 if model.merges else -model.scores[i])
+    return out
+
+
+#: The normaliser's arcs that do not copy: what is read, and what is written.
+NORMALISER = {" ": MARK}
+
+
+def composed(first: dict[str, str], second: Machine) -> list[dict[str, int]]:
+    """Arcs, by state, of a one-state transducer followed by a machine: it reads what the first reads and goes where the second goes."""
+    out: list[dict[str, int]] = [{} for _ in second.writes]
+    for (state, c), to in second.arcs.items():
+        if c not in first:
+            out[state][c] = to
+        for read, written in first.items():
+            if written == c:
+                out[state][read] = to
+    return out
+
+
 class Transducer:
     """The compiled model."""
 
     def __init__(self, model: Pieces):
         self.model = model
-        self.arcs = {p: i for i, p in enumerate(model.pieces) if i not in model.special}
-        self.longest = max(map(len, self.arcs))
-        self.weights = [0.0 if model.merges else -s for s in model.scores]
+        machine = pieces_machine(model)
+        self.arcs, self.writes, self.weights = composed(NORMALISER, machine), machine.writes, machine.weights
         # a character without a piece costs more than any other path, as unigram models have it
         self.fallback = 0.0 if model.merges else 10.0 - min((s for i, s in enumerate(model.scores) if i not in model.special), default=0.0)
-        self.reach: dict[str, int] = {}  # longest piece that starts with these two characters
-        for p in self.arcs:
-            self.reach[p[:2]] = max(self.reach.get(p[:2], 1), len(p))
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.ranks = {p: -model.scores[i] for i, p in enumerate(model.pieces) if i not in model.special}
+        self.splits: dict[str, int] = {}
+        self.pairs: dict[int, bool] = {}
         self.memo: dict[str, bytes] = {}
         self.words = self._words()
         self.bytes_of = {i: b for b, i in enumerate(model.byte_ids)}
@@ -99,101 +151,94 @@ class Transducer:
 
     def _words(self) -> re.Pattern:
         """Where lattices fall apart: no piece may go across. The finest of three ways that the pieces allow."""
-        odd = "".join(sorted({c for p in self.arcs for c in p if re.match(r"[^\W\d_]", c) and not c.isalpha()}))
-        letter = (f"(?![{re.escape(odd)}])" if odd else "") + r"[^\W\d_]"
-        fine = f"{MARK}*(?:{letter})+|{MARK}*(?:(?!{letter})[^{MARK}])+|{MARK}+"
-        for way in (fine, f"{MARK}*[^{MARK}]+|{MARK}+"):
+        odd = "".join(sorted({c for p in self.ranks for c in p if re.match(r"[^\W\d_]", c) and not c.isalpha()}))
+        mark, letter = f"[ {MARK}]", (f"(?![{re.escape(odd)}])" if odd else "") + r"[^\W\d_]"
+        fine = f"{mark}*+(?:[A-Za-z]++|{letter})++|{mark}*+(?:(?!{letter})[^ {MARK}])++|{mark}++"
+        for way in (fine, f"{mark}*+[^ {MARK}]++|{mark}++"):
             cut = re.compile(f"(?s){way}")
-            if all(cut.fullmatch(p) and len(cut.findall(p)) == 1 for p in self.arcs):
+            if all(cut.fullmatch(p) and len(cut.findall(p)) == 1 for p in self.ranks):
                 return cut
         return re.compile("(?s).+")
 
-    def pair(self, left: int, right: int) -> bool:
-        """Whether the acceptor takes this pair: merging its characters ends in it."""
-        key = (left, right)
-        got = self.pairs.get(key)
-        if got is None:
-            if len(self.pairs) >= _MEMO:
+    def weight(self, left: int, right: int) -> float:
+        """The acceptor's weight of two neighbouring pieces."""
+        if not self.model.merges:
+            return 0.0
+        key = left << 32 | right
+        good = self.pairs.get(key)
+        if good is None:
+            if len(self.pairs) >= MEMO:
                 self.pairs.clear()
-            a, b = self.model.pieces[left], self.model.pieces[right]
-            got = self.pairs[key] = self._merged(a + b, len(a))
-        return got
+            good = self.pairs[key] = self._stays(self.model.pieces[left], self.model.pieces[right])
+        return 0.0 if good else INFINITE
+
+    def _stays(self, a: str, b: str) -> bool:
+        """Whether merging the characters of a and b keeps the border between them.
 
-    def _merged(self, text: str, border: int) -> bool:
-        """Merges characters while no merge crosses the border; whether two pieces are left."""
-        parts, starts = list(text), list(range(len(text)))
+        Undoing the later merge of the two, step by step, gives all pairs that
+        ever meet at the border; one of them merges if its piece is better than
+        the merge that replaced it, or as good and further left.
+        """
+        ranks, limit = self.ranks, (INFINITE, 1)
         while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                piece = self.arcs.get(parts[i] + parts[i + 1])
-                if piece is not None and (best is None or self.model.scores[piece] > best):
-                    best, at = self.model.scores[piece], i
-            if best is None:
-                return len(parts) == 2
-            if starts[at + 1] == border:
+            whole = ranks.get(a + b)
+            if whole is not None and (whole, 0) < limit:
                 return False
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del starts[at + 1]
+            ra, rb = (ranks[x] if len(x) > 1 else -INFINITE for x in (a, b))
+            if ra == rb == -INFINITE:
+                return True
+            if ra > rb:  # a was merged last: until then the border's left neighbour was its right part
+                limit, a = (ra, 0), a[self._split(a) :]
+            else:  # of equals the left one merges first, so b's is undone first
+                limit, b = (rb, 1), b[: self._split(b)]
+
+    def _split(self, piece: str) -> int:
+        """Where the last merge of a piece's characters joined it."""
+        at = self.splits.get(piece)
+        if at is None:
+            parts = list(piece)
+            while len(parts) > 2:
+                best = min(((r, i) for i in range(len(parts) - 1) if (r := self.ranks.get(parts[i] + parts[i + 1])) is not None), default=None)
+                if best is None:
+                    break
+                i = best[1]
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            at = self.splits[piece] = len(parts[0])
+        return at
 
     def path(self, word: str) -> list[int]:
-        """Arcs of the shortest path through the word's lattice; a character without a piece is -1 less its code point."""
-        return self._finite(word) if self.model.merges else self._cheapest(word)
-
-    def _finite(self, word: str) -> list[int]:
-        """Merge models: every finite path weighs 0, so the first one that reaches the end is shortest. Long arcs are tried first.
+        """The shortest path through the lattice of a word: pieces, and -1 less the code point of characters without one.
 
-        Each place has one finite path to it at most, so a place that failed once
-        is not entered again.
+        Places are settled by rising cost, the furthest first among equals, so in
+        a merge model hardly more of the lattice is composed than the path.
         """
-        n, arcs, reach, pairs = len(word), self.arcs, self.reach, self.pairs
-        path: list[int] = []
-        starts: list[int] = []
-        dead: set[int] = set()
-        at, size = 0, min(reach.get(word[:2], 1), n)
+        n, arcs, writes, weights, pairs = len(word), self.arcs, self.writes, self.weights, self.pairs
+        last: list[int | None] = [None] * (n + 1)
+        back = [0] * (n + 1)
+        last[0] = -1
+        ahead: list[tuple[float, int, int, int]] = []  # (cost, -end, start, piece) of arcs that are not weighed by the acceptor yet
+        at, cost = 0, 0.0
         while at < n:
-            before = path[-1] if path else -1
-            while size:
-                piece = arcs.get(word[at : at + size])
-                if piece is None:
-                    if size > 1 or word[at] in arcs:
-                        size -= 1
-                        continue
-                    piece = -1 - ord(word[at])
-                if at + size not in dead:
-                    if before < 0 or piece < 0:
-                        break
-                    good = pairs.get((before, piece))
-                    if good or (good is None and self.pair(before, piece)):
+            state, end, found = 0, at, False
+            while end < n and (to := arcs[state].get(word[end])) is not None:
+                state = to
+                end += 1
+                if writes[state] >= 0:
+                    found = found or end == at + 1
+                    if last[end] is None:
+                        heappush(ahead, (cost + weights[state], -end, at, writes[state]))
+            if not found and last[at + 1] is None:
+                heappush(ahead, (cost + self.fallback, -at - 1, at, -1 - ord(word[at])))
+            while True:
+                cost, end, start, piece = heappop(ahead)
+                if last[-end] is None:
+                    before = last[start]
+                    good = pairs.get(before << 32 | piece) if before >= 0 <= piece else True
+                    if good or (good is None and self.weight(before, piece) == 0):
                         break
-                size -= 1
-            if size:
-                path.append(piece)
-                starts.append(at)
-                at += size
-                size = min(reach.get(word[at : at + 2], 1), n - at)
-            else:
-                dead.add(at)
-                path.pop()
-                size = at - starts[-1] - 1
-                at = starts.pop()
-        return path
-
-    def _cheapest(self, word: str) -> list[int]:
-        """Unigram models: relaxation in the lattice's own order."""
-        n = len(word)
-        cost, last, back = [0.0] + [INFINITE] * n, [-1] * (n + 1), [0] * (n + 1)
-        for start in range(n):
-            for end in range(start + 1, min(n, start + self.longest) + 1):
-                piece = self.arcs.get(word[start:end])
-                if piece is not None:
-                    weight = self.weights[piece]
-                elif end == start + 1:
-                    piece, weight = -1 - ord(word[start]), self.fallback
-                else:
-                    continue
-                if cost[start] + weight < cost[end]:
-                    cost[end], last[end], back[end] = cost[start] + weight, piece, start
-        out, at = [], n
+            at = -end
+            last[at], back[at] = piece, start
+        out = []
         while at:
             out.append(last[at])
             at = back[at]
@@ -216,15 +261,14 @@ class Transducer:
         """Ids as little-endian 32-bit numbers."""
         if not text:
             return b""
-        text = text.replace(" ", MARK)
-        if self.model.dummy_prefix:
+        if self.model.dummy_prefix:  # the normaliser's start
             text = MARK + text
         out, memo = [], self.memo
         for word in self.words.findall(text):
             got = memo.get(word)
             if got is None:
                 got = self.encode_word(word)
-                if len(word) <= 64 and len(memo) < _MEMO:  # frequent words come early
+                if len(word) <= 64 and len(memo) < MEMO:  # frequent words come early
                     memo[word] = got
             out.append(got)
         return b"".join(out)
@@ -271,24 +315,14 @@ def _read_bytes(run: bytes) -> str:
     return "".join(out)
 
 
-_compiled: dict[int, Transducer] = {}
-
-
-def _here(shared) -> Transducer:
-    """The worker's transducer, kept with its memo from task to task."""
-    key = shared.id if hasattr(shared, "id") else id(shared)
-    if key not in _compiled:
-        _compiled.clear()
-        _compiled[key] = Transducer(shared.value)
-    return _compiled[key]
-
-
-def _mapped(docs: DataFrame, source: str, keep: list[str], made: list[T.StructField], shared, work) -> DataFrame:
-    read = docs.select(F.col(source).alias("__in"), *keep)
+def _mapped(docs: DataFrame, source: str, keep: list[str], made: list[T.StructField], model: str, work) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(Pieces.read(model))
+    read = docs.select(F.col(source).alias(free_name("text", keep)), *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        transducer = _here(shared)
+        transducer = None  # compiled once per task, so that its memos end with the task
         for batch in batches:
+            transducer = transducer or Transducer(shared.value)
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *work(transducer, batch.column(0))], [*keep, *(f.name for f in made)])
 
     return read.mapInArrow(run, T.StructType([*read.schema.fields[1:], *made]))
@@ -303,7 +337,7 @@ def encode(docs: DataFrame, *, model: str = MODEL, keep: list[str] | None = None
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int32)
         return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*got, np.zeros(0, np.int32)])))]
 
-    return _mapped(docs, "text", keep, [T.StructField("ids", T.ArrayType(T.IntegerType()))], docs.sparkSession.sparkContext.broadcast(Pieces.read(model)), work)
+    return _mapped(docs, "text", keep, [T.StructField("ids", T.ArrayType(T.IntegerType()))], model, work)
 
 
 def decode(encoded: DataFrame, *, model: str = MODEL, keep: list[str] | None = None) -> DataFrame:
@@ -313,7 +347,7 @@ def decode(encoded: DataFrame, *, model: str = MODEL, keep: list[str] | None = N
     def work(t: Transducer, ids: pa.Array) -> list[pa.Array]:
         return [pa.array([t.decode(np.array(x.as_py() or [], "<u4").tobytes()) for x in ids], pa.string())]
 
-    return _mapped(encoded, "ids", keep, [T.StructField("text", T.StringType())], encoded.sparkSession.sparkContext.broadcast(Pieces.read(model)), work)
+    return _mapped(encoded, "ids", keep, [T.StructField("text", T.StringType())], model, work)
 
 
 def digest(docs: DataFrame, *, model: str = MODEL, keep: list[str] | None = None) -> DataFrame:
@@ -339,4 +373,4 @@ def digest(docs: DataFrame, *, model: str = MODEL, keep: list[str] | None = None
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()]
         return [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
 
-    return _mapped(docs, "text", keep, made, docs.sparkSession.sparkContext.broadcast(Pieces.read(model)), work)
+    return _mapped(docs, "text", keep, made, model, work)
