@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The ambiguity codes and the letters that each may stand for, in
@@ -52,3 +52,15 @@ def tile_starts(length: Column, size: int, step: int) -> Column:
     """Starts 0, step, ... that fit, and one that ends with the sequence."""
     last = length - size
     return F.when(last >= 0, F.array_union(F.sequence(F.lit(0), last, F.lit(step)), F.array(last))).otherwise(F.array().cast("array<int>"))
+
+
+def chunks(seqs: DataFrame, id_col: str, size: int, more: int) -> DataFrame:
+    """(id, at, piece): each sequence from every multiple of `size` on, with `more` letters beyond; nothing for null or empty ones.
+
+    Pieces are cut from bytes, where any place is reached at once, and before
+    rows are made of them, so that no row repeats the whole sequence.
+    """
+    raw = seqs.where(F.length("seq") > 0).select(id_col, F.encode("seq", "UTF-8").alias("_raw"))
+    piece = lambda at: F.struct(at.alias("at"), F.substring(F.col("_raw"), at + 1, F.lit(size + more)).cast("string").alias("piece"))
+    cut = raw.select(id_col, F.explode(F.transform(F.sequence(F.lit(0), F.length("_raw") - 1, F.lit(size)), piece)).alias("_c"))
+    return cut.select(id_col, F.col("_c.at").alias("at"), F.col("_c.piece").alias("piece"))

@@ -1,12 +1,16 @@
-"""Matching probes to genomes: a seed join, diagonals, and ungapped extension.
+"""Matching probes to genomes: seeds, diagonals, extension.
 
-Seeds are exact words of 13 letters as 26-bit numbers. The panel's seeds are a
-bitmap of fixed size (8 MiB), which drops target seeds before the shuffle. Seeds
-that meet name a diagonal; each diagonal is extended once, on its own stretch of
-the target. Matches that an insertion or deletion splits are found in parts, or
-missed; `gapped` joins near diagonals first.
+Genomes are cut into overlapping chunks. Probes come in blocks of bounded size; a
+block's words of 13 letters, both strands, are an index that is broadcast, and each
+chunk is matched against it where it lies, so nothing of a genome is shuffled,
+however often its words occur. A word that both have names a diagonal, on which the
+best segment is found without gaps, or, with `gapped`, within a band around it.
 
-No hit is capped. A frequent seed is an ordinary join key, which Spark splits.
+Every hit that reaches the cut-offs counts, but one that lies inside a better one
+of the same probe and strand, on the probe and on the target. No hit is capped.
+
+Null and empty sequences match nothing. Repeated probe or target rows are matched
+each for itself. Letters other than A, C, G and T match nothing; case is ignored.
 """
 
 from __future__ import annotations
@@ -15,39 +19,48 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequences import reverse_complement
+from ..functions.sequences import chunks, reverse_complement
 
-_CODE = np.full(256, 4, np.int64)
+_CODE = np.full(256, 4, np.uint8)
 _CODE[np.frombuffer(b"ACGTacgt", np.uint8)] = [0, 1, 2, 3, 0, 1, 2, 3]
 MATCH, MISMATCH = 1, -2
-MOST_PROBES = 2_000_000
+#: Of banded alignments, twice the score: a match, a mismatch and a gap's letter.
+DOUBLED, REACH = (2, -4, -5), 16
+PROBES_AT_ONCE, CHUNK, HITS_AT_ONCE, ROWS_AT_ONCE = 20_000, 16_384, 1 << 20, 1 << 15
 ALIGNMENT = "probe_id string, target_id {0}, pident double, length int, mismatch int, gapopen int, qstart int, qend int, sstart int, send int, score int"
 
 
-def packed_seeds(seq: str, word: int = 13) -> tuple[np.ndarray, np.ndarray]:
-    """Words of A, C, G and T as numbers, two bits a letter, and where they start."""
-    code = _CODE[np.frombuffer(seq.encode(), np.uint8)]
-    n = len(code) - word + 1
+def letter_matrix(seqs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of letters, a row for each sequence, 4 where there is no A, C, G or T; and the lengths."""
+    lengths = np.array([len(s) for s in seqs], np.int64)
+    out = np.full((len(seqs), int(lengths.max(initial=0))), 4, np.uint8)
+    out[np.arange(out.shape[1])[None, :] < lengths[:, None]] = _CODE[np.frombuffer("".join(seqs).encode("ascii", "replace"), np.uint8)]
+    return out, lengths
+
+
+def words_of(codes: np.ndarray, word: int) -> tuple[np.ndarray, np.ndarray]:
+    """Along the last axis, each word as a number, two bits a letter, and whether all its letters are known."""
+    n = codes.shape[-1] - word + 1
     if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    seed = np.zeros(n, np.int64)
+        none = np.zeros((*codes.shape[:-1], 0))
+        return none.astype(np.int32), none.astype(bool)
+    number, good = np.zeros((*codes.shape[:-1], n), np.int32), np.ones((*codes.shape[:-1], n), bool)
     for i in range(word):
-        seed = seed * 4 + (code[i : i + n] & 3)
-    wrong = np.concatenate([[0], np.cumsum(code > 3)])
-    at = np.flatnonzero(wrong[word:] == wrong[:-word])
-    return seed[at], at.astype(np.int32)
+        part = codes[..., i : i + n]
+        number = number * 4 + (part & 3)
+        good &= part < 4
+    return number, good
 
 
-def dust_mask(seq: str, window: int = 64, level: float = 20.0) -> np.ndarray:
+def dust_mask(codes: np.ndarray, window: int = 64, level: float = 20.0) -> np.ndarray:
     """Which letters are in a stretch of low complexity: triplets that repeat more often than the level allows."""
-    code = _CODE[np.frombuffer(seq.encode(), np.uint8)]
-    out = np.zeros(len(code), bool)
-    if len(code) < 4:
+    out = np.zeros(len(codes), bool)
+    if len(codes) < 4:
         return out
-    triplet = (code[:-2] & 3) * 16 + (code[1:-1] & 3) * 4 + (code[2:] & 3)
+    triplet = (codes[:-2] & 3).astype(np.int64) * 16 + (codes[1:-1] & 3) * 4 + (codes[2:] & 3)
     step = window // 2
     for at in range(0, max(1, len(triplet) - step), step):
         part = triplet[at : at + window - 2]
@@ -58,122 +71,234 @@ def dust_mask(seq: str, window: int = 64, level: float = 20.0) -> np.ndarray:
     return out
 
 
-def _seeds(word: int, bitmap=None, dust: bool = False):
-    """(id, seq) to (seed, id, pos), those in the bitmap."""
+class Index:
+    """Sequences by their words."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.frombuffer(bitmap.value, np.uint8) if bitmap is not None else None
-        for batch in batches:
-            which, seeds, places = [], [], []
-            for i, seq in enumerate(batch.column(1).to_pylist()):
-                seed, pos = packed_seeds(seq or "", word)
-                if known is not None and len(seed):
-                    on = (known[seed >> 3] >> (seed & 7)) & 1 == 1
-                    seed, pos = seed[on], pos[on]
-                if dust and len(seed):
-                    mask = np.concatenate([[0], np.cumsum(dust_mask(seq))])
-                    on = mask[pos + word] - mask[pos] == 0
-                    seed, pos = seed[on], pos[on]
-                which.append(np.full(len(seed), i))
-                seeds.append(seed)
-                places.append(pos)
-            join = lambda x, kind: np.concatenate([*x, np.zeros(0, kind)]).astype(kind)
-            yield pa.RecordBatch.from_arrays([pa.array(join(seeds, np.int64)), batch.column(0).take(pa.array(join(which, np.int64))), pa.array(join(places, np.int32))], ["seed", "id", "pos"])
+    def __init__(self, seqs: list[str], word: int, dust: bool = False):
+        self.word = word
+        self.codes, self.lengths = letter_matrix(seqs)
+        number, self.known = words_of(self.codes, word)
+        if dust:
+            for i in range(len(seqs)):
+                mask = np.concatenate([[0], np.cumsum(dust_mask(self.codes[i, : self.lengths[i]]))])
+                n = len(mask) - word
+                if n > 0:
+                    self.known[i, :n] &= mask[word:] == mask[:n]
+        place = np.flatnonzero(self.known.ravel())
+        words = number.ravel()[place]
+        by = np.argsort(words, kind="stable")
+        self.words, self.places = words[by], place[by].astype(np.int32)
+        self.bitmap = np.zeros(-(-(4**word) // 8), np.uint8)  # of fixed size, however many words there are
+        np.bitwise_or.at(self.bitmap, self.words >> 3, (1 << (self.words & 7)).astype(np.uint8))
+
+    def meetings(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(place, row, place in the row) where a common run of letters with a word begins; a bounded number at a time."""
+        width = self.known.shape[1]
+        number, good = words_of(codes, self.word)
+        at = np.flatnonzero(good)
+        at = at[(self.bitmap[number[at] >> 3] >> (number[at] & 7).astype(np.uint8)) & 1 == 1]
+        low, high = np.searchsorted(self.words, number[at]), np.searchsorted(self.words, number[at], "right")
+        count = high - low
+        upto = np.cumsum(count)
+        start = 0
+        while start < len(at):
+            before = int(upto[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(upto, before + HITS_AT_ONCE, "right")))
+            n = count[start:end]
+            t = np.repeat(at[start:end], n)
+            hit = np.arange(len(t)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[start:end], n)
+            row, p = np.divmod(self.places[hit], width)
+            start = end
+            goes_on = (t > 0) & (p > 0)
+            q, s = np.maximum(p - 1, 0), np.maximum(t - 1, 0)
+            goes_on &= self.known[row, q] & (self.codes[row, q] == codes[s])
+            first = ~goes_on
+            yield t[first], row[first], p[first]
+
+    def diagonals(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and distances (place less place in the row), each pair once, by row."""
+        span = len(codes) + self.codes.shape[1]
+        keys = [np.unique(row.astype(np.int64) * span + (t - p) + self.codes.shape[1]) for t, row, p in self.meetings(codes)]
+        key = np.unique(np.concatenate([*keys, np.zeros(0, np.int64)]))
+        return key // span, key % span - self.codes.shape[1]
 
-    return run
 
+def laid_on(codes: np.ndarray, diag: np.ndarray, width: int) -> np.ndarray:
+    """Letters of a sequence from each diagonal on, 5 where it has none."""
+    padded = np.concatenate([np.full(width, 5, np.uint8), codes, np.full(width, 5, np.uint8)])
+    return np.lib.stride_tricks.sliding_window_view(padded, width)[np.clip(diag + width, 0, len(codes) + width)]
 
-def extend_diagonals(probes: list[str], parts: list[str]) -> tuple[np.ndarray, ...]:
-    """Best segment of each probe laid on a part of equal length: score, first, last, matches.
+
+def best_segments(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Best segment of each row of a laid on that of b: score, first, last, equal letters.
 
     Of equal scores the one that ends first, then the one that starts first.
     """
-    n, width = len(probes), max(map(len, probes), default=0)
-    a, b = np.zeros((n, width), np.uint8), np.ones((n, width), np.uint8)
-    lengths = np.array([len(p) for p in probes])
-    for i, (p, t) in enumerate(zip(probes, parts, strict=True)):
-        a[i, : len(p)] = np.frombuffer(p.encode(), np.uint8)
-        b[i, : len(t)] = np.frombuffer(t.encode(), np.uint8)
-    same = (a == b) & (_CODE[a] < 4)
-    step = np.where(same, MATCH, MISMATCH).astype(np.int32)
-    total = np.cumsum(step, axis=1)
-    before = np.concatenate([np.zeros((n, 1), np.int32), total[:, :-1]], axis=1)
+    n, width = a.shape
+    same = (a == b) & (a < 4)
+    step = np.where(same, MATCH, MISMATCH).astype(np.int16)
+    total = np.cumsum(step, axis=1, dtype=np.int16)
+    before = np.concatenate([np.zeros((n, 1), np.int16), total[:, :-1]], axis=1)
     least = np.minimum.accumulate(before, axis=1)
-    gain = np.where(np.arange(width)[None, :] < lengths[:, None], total - least, -1)
+    gain = total - least
     last = np.argmax(gain, axis=1)
     rows = np.arange(n)
     first = np.argmax((before == least[rows, last][:, None]) & (np.arange(width)[None, :] <= last[:, None]), axis=1)
     counts = np.concatenate([np.zeros((n, 1), np.int32), np.cumsum(same, axis=1)], axis=1)
-    return gain[rows, last], first, last, counts[rows, last + 1] - counts[rows, first]
+    return gain[rows, last].astype(np.int32), first, last, counts[rows, last + 1] - counts[rows, first]
 
 
-def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(probe_id, target_id, strand, diag, probe, part) to alignments; part is padded where the target ends."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        probes, parts = batch.column(4).to_pylist(), batch.column(5).to_pylist()
-        score, first, last, same = extend_diagonals(probes, parts)
-        minus = np.array(batch.column(2).to_pylist()) == "-"
-        diag, size = batch.column(3).to_numpy().astype(np.int64), np.array([len(p) for p in probes])
-        length = last - first + 1
-        low, high = diag + first + 1, diag + last + 1
-        cast = lambda x: pa.array(np.asarray(x), pa.int32())
-        made = [
-            batch.column(0), batch.column(1), pa.array(same * 100.0 / length), cast(length), cast(length - same), cast(np.zeros(len(length))),
-            cast(np.where(minus, size - last, first + 1)), cast(np.where(minus, size - first, last + 1)), cast(np.where(minus, high, low)), cast(np.where(minus, low, high)), cast(score),
-        ]
-        yield pa.RecordBatch.from_arrays(made, ["probe_id", "target_id", "pident", "length", "mismatch", "gapopen", "qstart", "qend", "sstart", "send", "score"])
-
-
-def diagonals(probes: DataFrame, targets: DataFrame, word: int = 13, dust: bool = True) -> DataFrame:
-    """(probe_id, target_id, strand, diag): where a probe and a target share a word."""
-    spark = probes.sparkSession
-    both = probes.select("probe_id", F.lit("+").alias("strand"), "seq").unionByName(probes.select("probe_id", F.lit("-").alias("strand"), reverse_complement(F.col("seq")).alias("seq")))
-    named = both.select(F.concat("strand", "probe_id").alias("id"), "seq")
-    panel = named.mapInArrow(_seeds(word, dust=dust), "seed long, id string, pos int")
-    bits = panel.select("seed").distinct().groupBy((F.col("seed") / 8).cast("long").alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, CAST(seed % 8 AS INT))")).alias("bits")).toArrow()
-    bitmap = np.zeros(-(-(4**word) // 8), np.uint8)  # of fixed size, however large the panel
-    bitmap[bits["byte"].to_numpy()] = bits["bits"].to_numpy().astype(np.uint8)
-    shared = spark.sparkContext.broadcast(bitmap.tobytes())
-    kind = targets.schema["target_id"].dataType.simpleString()
-    seeds = targets.select("target_id", "seq").mapInArrow(_seeds(word, shared), f"seed long, id {kind}, pos int")
-    met = seeds.select("seed", F.col("id").alias("target_id"), F.col("pos").alias("t")).join(panel.select("seed", "id", F.col("pos").alias("p")), "seed")
-    return met.select(F.substring("id", 2, 1 << 30).alias("probe_id"), "target_id", F.substring("id", 1, 1).alias("strand"), (F.col("t") - F.col("p")).alias("diag")).distinct()
+def banded(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Best local alignment of each row of a within a band of b, which starts REACH letters before and is 2 REACH wider.
+
+    Score, first and last on a, first and last on b, equal letters, columns,
+    gaps. Of equal scores a letter pair goes before a gap.
+    """
+    match, mismatch, gap = DOUBLED
+    n, width = a.shape
+    band = 2 * REACH + 1
+    # of each cell: score, first of a, first of b, equal letters, columns, gaps, kind of the last step
+    row = np.zeros((7, n, band), np.int32)
+    best = np.zeros((8, n), np.int32)
+    for i in range(width):
+        same = (a[:, i : i + 1] == b[:, i : i + band]) & (a[:, i : i + 1] < 4)
+        fresh = row[0] <= 0
+        new = row.copy()
+        new[1] = np.where(fresh, i, row[1])
+        new[2] = np.where(fresh, i + np.arange(band)[None, :], row[2])
+        new[3:6] = np.where(fresh[None], 0, row[3:6])
+        new[0] = np.maximum(row[0], 0) + np.where(same, match, mismatch)
+        new[3] += same
+        new[4] += 1
+        new[6] = 0
+        up = row[:, :, 1:].copy()  # a letter of a beside a gap
+        up[0] += gap
+        up[4] += 1
+        up[5] += up[6] != 1
+        up[6] = 1
+        new[:, :, :-1] = np.where((up[0] > new[0, :, :-1])[None], up, new[:, :, :-1])
+        for k in range(1, band):  # a letter of b beside a gap
+            left = new[:, :, k - 1].copy()
+            left[0] += gap
+            better = left[0] > np.maximum(new[0, :, k], 0)
+            if better.any():
+                left[4] += 1
+                left[5] += left[6] != 2
+                left[6] = 2
+                new[:, :, k] = np.where(better[None], left, new[:, :, k])
+        k = np.argmax(new[0], axis=1)
+        rows = np.arange(n)
+        top = new[:, rows, k]
+        better = top[0] > best[0]
+        found = np.stack([top[0], top[1], np.full(n, i), top[2], i + k, top[3], top[4], top[5]])
+        best = np.where(better[None], found, best)
+        row = new
+    return tuple(best)
+
+
+def _bands(row: np.ndarray, diag: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray]:
+    """One diagonal for all of a row in the same stretch of REACH, its middle; stretches lie on the target as a whole."""
+    made = np.unique(np.stack([row, (diag + at) // REACH]), axis=1)
+    return made[0], made[1] * REACH + REACH // 2 - at
 
 
-def _near(found: DataFrame, reach: int) -> DataFrame:
-    """Of diagonals closer than `reach` on one target, all that lie between: an indel's two halves and what joins them."""
-    order = Window.partitionBy("probe_id", "target_id", "strand").orderBy("diag")
-    gap = F.lead("diag").over(order) - F.col("diag")
-    filled = found.withColumn("d", F.explode(F.when(gap.between(2, reach), F.sequence(F.col("diag"), F.col("diag") + gap - 1)).otherwise(F.array("diag"))))
-    return filled.select("probe_id", "target_id", "strand", F.col("d").alias("diag"))
+def _inside_a_better(row: np.ndarray, score: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    """Which hits lie inside another of their row that scores as high; of equal ones all but the first.
+
+    ranges: first and last on the probe and on the target. Hits stand by row and place.
+    """
+    out = np.zeros(len(row), bool)
+    reach = np.flatnonzero(row[1:] == row[:-1])
+    shift = 1
+    while len(reach):
+        i, j = reach, reach + shift
+        near = (row[i] == row[j]) & (ranges[2][j] <= ranges[3][i])
+        i, j = i[near], j[near]
+        for x, y in ((i, j), (j, i)):  # y inside x
+            holds = (ranges[0][x] <= ranges[0][y]) & (ranges[1][x] >= ranges[1][y]) & (ranges[2][x] <= ranges[2][y]) & (ranges[3][x] >= ranges[3][y])
+            equal = (ranges[:, x] == ranges[:, y]).all(axis=0)
+            out[y[holds & (score[x] >= score[y]) & (~equal | (x < y))]] = True
+        shift += 1
+        reach = i[i + shift < len(row)]
+    return out
+
+
+def _matched(shared, min_id: float, min_len: int, min_score: int, gapped: bool):
+    """(target_id, at, piece) to alignments with a block of probes; a chunk has those whose diagonal lies in its own part."""
+
+    def hits(index: Index, codes: np.ndarray, at: int) -> list[np.ndarray]:
+        """Row, score, first and last on the probe and on the target, equal letters, columns, gaps."""
+        width = index.codes.shape[1]
+        row, diag = index.diagonals(codes)
+        if gapped:
+            row, diag = _bands(row, diag, at)
+        parts: list[list[np.ndarray]] = []
+        for lo in range(0, len(row), ROWS_AT_ONCE):
+            r, d = row[lo : lo + ROWS_AT_ONCE], diag[lo : lo + ROWS_AT_ONCE]
+            if gapped:
+                score, first, last, low, high, same, length, gaps = banded(index.codes[r], laid_on(codes, d - REACH, width + 2 * REACH))
+                score, low, high = score // 2, d - REACH + low, d - REACH + high
+            else:
+                score, first, last, same = best_segments(index.codes[r], laid_on(codes, d, width))
+                length, gaps, low, high = last - first + 1, np.zeros(len(r), np.int32), d + first, d + last
+            good = (same * 100.0 >= min_id * length) & (length >= min_len) & (score >= min_score) & (score > 0)
+            parts.append([x[good] for x in (r, score, first, last, low, high, same, length, gaps, d)])
+        found = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 10
+        by = np.lexsort((found[2], found[4], found[0]))
+        found = [x[by] for x in found]
+        keep = ~_inside_a_better(found[0], found[1], np.stack(found[2:6]))
+        return [x[keep] for x in found]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, minus, index = shared.value
+        width = index.codes.shape[1]
+        for batch in batches:
+            for i, (at, piece) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                codes = _CODE[np.frombuffer(piece.encode("ascii", "replace"), np.uint8)]
+                found = hits(index, codes, at)
+                own = (found[9] < width + CHUNK) & ((found[9] >= width) | (at == 0))
+                row, score, first, last, low, high, same, length, gaps, _ = (x[own] for x in found)
+                if not len(row):
+                    continue
+                size, back = index.lengths[row], minus[row]
+                low, high = low + at + 1, high + at + 1
+                cast = lambda x: pa.array(np.asarray(x), pa.int32())
+                made = [
+                    ids.take(pa.array(row)), batch.column(0).take(pa.array(np.full(len(row), i))), pa.array(same * 100.0 / length), cast(length), cast(length - same - _gap_letters(first, last, low, high, length)), cast(gaps),
+                    cast(np.where(back, size - last, first + 1)), cast(np.where(back, size - first, last + 1)), cast(np.where(back, high, low)), cast(np.where(back, low, high)), cast(score),
+                ]
+                yield pa.RecordBatch.from_arrays(made, ["probe_id", "target_id", "pident", "length", "mismatch", "gapopen", "qstart", "qend", "sstart", "send", "score"])
+
+    return run
+
+
+def _gap_letters(first, last, low, high, length):
+    """Columns of an alignment with a letter on one side only."""
+    return 2 * length - (last - first + 1) - (high - low + 1)
 
 
 def align_probes(probes: DataFrame, targets: DataFrame, word: int = 13, min_id: float = 85.0, min_len: int = 90, dust: bool = True, gapped: bool = False, min_score: int = 0) -> DataFrame:
     """Alignments of probes (probe_id, seq) with targets (target_id, seq), both strands.
 
-    Of hits of one probe and strand that overlap on a target, the best stays:
-    highest score, then lowest place.
+    `dust` leaves out words of low complexity as seeds. A panel of more than
+    PROBES_AT_ONCE probes goes over the targets once for each block of so many.
     """
-    found = diagonals(probes, targets, word, dust)
-    found = _near(found, 8) if gapped else found
+    spark = probes.sparkSession
     kind = targets.schema["target_id"].dataType.simpleString()
-    panel = probes.select("probe_id", "seq", reverse_complement(F.col("seq")).alias("back"))
-    panel = F.broadcast(panel) if panel.limit(MOST_PROBES + 1).count() <= MOST_PROBES else panel
-    with_probe = found.join(panel, "probe_id").select("probe_id", "target_id", "strand", "diag", F.when(F.col("strand") == "+", F.col("seq")).otherwise(F.col("back")).alias("probe"))
-    whole = with_probe.join(targets.select("target_id", "seq"), "target_id")
-    part = F.concat(F.repeat(F.lit("."), F.greatest(-F.col("diag"), F.lit(0))), F.substring(F.col("seq"), F.greatest(F.col("diag"), F.lit(0)) + 1, F.length("probe") + F.least(F.col("diag"), F.lit(0))))
-    aligned = whole.select("probe_id", "target_id", "strand", "diag", "probe", part.alias("part")).mapInArrow(_extend, ALIGNMENT.format(kind))
-    return best_of_islands(aligned.where(F.col("score") >= min_score)).where((F.col("pident") >= min_id) & (F.col("length") >= min_len))
-
-
-def best_of_islands(aln: DataFrame) -> DataFrame:
-    """Of overlapping hits of a probe and strand on a target, the best."""
-    low, high, strand = F.least("sstart", "send"), F.greatest("sstart", "send"), F.col("sstart") <= F.col("send")
-    keyed = aln.withColumns({"_low": low, "_high": high, "_plus": strand})
-    order = Window.partitionBy("probe_id", "target_id", "_plus").orderBy("_low", "_high")
-    reach = F.max("_high").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    islands = keyed.withColumn("_new", F.when(reach >= F.col("_low"), 0).otherwise(1)).withColumn("_i", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    best = Window.partitionBy("probe_id", "target_id", "_plus", "_i").orderBy(F.desc("score"), "_low", "_high")
-    return islands.withColumn("_r", F.row_number().over(best)).where("_r = 1").drop("_low", "_high", "_plus", "_new", "_i", "_r")
+    panel = probes.where(F.length("seq") >= word).select(F.col("probe_id").cast("string").alias("probe_id"), "seq", reverse_complement(F.col("seq")).alias("back"))
+    size = panel.agg(F.count("*").alias("n"), F.max(F.length("seq")).alias("width")).first()
+    blocks = -(-size["n"] // PROBES_AT_ONCE)
+    if not blocks:
+        return spark.createDataFrame([], ALIGNMENT.format(kind))
+    pieces = chunks(targets, "target_id", CHUNK, 3 * size["width"] + 2 * REACH)
+    out = None
+    for b in range(blocks):
+        part = panel.where(F.pmod(F.xxhash64("probe_id", "seq"), F.lit(blocks)) == b).toArrow()  # about PROBES_AT_ONCE rows
+        if not part.num_rows:
+            continue
+        both = part["seq"].to_pylist() + part["back"].to_pylist()
+        minus = np.arange(len(both)) >= part.num_rows
+        shared = spark.sparkContext.broadcast((pa.concat_arrays([part["probe_id"].combine_chunks()] * 2), minus, Index(both, word, dust)))
+        found = pieces.mapInArrow(_matched(shared, min_id, min_len, min_score, gapped), ALIGNMENT.format(kind))
+        out = found if out is None else out.unionByName(found)
+    return out

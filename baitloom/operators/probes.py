@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequences import AMBIGUITY, ambiguous_count, tile_starts, unit_draw
+from ..functions.sequences import AMBIGUITY, ambiguous_count, chunks, tile_starts, unit_draw
+from ..store import saved
+
+CHUNK, FEW = 4096, 1000
 
 
 def tile(seqs: DataFrame, probe_len: int = 120, step: int = 120, max_ambig: int = 10, prefix: str = "", id_col: str = "target_id") -> DataFrame:
@@ -13,9 +16,10 @@ def tile(seqs: DataFrame, probe_len: int = 120, step: int = 120, max_ambig: int
 
     Tiles are numbered inside their array, so nothing is shuffled.
     """
-    starts = tile_starts(F.length("seq"), probe_len, step)
-    pieces = F.filter(F.transform(starts, lambda s: F.substring(F.col("seq"), s + 1, F.lit(probe_len))), lambda p: ambiguous_count(p) <= max_ambig)
-    cut = seqs.select(F.col(id_col).cast("string").alias("_id"), F.posexplode(pieces).alias("_n", "seq"))
+    raw = seqs.select(F.col(id_col).cast("string").alias("_id"), F.encode("seq", "UTF-8").alias("_raw"))
+    starts = tile_starts(F.length("_raw"), probe_len, step)
+    pieces = F.filter(F.transform(starts, lambda s: F.substring(F.col("_raw"), s + 1, F.lit(probe_len)).cast("string")), lambda p: ambiguous_count(p) <= max_ambig)
+    cut = raw.select("_id", F.posexplode(pieces).alias("_n", "seq"))
     return cut.select(F.concat(F.lit(prefix + "_"), "_id", F.lit("_piece_"), (F.col("_n") + 1).cast("string")).alias("probe_id"), "seq")
 
 
@@ -51,9 +55,16 @@ def substitute_ambiguous(probes: DataFrame, props: DataFrame, seed: int = 1) ->
 
 
 def enum_kmers(seqs: DataFrame, k: int = 120, step: int = 1, max_degen: int = 0, id_col: str = "target_id") -> DataFrame:
-    """(id, pos, kmer): upper-cased k-mers at each step with few other letters than A, C, G and T."""
-    at = F.when(F.length("seq") >= k, F.sequence(F.lit(0), F.length("seq") - k, F.lit(step)))
-    cut = seqs.select(id_col, F.upper("seq").alias("_u"), F.explode(at).alias("pos")).select(id_col, "pos", F.substring(F.col("_u"), F.col("pos") + 1, F.lit(k)).alias("kmer"))
+    """(id, pos, kmer): upper-cased k-mers at each step with few other letters than A, C, G and T.
+
+    Sequences shorter than k, empty and null ones give none. K-mers are cut out of
+    chunks, which begin at a step.
+    """
+    size = step * max(1, CHUNK // step)
+    parts = chunks(seqs, id_col, size, k - 1).where(F.length("piece") >= k).withColumn("_u", F.upper("piece"))
+    at = F.sequence(F.lit(0), F.least(F.length("_u") - k, F.lit(size - 1)), F.lit(step))
+    made = F.transform(at, lambda p: F.struct(p.alias("p"), F.substring(F.col("_u"), p + 1, F.lit(k)).alias("kmer")))
+    cut = parts.select(id_col, "at", F.explode(made).alias("_c")).select(id_col, (F.col("at") + F.col("_c.p")).alias("pos"), F.col("_c.kmer").alias("kmer"))
     return cut.where(F.length(F.translate("kmer", "ACGT", "")) <= max_degen)
 
 
@@ -69,25 +80,27 @@ def remove_existing(kmers: DataFrame, panel: DataFrame) -> DataFrame:
 
 def rank_candidates(centroids: DataFrame) -> DataFrame:
     """By cluster size, largest first; ties by k-mer."""
-    return centroids.orderBy(F.desc("size"), "kmer")
+    return centroids.orderBy(F.desc("size"), F.asc_nulls_last("kmer"))
 
 
 def take_top(candidates: DataFrame, n: int | None, name: str) -> DataFrame:
-    """(probe_id, seq): the first n, or all, numbered from 1.
+    """(probe_id, seq): the first n, or all, numbered from 1. Candidates with a null k-mer come last among their size.
 
-    With n, Spark keeps the top n of each task; without, ranks come from sorted
-    partitions and their sizes, so that no task holds all rows.
+    Up to FEW of them are what each task's best hold. Otherwise ranks come from
+    sorted partitions and their sizes, so no task holds all rows. Both give the same.
     """
-    if n is not None:
-        best = rank_candidates(candidates).limit(n)
-        order = Window.orderBy(F.desc("size"), "kmer")
-        ranked = best.withColumn("_i", F.row_number().over(order))
+    if n is not None and n <= FEW:
+        ranked = rank_candidates(candidates).limit(n).withColumn("_i", F.row_number().over(Window.orderBy(F.desc("size"), F.asc_nulls_last("kmer"))))
     else:
-        ordered = rank_candidates(candidates).select("size", "kmer").withColumn("_p", F.spark_partition_id())
-        sizes = ordered.groupBy("_p").agg(F.count("*").alias("_c"))
-        before = sizes.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_b"))
-        own = F.row_number().over(Window.partitionBy("_p").orderBy(F.desc("size"), "kmer"))
+        ordered = saved(rank_candidates(candidates).select("size", "kmer", F.spark_partition_id().alias("_p")), "ranked")  # written, so that rows keep their partition
+        first, at = [], 0
+        for r in sorted(ordered.groupBy("_p").count().collect()):  # a row for each partition
+            first.append((r["_p"], at))
+            at += r["count"]
+        before = candidates.sparkSession.createDataFrame(first, "_p int, _b long")
+        own = F.row_number().over(Window.partitionBy("_p").orderBy(F.desc("size"), F.asc_nulls_last("kmer")))
         ranked = ordered.withColumn("_r", own).join(F.broadcast(before), "_p").withColumn("_i", F.col("_r") + F.col("_b"))
+        ranked = ranked if n is None else ranked.where(F.col("_i") <= n)
     return ranked.select(F.concat(F.lit(name + "_probe_"), F.col("_i").cast("string")).alias("probe_id"), F.col("kmer").alias("seq"))
 
 

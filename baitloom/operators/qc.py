@@ -1,4 +1,4 @@
-"""Quality control of input sequences."""
+"""Quality control of input sequences. Repeated rows are judged each by itself; an empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import LETTERS, letter_count, strip_tail
+from ..store import free_name
 
 
 def dedup_by_id(seqs: DataFrame, order_col: str = "ord", id_col: str = "target_id") -> DataFrame:
-    """The last row of each id."""
-    last = Window.partitionBy(id_col).orderBy(F.col(order_col).desc())
-    return seqs.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
+    """The last row of each id; of rows that share id and order, the one with the greatest sequence. Null ids count as one id."""
+    n = free_name("n", seqs.columns)
+    last = Window.partitionBy(id_col).orderBy(F.col(order_col).desc(), F.col("seq").desc_nulls_last())
+    return seqs.withColumn(n, F.row_number().over(last)).where(F.col(n) == 1).drop(n)
 
 
 def composition_per_seq(seqs: DataFrame, id_col: str = "target_id") -> DataFrame:
@@ -38,18 +40,29 @@ def composition_overall(seqs: DataFrame) -> DataFrame:
 
 
 def qc_flag(seqs: DataFrame, max_nonstandard: float = 0.01, max_n: float = 0.05, min_len: int = 100, min_c: float = 0.01) -> DataFrame:
-    """Adds reason (the first that holds, else keep), trimmed_seq and trimmed_bp."""
+    """Adds reason (the first that holds, else keep), trimmed_seq and trimmed_bp.
+
+    A null sequence is no_sequence; an empty one is too_short. What is measured of a
+    sequence is exploded from an array of one: no filter is pushed below that, so
+    the sequence is made and read once, however it came to be.
+    """
     seq, n = F.col("seq"), F.length("seq")
-    trimmed = strip_tail(seq)
+    share = lambda part: F.try_divide(part, n)
+    odd = n - letter_count(seq, "ACGTNacgtn")
+    measured = F.struct(n.alias("n"), share(letter_count(seq, "Nn")).alias("n_share"), share(odd).alias("odd_share"), share(letter_count(seq, "Cc")).alias("c_share"), strip_tail(seq).alias("trimmed"))
+    q = free_name("qc", seqs.columns)
+    known = seqs.select("*", F.explode(F.array(measured)).alias(q))
+    left = F.length(f"{q}.trimmed")
     reason = (
-        F.when(letter_count(seq, "Nn") / n > max_n, "excess_n")
-        .when((n - letter_count(seq, "ACGTNacgtn")) / n >= max_nonstandard, "nonstandard")
-        .when(n < min_len, "too_short")
-        .when(letter_count(seq, "Cc") / n < min_c, "no_c")
-        .when(F.length(trimmed) < min_len, "short_after_trim")
+        F.when(F.col(f"{q}.n").isNull(), "no_sequence")
+        .when(F.col(f"{q}.n_share") > max_n, "excess_n")
+        .when(F.col(f"{q}.odd_share") >= max_nonstandard, "nonstandard")
+        .when(F.col(f"{q}.n") < min_len, "too_short")
+        .when(F.col(f"{q}.c_share") < min_c, "no_c")
+        .when(left < min_len, "short_after_trim")
         .otherwise("keep")
     )
-    return seqs.withColumns({"reason": reason, "trimmed_seq": trimmed, "trimmed_bp": n - F.length(trimmed)})
+    return known.withColumns({"reason": reason, "trimmed_seq": F.col(f"{q}.trimmed"), "trimmed_bp": F.col(f"{q}.n") - left}).drop(q)
 
 
 def qc_filter(seqs: DataFrame, **limits) -> DataFrame:

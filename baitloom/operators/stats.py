@@ -18,8 +18,8 @@ PERCENTILES = (0, 0.05, 0.1, 0.25, 0.5, 0.75, 1)
 
 def _with_letters(segments: DataFrame, targets: DataFrame) -> DataFrame:
     """Segments with n bases, n_atgc and (upper-case) n_n."""
-    part = F.substring(F.col("seq"), F.col("start") + 1, F.col("end") - F.col("start"))
-    j = segments.join(targets.select("target_id", "seq"), "target_id")
+    j = segments.join(targets.select("target_id", F.encode("seq", "UTF-8").alias("_raw")), "target_id")
+    part = F.substring(F.col("_raw"), F.col("start") + 1, F.col("end") - F.col("start")).cast("string")  # from bytes, where any place is reached at once
     return j.select("target_id", "depth", (F.col("end") - F.col("start")).cast("long").alias("n"), letter_count(part, "ACGTacgt").cast("long").alias("n_atgc"), letter_count(part, "N").cast("long").alias("n_n"))
 
 

@@ -60,8 +60,8 @@ _PARTS = {
       WHERE r IN (floor((n - 1) * p), ceil((n - 1) * p)) GROUP BY p""",
     "tiles": _tiles("k", "target_id", "x"),
     "props": "SELECT letter, count(*) AS n, count(*) * 1.0 / sum(count(*)) OVER () AS prop FROM (SELECT unnest(string_split(upper(seq), '')) AS letter FROM g WHERE length(seq) > 0) GROUP BY 1",
-    "km20": "SELECT target_id, CAST(pos AS INT) AS pos, kmer FROM (SELECT target_id, pos, substr(seq, pos + 1, 120) AS kmer FROM (SELECT target_id, upper(seq) AS seq, unnest(range(0, length(seq) - 119, 20)) AS pos FROM k)) WHERE length(translate(kmer, 'ACGT', '')) = 0",
-    "km120": "SELECT kmer, count(*) AS size FROM (SELECT substr(seq, pos + 1, 120) AS kmer FROM (SELECT upper(seq) AS seq, unnest(range(0, length(seq) - 119, 120)) AS pos FROM k)) WHERE length(translate(kmer, 'ACGT', '')) = 0 GROUP BY 1",
+    "km": "SELECT target_id, CAST(pos AS INT) AS pos, kmer FROM (SELECT target_id, pos, substr(seq, pos + 1, 120) AS kmer FROM (SELECT target_id, upper(seq) AS seq, unnest(range(0, length(seq) - 119)) AS pos FROM k)) WHERE length(translate(kmer, 'ACGT', '')) = 0",
+    "ks": "SELECT kmer, count(*) AS size FROM km GROUP BY 1",
     "nd": "SELECT l_orderkey AS o, r, l_orderkey || '_' || r AS id, translate(CAST(l_partkey AS VARCHAR), '0123456789', 'ACGTACGTAC') AS seq, l_partkey, CASE WHEN l_suppkey % 23 = 0 THEN '-' ELSE '+' END AS orient FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS r FROM lineitem)",
     "ln": "SELECT a.id AS from_id, '+' AS from_orient, b.id AS to_id, b.orient AS to_orient FROM nd a JOIN nd b ON a.o = b.o AND b.r = a.r + 1 UNION ALL SELECT a.id, '+', b.id, b.orient FROM nd a JOIN nd b ON b.o = a.o + 1 AND b.r = 1 WHERE a.l_partkey % 17 = 0",
     "od": "SELECT from_id, count(*) AS c FROM ln WHERE from_orient = '+' GROUP BY 1",
@@ -79,22 +79,21 @@ _PARTS = {
     "xg": "SELECT *, min(before) OVER (PARTITION BY probe_id, strand, target_id, diag ORDER BY x ROWS UNBOUNDED PRECEDING) AS least FROM xt",
     "xe": "SELECT * FROM (SELECT *, total - least AS score, row_number() OVER (PARTITION BY probe_id, strand, target_id, diag ORDER BY total - least DESC, x) AS rn FROM xg) WHERE rn = 1",
     "xb": "SELECT xe.probe_id, xe.strand, xe.target_id, xe.diag, xe.score, xe.x AS last, min(xt.x) AS first, any_value(xe.matches) - min_by(xt.matches - xt.eq, xt.x) AS same FROM xe JOIN xt ON xt.probe_id = xe.probe_id AND xt.strand = xe.strand AND xt.target_id = xe.target_id AND xt.diag = xe.diag AND xt.x <= xe.x AND xt.before = xe.least GROUP BY 1, 2, 3, 4, 5, 6",
-    "xi": """SELECT *, sum(fresh) OVER (PARTITION BY probe_id, strand, target_id ORDER BY low, high) AS island FROM (
-        SELECT *, CASE WHEN max(high) OVER (PARTITION BY probe_id, strand, target_id ORDER BY low, high ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= low THEN 0 ELSE 1 END AS fresh FROM (
-          SELECT *, diag + first + 1 AS low, diag + last + 1 AS high FROM xb))""",
-    "al": """SELECT xi.probe_id, target_id, same * 100.0 / (last - first + 1) AS pident, CAST(last - first + 1 AS INT) AS length, CAST(last - first + 1 - same AS INT) AS mismatch, 0 AS gapopen,
+    "xa": "SELECT *, diag + first + 1 AS low, diag + last + 1 AS high, same * 100.0 / (last - first + 1) AS pident FROM xb WHERE last - first + 1 >= 40 AND same * 100.0 / (last - first + 1) >= 85",
+    "al": """SELECT x.probe_id, target_id, pident, CAST(last - first + 1 AS INT) AS length, CAST(last - first + 1 - same AS INT) AS mismatch, 0 AS gapopen,
         CAST(CASE strand WHEN '+' THEN first + 1 ELSE length(p.seq) - last END AS INT) AS qstart, CAST(CASE strand WHEN '+' THEN last + 1 ELSE length(p.seq) - first END AS INT) AS qend,
         CAST(CASE strand WHEN '+' THEN low ELSE high END AS INT) AS sstart, CAST(CASE strand WHEN '+' THEN high ELSE low END AS INT) AS send, CAST(score AS INT) AS score
-      FROM (SELECT *, row_number() OVER (PARTITION BY probe_id, strand, target_id, island ORDER BY score DESC, low, high) AS best FROM xi) xi JOIN panel p USING (probe_id) WHERE best = 1""",
+      FROM xa x JOIN panel p USING (probe_id) WHERE NOT EXISTS (SELECT 1 FROM xa g WHERE g.probe_id = x.probe_id AND g.strand = x.strand AND g.target_id = x.target_id AND g.diag <> x.diag
+        AND g.first <= x.first AND g.last >= x.last AND g.low <= x.low AND g.high >= x.high AND g.score >= x.score)""",
     "pbc": _per_base("al"),
     "segc": _runs("pbc"),
 }
 _NEEDS = {
     "f": "g", "k": "f", "panel": "bm", "aln": "k", "aln2": "k", "letters": "k", "pb": "letters aln", "pb2": "letters aln2", "seg": "pb", "zero": "seg", "sm": "pb zero", "st": "sm", "sc": "st", "long": "sc", "low": "seg k",
-    "cov": "pb", "pct": "cov", "tiles": "k", "props": "g", "km20": "k", "km120": "k", "ln": "nd", "od": "ln", "ind": "ln", "mg": "ln od ind", "ch": "mg", "cho": "ch od", "ps": "panel", "pw": "ps", "tw": "k pw", "dg": "tw pw",
-    "xs": "dg ps", "xm": "xs letters", "xt": "xm", "xg": "xt", "xe": "xg", "xb": "xe xt", "xi": "xb", "al": "xi panel", "pbc": "letters al", "segc": "pbc",
+    "cov": "pb", "pct": "cov", "tiles": "k", "props": "g", "km": "k", "ks": "km", "ln": "nd", "od": "ln", "ind": "ln", "mg": "ln od ind", "ch": "mg", "cho": "ch od", "ps": "panel", "pw": "ps", "tw": "k pw", "dg": "tw pw",
+    "xs": "dg ps", "xm": "xs letters", "xt": "xm", "xg": "xt", "xe": "xg", "xb": "xe xt", "xa": "xb", "al": "xa panel", "pbc": "letters al", "segc": "pbc",
 }
-_STORED = {"g", "f", "k", "letters", "pb", "seg", "sm", "st", "mg", "ch", "dg", "xt", "pbc", "segc", "al"}
+_STORED = {"g", "f", "k", "letters", "pb", "seg", "sm", "st", "mg", "ch", "dg", "xt", "xa", "pbc", "segc", "al"}
 
 
 def _with(needs: str, body: str, **swap: str) -> str:
@@ -146,7 +145,7 @@ ORACLES: dict[str, str] = {
             SELECT probe_id, unnest(range(0, length(seq))) AS i, unnest(string_split(upper(seq), '')) AS x FROM tiles))
           CROSS JOIN (SELECT {', '.join(f"coalesce(max(prop) FILTER (letter = '{x}'), 0) AS w_{x}" for x in 'ACGT')} FROM props) GROUP BY probe_id""",
     ),
-    "f11_enum_kmers": _with("km20", "SELECT target_id, pos, md5(kmer) AS kmer_md5 FROM km20"),
+    "f11_enum_kmers": _with("km", "SELECT target_id, pos, md5(kmer) AS kmer_md5 FROM km"),
     "f12_reverse_complement": _with("g", "SELECT target_id, md5(reverse(translate(seq, 'ACGTRY', 'TGCAYR'))) AS seq_md5 FROM g"),
     "f13_length_band": _with("k", "SELECT target_id, CAST(length(seq) AS INT) AS n, m AS median_len FROM k, (SELECT median(length(seq)) AS m FROM k) WHERE length(seq) > m * (1 - 0.1) AND length(seq) < m * (1 + 0.1)"),
     "f14_length_normalised_profile": _with(
@@ -158,7 +157,7 @@ ORACLES: dict[str, str] = {
     "j2_filter_alignments": _with("aln", "SELECT * FROM aln WHERE pident >= 85 AND length >= 90"),
     "j3_alignments_to_depth": _with("seg", "SELECT * FROM seg"),
     "j4_merge_capture": _with("pb pb2", _runs("(SELECT a.target_id, a.p, a.depth + b.depth AS depth FROM pb a JOIN pb2 b ON a.target_id = b.target_id AND a.p = b.p)")),
-    "j5_remove_existing": _with("km20 tiles", "SELECT count(*) AS n, min(kmer) AS first, max(kmer) AS last FROM (SELECT DISTINCT kmer FROM km20 WHERE kmer NOT IN (SELECT seq FROM tiles))"),
+    "j5_remove_existing": _with("km tiles", "SELECT DISTINCT md5(kmer) AS kmer_md5 FROM km WHERE kmer NOT IN (SELECT seq FROM tiles)"),
     "j6_attach_clusters": _with("sc", f"SELECT target_id, {_STATS}, cluster FROM sc"),
     "j7_members_to_sequences": _with("g", "SELECT source AS cluster, 'genome_' || lpad(CAST(target_id AS VARCHAR), 12, '0') AS id, ord, CAST(length(seq) AS INT) AS n FROM g"),
     "j8_mergeable_links": _with("mg", "SELECT * FROM mg"),
@@ -198,19 +197,28 @@ ORACLES: dict[str, str] = {
         + " FROM pb GROUP BY target_id",
     ),
     "a8_mapped_probe_count": _with("aln", "SELECT count(DISTINCT probe_id) AS mapped_probes FROM aln WHERE pident >= 85 AND length >= 90"),
-    "a9_panel_counts": _with("panel km120", "SELECT count(*) AS total, count(*) FILTER (contains(id, '_round_')) AS added FROM (SELECT probe_id AS id FROM panel UNION ALL SELECT * FROM (SELECT 'x_round_3_probe_' || row_number() OVER (ORDER BY size DESC, kmer) FROM km120 ORDER BY size DESC, kmer LIMIT 50))"),
+    "a9_panel_counts": _with("panel ks", "SELECT count(*) AS total, count(*) FILTER (contains(id, '_round_')) AS added FROM (SELECT probe_id AS id FROM panel UNION ALL SELECT * FROM (SELECT 'x_round_3_probe_' || row_number() OVER (ORDER BY size DESC, kmer) FROM ks ORDER BY size DESC, kmer LIMIT 50))"),
     "a10_cluster_sizes": _with("sc", "SELECT cluster, count(*) AS genomes FROM sc GROUP BY 1"),
     "a11_depth_class_long": _with("long", "SELECT target_id, cluster, depth_class, round(pct, 6) AS pct FROM long"),
     "a12_boxplot_stats": _with("long", "SELECT depth_class, cluster, round(quantile_cont(pct, 0.25), 6) AS q1, round(quantile_cont(pct, 0.5), 6) AS med, round(quantile_cont(pct, 0.75), 6) AS q3, round(min(pct), 6) AS low, round(max(pct), 6) AS high, count(*) AS n FROM long GROUP BY 1, 2"),
     "a13_low_coverage_bases": _with("low", "SELECT CAST(coalesce(sum(greatest(len, 120)), 0) AS BIGINT) AS bases, CAST(floor(coalesce(sum(greatest(len, 120)), 0) / 120 * 0.3) AS BIGINT) AS batch_size FROM low"),
-    "a14_kmer_support": _with("km20", "SELECT md5(kmer) AS kmer_md5, count(*) AS size FROM km20 GROUP BY kmer"),
-    "t1_rank_candidates": _with("km120", "SELECT 'x_probe_' || row_number() OVER (ORDER BY size DESC, kmer) AS probe_id, kmer AS seq FROM km120"),
-    "t2_take_top": _with("km120", "SELECT 'x_probe_' || row_number() OVER (ORDER BY size DESC, kmer) AS probe_id, kmer AS seq FROM km120 ORDER BY size DESC, kmer LIMIT 100"),
-    "u1_append_probes": _with("tiles g panel", "SELECT probe_id, count(*) AS n, min(seq) AS seq FROM (SELECT * FROM tiles UNION ALL SELECT 'x_' || target_id || '_padded_probe', lpad(s, 120, 'T') FROM (SELECT target_id, regexp_replace(seq, '[Nn]', '', 'g') AS s FROM g WHERE length(seq) < 120) WHERE length(s) >= 90 UNION ALL SELECT * FROM panel) GROUP BY 1"),
+    "a14_kmer_support": _with("km", "SELECT md5(kmer) AS kmer_md5, count(*) AS size FROM km GROUP BY kmer"),
+    "t1_rank_candidates": _with("ks", "SELECT 'x_probe_' || row_number() OVER (ORDER BY size DESC, kmer) AS probe_id, md5(kmer) AS seq_md5 FROM ks"),
+    "t2_take_top": _with("ks", "SELECT 'x_probe_' || row_number() OVER (ORDER BY size DESC, kmer) AS probe_id, kmer AS seq FROM ks ORDER BY size DESC, kmer LIMIT 100"),
+    "u1_append_probes": _with("tiles g panel", "SELECT * FROM tiles UNION ALL SELECT 'x_' || target_id || '_padded_probe', lpad(s, 120, 'T') FROM (SELECT target_id, regexp_replace(seq, '[Nn]', '', 'g') AS s FROM g WHERE length(seq) < 120) WHERE length(s) >= 90 UNION ALL SELECT * FROM panel"),
     "u2_merged_pangenome": _with("nd ch", f"SELECT md5(id) AS id, CAST(length(seq) AS INT) AS n FROM ({_CHAINED.format('ch')}) UNION ALL SELECT md5(id), CAST(length(seq) AS INT) FROM nd WHERE id NOT IN (SELECT id FROM ch)"),
     "u3_shared_targets": _with("k", "SELECT coalesce(k.target_id, doc_id) AS target_id, CASE WHEN doc_id IS NULL THEN 'left' WHEN k.target_id IS NULL THEN 'right' ELSE 'both' END AS side FROM k FULL JOIN documents ON doc_id = k.target_id"),
     "g1_merge_linear_chains": _with("nd cho", f"SELECT id, seq FROM ({_CHAINED.format('cho')}) UNION ALL SELECT id, seq FROM nd WHERE id NOT IN (SELECT id FROM cho)"),
     "g8_capture": _with("segc", "SELECT * FROM segc"),
     "g9_evaluate": _with("st panel", _SUMMARY, **_CAPTURED),
     "evaluate_panel": _with("sc", f"SELECT target_id, {_STATS}, cluster FROM sc", **_CAPTURED),
+    "s1_read_fasta": _with("k", "SELECT CAST(target_id AS VARCHAR) AS id, target_id || ' of ' || source AS header, md5(seq) AS seq_md5 FROM k"),
+    "s2_read_capture": _with("sm", "SELECT CAST(target_id AS VARCHAR) AS target_id, md5(string_agg(base, '' ORDER BY p)) AS seq_md5, md5(string_agg(depth, ',' ORDER BY p)) AS depth_md5 FROM sm GROUP BY 1"),
+    "s3_read_alignments": _with("aln", "SELECT probe_id, CAST(target_id AS VARCHAR) AS target_id, pident, length, sstart, send FROM aln"),
+    "s4_read_clusters": "SELECT CAST(doc_id AS VARCHAR) AS id, source AS cluster FROM documents",
+    "s5_read_gfa_links": _with("ln", "SELECT * FROM ln"),
+    "s6_write_fasta": _with("panel", "SELECT '>' || probe_id AS line FROM panel UNION ALL SELECT seq FROM panel"),
+    "s7_write_capture": _with("pb", "SELECT md5('>' || target_id) AS line_md5 FROM (SELECT DISTINCT target_id FROM pb) UNION ALL SELECT md5('$' || string_agg(base, '' ORDER BY p)) FROM pb GROUP BY target_id UNION ALL SELECT md5('#' || string_agg(depth, ',' ORDER BY p)) FROM pb GROUP BY target_id"),
+    "s8_write_stats_csv": _with("cov", "SELECT target_id || ',' || printf('%.3f', round(coverage, 2)) AS line FROM cov"),
+    "s9_write_report_tsv": _with("pct pb", f"SELECT 'panel' AS name, {', '.join(f'{x} AS {x}' for x in (f'depth_{d}' for d in range(5)))}, depth_5plus, (SELECT value FROM pct WHERE p = 0.5) AS cov_med FROM (SELECT {_SHARES} FROM pb)"),
 }

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sequences import ambiguous_count, reverse_complement, strip_tail
+from .. import sources as R
 from ..operators import depth as D
 from ..operators import graph as G
 from ..operators import probes as P
 from ..operators import qc as Q
 from ..operators import stats as S
+from ..store import scratch
 from . import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,7 +98,7 @@ def f10_substitute_ambiguous(spark, d):
 
 @query
 def f11_enum_kmers(spark, d):
-    return P.enum_kmers(T.kept(spark, d), k=120, step=20).select("target_id", "pos", F.md5("kmer").alias("kmer_md5"))
+    return P.enum_kmers(T.kept(spark, d), k=120).select("target_id", "pos", F.md5("kmer").alias("kmer_md5"))
 
 
 @query
@@ -136,9 +138,8 @@ def j4_merge_capture(spark, d):
 
 @query
 def j5_remove_existing(spark, d):
-    kmers = P.enum_kmers(T.kept(spark, d), k=120, step=20).select("kmer").distinct()
-    tiles = P.tile(T.kept(spark, d), prefix="x")
-    return P.remove_existing(kmers, tiles).agg(F.count("*").alias("n"), F.min("kmer").alias("first"), F.max("kmer").alias("last"))
+    kmers = P.enum_kmers(T.kept(spark, d), k=120).select("kmer").distinct()
+    return P.remove_existing(kmers, P.tile(T.kept(spark, d), prefix="x")).select(F.md5("kmer").alias("kmer_md5"))
 
 
 @query
@@ -245,7 +246,7 @@ def a8_mapped_probe_count(spark, d):
 
 @query
 def a9_panel_counts(spark, d):
-    kmers = P.enum_kmers(T.kept(spark, d), k=120, step=120)
+    kmers = P.enum_kmers(T.kept(spark, d), k=120)
     added = P.take_top(P.kmer_support(kmers), 50, "x_round_3")
     return P.panel_counts(P.append_probes(T.panel(spark, d), added))
 
@@ -272,26 +273,26 @@ def a13_low_coverage_bases(spark, d):
 
 @query
 def a14_kmer_support(spark, d):
-    kmers = P.enum_kmers(T.kept(spark, d), k=120, step=20)
+    kmers = P.enum_kmers(T.kept(spark, d), k=120)
     return P.kmer_support(kmers).select(F.md5("kmer").alias("kmer_md5"), "size")
 
 
 @query
 def t1_rank_candidates(spark, d):
-    support = P.kmer_support(P.enum_kmers(T.kept(spark, d), k=120, step=120))
-    return P.take_top(P.rank_candidates(support), None, "x")
+    support = P.kmer_support(P.enum_kmers(T.kept(spark, d), k=120))
+    return P.take_top(support, None, "x").select("probe_id", F.md5("seq").alias("seq_md5"))
 
 
 @query
 def t2_take_top(spark, d):
     """A top-k report: the 100 most frequent k-mers."""
-    return P.take_top(P.kmer_support(P.enum_kmers(T.kept(spark, d), k=120, step=120)), 100, "x")
+    return P.take_top(P.kmer_support(P.enum_kmers(T.kept(spark, d), k=120)), 100, "x")
 
 
 @query
 def u1_append_probes(spark, d):
     g = T.genomes(spark, d)
-    return P.append_probes(P.tile(Q.qc_filter(g), prefix="x"), P.pad_short(g, prefix="x"), T.panel(spark, d)).groupBy("probe_id").agg(F.count("*").alias("n"), F.min("seq").alias("seq"))
+    return P.append_probes(P.tile(Q.qc_filter(g), prefix="x"), P.pad_short(g, prefix="x"), T.panel(spark, d))
 
 
 @query
@@ -391,3 +392,73 @@ def g10_design(spark, d):
     from ..operators.design import design
 
     return design(T.genomes(spark, d))[0]
+
+
+# Sources and sinks: a table is written in a format to the shared folder and read again.
+
+
+@query
+def s1_read_fasta(spark, d):
+    name = F.col("target_id").cast("string")
+    genomes = T.kept(spark, d).select(F.concat_ws(" of ", name, "source").alias("header"), "seq")
+    R.write_fasta(genomes, to := scratch(spark, "genomes.fa"), "header")
+    return R.read_fasta(spark, to).select("id", "header", F.md5("seq").alias("seq_md5"))
+
+
+def _capture_file(spark, d):
+    R.write_capture(D.to_dense(T.depth(spark, d), T.kept(spark, d)), to := scratch(spark, "capture.pt"))
+    return to
+
+
+@query
+def s2_read_capture(spark, d):
+    read = R.read_capture(spark, _capture_file(spark, d), smooth=10)
+    return read.select("target_id", F.md5("seq").alias("seq_md5"), F.md5(F.array_join(F.col("depth").cast("array<string>"), ",")).alias("depth_md5"))
+
+
+@query
+def s3_read_alignments(spark, d):
+    empty = [F.lit(0).alias(c) for c in ("mismatch", "gapopen", "qstart", "qend")]
+    aln = T.alignments(spark, d).select("probe_id", "target_id", "pident", "length", *empty, "sstart", "send", F.lit(0.0).alias("evalue"), F.lit(0.0).alias("bitscore"))
+    aln.write.csv(to := scratch(spark, "alignments.tsv"), sep="\t")
+    return R.read_alignments(spark, to).select("probe_id", "target_id", "pident", "length", "sstart", "send")
+
+
+@query
+def s4_read_clusters(spark, d):
+    T.clusters(spark, d).write.csv(to := scratch(spark, "clusters.tsv"), sep="\t")
+    return R.read_clusters(spark, to)
+
+
+@query
+def s5_read_gfa_links(spark, d):
+    """Among the lines of a graph, those of its links."""
+    nodes = T.nodes(spark, d).select(F.concat_ws("\t", F.lit("S"), "id", "seq"))
+    T.links(spark, d).select(F.concat_ws("\t", F.lit("L"), "from_id", "from_orient", "to_id", "to_orient", F.lit("0M"))).union(nodes).write.text(to := scratch(spark, "graph.gfa"))
+    return R.read_gfa_links(spark, to).drop("ord")
+
+
+@query
+def s6_write_fasta(spark, d):
+    R.write_fasta(T.panel(spark, d), to := scratch(spark, "panel.fa"))
+    return spark.read.text(to).withColumnRenamed("value", "line")
+
+
+@query
+def s7_write_capture(spark, d):
+    return spark.read.text(_capture_file(spark, d)).select(F.md5("value").alias("line_md5"))
+
+
+@query
+def s8_write_stats_csv(spark, d):
+    covered = S.coverage_at_depth(T.depth(spark, d), T.kept(spark, d)).withColumn("coverage", F.round("coverage", 2))
+    R.write_stats_csv(covered, to := scratch(spark, "stats.csv"))
+    return spark.read.csv(to, header=True).select(F.concat_ws(",", "target_id", "coverage").alias("line"))
+
+
+@query
+def s9_write_report_tsv(spark, d):
+    report = S.summary_report(T.depth(spark, d), T.kept(spark, d), "panel")
+    R.write_report_tsv(report, to := scratch(spark, "report.tsv"))
+    read = spark.read.csv(to, sep="\t", header=True)
+    return read.select("name", *[F.col(c).cast("double").alias(c) for c in ("depth_0", "depth_1", "depth_2", "depth_3", "depth_4", "depth_5plus", "cov_med")])

@@ -1,15 +1,18 @@
 """The whole job, where less was done before."""
 
-import math
+import itertools
 import random
 from collections import Counter
 
-import pytest
+from pyspark.sql import functions as F
 
 from baitloom import catalog
-from baitloom.llm import html_text, url_filter
+from baitloom.operators import align
 from baitloom.operators import cluster as C
 from baitloom.operators import depth as D
+from baitloom.operators import probes as P
+from baitloom.operators import qc as Q
+from baitloom.operators.align import align_probes
 from baitloom.operators.design import capture
 from baitloom.plans import tables as T
 
@@ -47,36 +50,94 @@ def test_reverse_copies_of_genomes_are_one(spark):
     assert C.dereplicate_genomes(spark.createDataFrame([("a", seq), ("b", back)], "id string, seq string"), trigger=0).count() == 1
 
 
-def test_short_sections_and_headings_stay():
-    long = "".join(f"<p>{'Word, and more words, ' * 20}{i}.</p>" for i in range(6))
-    short = "<h2>Two</h2><p>Short one.</p><ul><li>Point.</li></ul><table><tr><td>Cell.</td></tr></table>"
-    links = "<ul><li><a href='/a'>Link away</a></li></ul>"
-    for a, z in (("<article>", "</article>"), ("<main>", "</main>"), ("<div>", "</div>")):
-        page = f"<html><body><nav>Menu</nav>{a}<h1>Title</h1><div class='body'><div class='sec'>{long}</div><div class='sec'>{short}</div>{links}</div><div class='comments'><p>Reply</p></div>{z}<footer>End</footer></body></html>"
-        got = html_text.main_text(page)
-        assert got.startswith("Title Word,") and got.endswith("Two Short one. Point. Cell.")
-        assert not any(x in got for x in ("Menu", "Link away", "Reply", "End"))
-
-
-@pytest.mark.parametrize("bits", [21, 8])
-def test_url_scores_are_of_exact_counts(spark, bits):
-    rng = random.Random(14)
-    hosts = ("a.net", "www.example.net", "example.com", "x.org", "other.info", "é.dev")
-    rows = [(i, f"http://{rng.choice(hosts)}/{rng.choice(('en', 'de', 'fr'))}/{rng.randrange(10**6)}") for i in range(80)] + [(80, None), (81, "nothing")]
-    got = url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), bits=bits).collect()
-    text = lambda r: list(f"{r.host}{r.path}\n".encode()) if r.host else []
-    counts = {"allow": Counter(), "block": Counter()}
-    grams = lambda u: [[(tuple(([-1] * 5 + u)[i + 5 - k : i + 5]), u[i]) for k in range(6)] for i in range(len(u))]
-    for r in got:
-        for char in grams(text(r)) if r.rule else ():
-            for context, letter in char:
-                counts[r.verdict].update([(context,), (context, letter)])
-    for r in got:
-        want = 0.0
-        for char in grams(text(r)):
-            p = {"allow": 1 / 256, "block": 1 / 256}
-            for context, letter in char:
-                p = {y: (counts[y][context, letter] + 3 * p[y]) / (counts[y][context,] + 3) for y in p}
-            want += math.log(p["allow"] / p["block"]) / len(text(r))
-        assert abs(r.score - want) < 1e-6
-    assert len(got) == len(rows)
+def test_tandem_repeats_are_covered(spark):
+    unit = letters(random.Random(15), 60)
+    probe = spark.createDataFrame([("p", unit * 2)], "probe_id string, seq string")
+    target = spark.createDataFrame([("t", unit * 10)], "target_id string, seq string")
+    got = capture(probe, target).collect()
+    assert min(r.depth for r in got) >= 1 and sum(r.end - r.start for r in got) == 600
+    assert align_probes(probe, target).count() == 9
+
+
+def test_an_indel_splits_only_ungapped_hits(spark):
+    rng = random.Random(16)
+    target = letters(rng, 900)
+    probe = spark.createDataFrame([("gone", target[300:360] + target[363:423]), ("more", target[500:560] + "ACG" + target[560:617])], "probe_id string, seq string")
+    targets = spark.createDataFrame([("t", target)], "target_id string, seq string")
+    assert align_probes(probe, targets).isEmpty()
+    got = {r.probe_id: (r.sstart, r.send, r.gapopen > 0, r.mismatch, r.length) for r in align_probes(probe, targets, gapped=True).collect()}
+    assert got == {"gone": (301, 423, True, 0, 123), "more": (501, 617, True, 0, 120)}
+
+
+def test_chunks_and_blocks_change_nothing(spark, monkeypatch):
+    rng = random.Random(17)
+    unit = letters(rng, 40)
+    rows = [(f"t{i}", letters(rng, 700) + unit * 9 + letters(rng, 300)) for i in range(4)] + [("none", None), ("empty", ""), ("n", "N" * 300)]
+    targets = spark.createDataFrame(rows, "target_id string, seq string")
+    probes = spark.createDataFrame([(f"p{i}", rows[i % 4][1][at : at + 120]) for i, at in enumerate(range(0, 1200, 90))] + [("u", unit * 3), ("x", None), ("y", "")], "probe_id string, seq string")
+    whole = sorted(map(tuple, align_probes(probes, targets, min_len=40).collect()))
+    monkeypatch.setattr(align, "CHUNK", 150)
+    monkeypatch.setattr(align, "PROBES_AT_ONCE", 5)
+    assert sorted(map(tuple, align_probes(probes, targets, min_len=40).collect())) == whole and len(whole) > 40
+
+
+def test_kmers_cluster_as_one_by_one(spark):
+    rng = random.Random(18)
+    base = [letters(rng, 200) for _ in range(6)]
+    base += ["".join(rng.choice("ACGT") if rng.random() < 0.1 else x for x in b) for b in base]
+    count = Counter(b[i : i + 60] for b in base for i in range(0, 141, 7))
+    order = sorted(count, key=lambda x: (-count[x], x))
+
+    def alike(x, y):
+        for s in range(-59, 60):
+            pairs = [(x[i], y[i - s]) for i in range(max(0, s), min(60, 60 + s))]
+            run = "".join("1" if a == b else "0" for a, b in pairs)
+            if len(pairs) >= 32 and "1" * 13 in run and run.count("1") >= 0.85 * len(pairs):
+                return True
+        return False
+
+    sizes = {}
+    for x in order:
+        own = next((c for c in sizes if alike(x, c)), x)
+        sizes[own] = sizes.get(own, 0) + count[x]
+    support = spark.createDataFrame(sorted(count.items()), "kmer string, size long")
+    for batch in (5, 4096):
+        assert {r.kmer: r.size for r in C.cluster_kmers(support, 0.85, batch=batch).collect()} == sizes
+    assert 10 < len(sizes) < len(order)
+
+
+def test_odd_rows(spark):
+    rows = [("e", "", 1), ("z", None, 2), ("a", "ACGT" * 30, 3), ("a", "ACGT" * 31, 3)]
+    seqs = spark.createDataFrame(rows, "target_id string, seq string, ord int").withColumn("qc", F.lit(1))
+    assert sorted((r.target_id, r.reason, r.qc) for r in Q.qc_flag(seqs).collect()) == [("a", "keep", 1), ("a", "keep", 1), ("e", "too_short", 1), ("z", "no_sequence", 1)]
+    assert {r.target_id: len(r.seq or "") for r in Q.dedup_by_id(seqs).collect()} == {"a": 124, "e": 0, "z": 0}
+    empty = seqs.where("false")
+    assert [x.count() for x in (Q.qc_filter(empty), P.tile(empty), P.enum_kmers(empty), C.cluster_kmers(P.kmer_support(P.enum_kmers(empty)), 0.9))] == [0, 0, 0, 0]
+    assert sorted(r.pos for r in P.enum_kmers(seqs.where("target_id != 'z'"), 120).collect()) == [0, 0, 1, 2, 3, 4]
+
+
+def test_kmers_of_chunks_are_those_of_the_whole(spark, monkeypatch):
+    monkeypatch.setattr(P, "CHUNK", 50)
+    seq = letters(random.Random(19), 333)
+    for step in (1, 7, 60):
+        got = sorted((r.pos, r.kmer) for r in P.enum_kmers(spark.createDataFrame([("a", seq)], "target_id string, seq string"), 120, step).collect())
+        assert got == [(i, seq[i : i + 120]) for i in range(0, 214, step)]
+
+
+def test_ranks_over_partitions_are_those_of_a_limit(spark, monkeypatch):
+    rows = [("".join(x), n % 4) for n, x in enumerate(itertools.permutations("ACGTN"))]
+    frame = spark.createDataFrame(rows, "kmer string, size int").repartition(7)
+    small = sorted(map(tuple, P.take_top(frame, 50, "x").collect()))
+    monkeypatch.setattr(P, "FEW", 0)
+    assert sorted(map(tuple, P.take_top(frame, 50, "x").collect())) == small and P.take_top(frame, None, "x").count() == 120
+
+
+def test_plans(spark):
+    """Texts are turned into bases once, alignment shuffles no genome, and nothing is a cartesian product."""
+    d = "/root/testdata/sf0.001"
+    plan = lambda name: catalog.QUERIES[name](spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert plan("f8_tile").count("regexp_replace([^ACGTNRY]") <= 1
+    assert plan("f8_tile").count("regexp_replace") <= 3
+    j1 = plan("j1_align_probes")
+    assert "Exchange" not in j1 and "CartesianProduct" not in j1 and "Join" not in j1
+    assert not any(x in plan(q) for q in ("f6_qc_report", "w3_low_coverage", "a7_long_report", "f11_enum_kmers") for x in ("Python", "InArrow", "CartesianProduct"))
