@@ -1,57 +1,13 @@
-"""Written tables that cut lineage, and connected components over them."""
+"""Connected components over written tables, and tables of a checked size."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..store import free_name, saved, scratch
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the whole cluster shares: spark.checkpoint.dir, or a temporary folder where Spark runs on one machine."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
-    return f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
-@contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the queries that run inside go as soon as each ends."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
-def saved(frame: DataFrame, name: str) -> DataFrame:
-    """The frame, written to the shared folder and read back: its rows stay, and what it came from can go."""
-    spark = frame.sparkSession
-    to = scratch(spark, name)
-    with shuffles_removed(spark):
-        frame.write.parquet(to)
-    return spark.read.schema(frame.schema).parquet(to)
-
-
-def free_name(name: str, taken: Iterable[str]) -> str:
-    """A column name that is not among those taken, whatever their case."""
-    used = {x.lower() for x in taken}
-    while name.lower() in used:
-        name += "_"
-    return name
+__all__ = ["components", "free_name", "saved", "scratch", "sized"]
 
 
 def sized(frame: DataFrame, rows: int, most: int) -> DataFrame:
