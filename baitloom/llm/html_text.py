@@ -10,21 +10,28 @@ comment.
 A block's text has character references decoded and white space turned into
 one space; blocks are joined by one space in page order. A tag that the page's
 end cuts off is dropped. Null, empty and tag-only pages give an empty text;
-text without any markup is returned whole. Rows are read each for itself.
+text without any markup is returned whole. Rows are read each for itself, repeated
+or not, whole however long; a null page_id stays null. An empty table gives no rows.
+Other columns stay as they are, whatever their names; only text and n_chars are
+replaced.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._store import free_name
+
 # Names of HTML elements, by role.
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul head title noscript template button select label legend search".split())
 _RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
@@ -34,11 +41,15 @@ _PARAGRAPHS = frozenset("p pre blockquote td li dd dt h1 h2 h3 h4 h5 h6 figcapti
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 _LINES = _HEADINGS | frozenset("p pre blockquote figcaption caption".split())
 _CLOSES_P = _BLOCK - frozenset(["html", "body", "option", "optgroup", "button", "label", "legend"])
-# Words of class names, ids and roles that mark what is not the article.
-_AWAY = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|comments?|commentlist|respond|disqus|replies|sidebar\w*|side-?bar|side|widgets?|nav\w*|menus?|breadcrumbs?|pagination|pager|masthead|header|site-?header|page-?header|footer|site-?footer|share|sharing|social\w*|related|recommend\w*|newsletter|subscribe|subscription|signup|login|search\w*|toolbar|skip\w*|copyright|contentinfo|complementary|navigation|tags|meta)(?:$|[\s_-])",
-    re.I,
+# Class names, ids and roles of what is not the article, and parts that begin or end such a name.
+_AWAY = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion promotions banner cookie cookies consent gdpr notice notices alert alerts popup modal overlay "
+    "comment comments commentlist comment-list respond disqus reply replies sidebar side-bar aside widget widgets nav navbar navigation sidenav menu menus breadcrumb breadcrumbs pagination pager masthead header footer "
+    "site-header page-header main-header top-header share sharing share-buttons social social-links related related-posts related-articles related-links related-content recommended recommendations newsletter subscribe subscription "
+    "signup sign-up login search searchbox search-form toolbar skip-link skiplink copyright contentinfo complementary legal-notice reader-comments form".split()
 )
+_AWAY_FIRST = frozenset("ad ads advert adsense sponsored promo cookie cookies comment comments disqus sidebar nav navbar menu breadcrumb breadcrumbs footer popup modal newsletter gdpr widget social share".split())
+_AWAY_LAST = frozenset("ad ads advert advertisement banner cookies comment comments sidebar nav navbar navigation menu breadcrumb breadcrumbs footer popup modal newsletter widget disqus".split())
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[/a-zA-Z][^>]*$""",
     re.S,
@@ -55,6 +66,7 @@ class Node:
     text_n: int = 0
     link_n: int = 0
     order: int = 0
+    inside: bool = False  # an article or main
     blocks: list[tuple[int, str]] = field(default_factory=list)  # (place, text)
     children: list[Node] = field(default_factory=list)
 
@@ -71,14 +83,23 @@ def _marked_away(tag: str, attributes: str, inside_article: bool) -> bool:
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
-        elif tag not in ("html", "body", "article", "main", "p", "h1") and _AWAY.search(value):
+        elif tag not in ("html", "body", "article", "main", "h1") and any(map(_names_furniture, value.split())):
             return True
     return False
 
 
+@lru_cache(maxsize=4096)
+def _names_furniture(name: str) -> bool:
+    """Whether a whole class name, or its first or last part where that is plain, is of what stands beside an article."""
+    name = re.sub(r"(?<=[a-z])(?=[A-Z])|_+", "-", name).strip("-").lower()
+    parts = name.split("-")
+    return name in _AWAY or (len(parts) > 1 and (parts[0] in _AWAY_FIRST or parts[-1] in _AWAY_LAST))
+
+
 def _tree(page: str) -> Node:
-    """Block elements of a page; each holds the texts directly in it, by place."""
+    """Block elements of a page; each holds the texts directly in it, by place. Work is in proportion to the page, however deep it nests."""
     root = node = Node("root", None)
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     links = place = link_depth = 0
     at, end = 0, len(page)
@@ -95,14 +116,23 @@ def _tree(page: str) -> Node:
             parts.clear()
         links = 0
 
-    def up_to(tags: frozenset[str] | set[str], stops: frozenset[str]) -> Node | None:
-        """The nearest open element of these, below any of the stops."""
+    def close(tag: str) -> None:
+        """Ends the innermost open element of this tag, and all in it."""
+        nonlocal node
+        last = ""
+        while last != tag:
+            last = node.tag
+            opened[last] -= 1
+            node = node.parent
+
+    def close_implied(tag: str, stops: frozenset[str]) -> None:
+        """Ends an open element of this tag that no stop stands around."""
         x = node
-        while x is not None and x.tag not in tags:
-            if x.tag in stops or x.parent is None:
-                return None
+        while opened[tag] and x.tag not in stops and x.parent is not None:
+            if x.tag == tag:
+                close(tag)
+                return
             x = x.parent
-        return x
 
     while at < end:
         found = _TOKEN.search(page, at)
@@ -130,41 +160,38 @@ def _tree(page: str) -> Node:
                 link_depth = 1
             elif tag in _BLOCK or _hides(attributes):
                 flush()
-                if tag in _CLOSES_P and (p := up_to({"p"}, frozenset(["td", "th", "article", "section", "div", "body", "li"]))):
-                    node = p.parent or root
-                if tag == "li" and (x := up_to({"li"}, frozenset(["ul", "ol", "menu"]))):
-                    node = x.parent or root
-                if tag in ("dd", "dt") and (x := up_to({"dd", "dt"}, frozenset(["dl"]))):
-                    node = x.parent or root
-                if tag in ("td", "th") and (x := up_to({"td", "th"}, frozenset(["tr", "table"]))):
-                    node = x.parent or root
-                if tag == "tr" and (x := up_to({"tr"}, frozenset(["table"]))):
-                    node = x.parent or root
-                if tag in ("body", "main", "article") and (x := up_to({"head"}, frozenset())):
-                    node = x.parent or root
+                if tag in _CLOSES_P:
+                    close_implied("p", _STOPS["p"])
+                for other in _CLOSES.get(tag, ()):
+                    close_implied(other, _STOPS[other])
                 if tag in _VOID or attributes.rstrip().endswith("/"):
                     continue
-                inside = node.away or _marked_away(tag, attributes, up_to({"article", "main"}, frozenset()) is not None)
+                away = node.away or _marked_away(tag, attributes, node.inside)
                 place += 1
-                node.children.append(Node(tag, node, inside, order=place))
+                node.children.append(Node(tag, node, away, order=place, inside=node.inside or tag in ("article", "main")))
                 node = node.children[-1]
+                opened[tag] += 1
                 link_depth = 0
         elif tag == "a":
             link_depth = 0
-        else:
-            x = node
-            while x.parent is not None and x.tag != tag:
-                x = x.parent
-            if x.parent is not None:
-                flush()
-                node = x.parent
-                link_depth = 0
-            elif tag in _BLOCK:
-                flush()
+        elif opened[tag]:
+            flush()
+            close(tag)
+            link_depth = 0
+        elif tag in _BLOCK:
+            flush()
     flush()
     return root
 
 
+# Which open elements a start tag ends, and which elements they are looked for in.
+_CLOSES = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",), "body": ("head",), "main": ("head",), "article": ("head",)}
+_STOPS = {
+    "p": frozenset("td th article section div body li".split()), "li": frozenset("ul ol menu".split()), "dd": frozenset(["dl"]), "dt": frozenset(["dl"]), "td": frozenset("tr table".split()), "th": frozenset("tr table".split()),
+    "tr": frozenset(["table"]), "head": frozenset(),
+}
+
+
 def _hides(attributes: str) -> bool:
     """Whether an inline element is marked as hidden or as not the article, and so must stand apart."""
     return bool(attributes) and ("class" in attributes or "id" in attributes or "hidden" in attributes or "style" in attributes) and _marked_away("span", attributes, True)
@@ -271,7 +298,7 @@ def _around(best: Node) -> Iterator[list[tuple[int, str]]]:
 def extract_text(pages: DataFrame, *, keep: list[str] | None = None) -> DataFrame:
     """Adds text and n_chars to each page row; columns with these names are replaced."""
     keep = [c for c in (pages.columns if keep is None else keep) if c not in ("text", "n_chars")]
-    read = pages.select(F.col("html").alias("__html"), *keep)
+    read = pages.select(F.col("html").alias(free_name("html", keep)), *keep)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,7 +1,10 @@
 """Main text and URL scores on hand-made rows."""
 
+import html
 import math
 import random
+import re
+import time
 from collections import Counter
 
 import pytest
@@ -20,6 +23,38 @@ def test_short_sections_and_headings_stay():
         assert not any(x in got for x in ("Menu", "Link away", "Reply", "End"))
 
 
+PAGES = [
+    ("<body><div id=content><h1>Head</h1><div class=sec>{long}</div><div class=sec><p>Short.</p></div></div></body>", "Head {text} Short."),
+    ("<body><div><h2>Head</h2><div class=text>{long}</div><ul><li>Point.</li></ul></div></body>", "Head {text} Point."),
+    ("<body><article>{long}<div class='related-work'><p>Other work.</p></div><div class=meta>By me</div></article></body>", "{text} Other work. By me"),
+    ("<body><article>{long}<p class='comment'>Reply</p><div id='reader-comments'><p>Reply, too</p></div></article></body>", "{text}"),
+    ("<body><div class='site-footer'>F</div><div class=siteNav>N</div><div class='top-banner'>B</div><div class='cookie-bar'>C</div><main>{long}</main><form><p>Name, please</p></form></body>", "{text}"),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), PAGES)
+def test_whole_articles(page, want):
+    text = [f"{'Word, and more words, ' * 12}{i}." for i in range(5)]
+    assert html_text.main_text(page.format(long="".join(f"<p>{x}</p>" for x in text))) == want.format(text=" ".join(text))
+
+
+def test_deep_pages_take_time_in_proportion():
+    page = "<div>" * 60_000 + "<p>Deep, and down.</p>" + "</i></div>" * 60_000
+    began = time.time()
+    assert html_text.main_text(page) == "Deep, and down."
+    assert time.time() - began < 10
+
+
+def test_pages_of_the_table(spark):
+    """Every page's article and nothing else, by plain cutting: these pages mark it."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
+    for r in pages.collect():
+        article = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
+        blocks = re.sub(r"</?(?:h1|p|br)[^>]*>", " ", article)
+        assert got[r.page_id] == " ".join(html.unescape(re.sub(r"<[^>]*>", "", blocks)).split())
+
+
 @pytest.mark.parametrize("bits", [21, 8])
 def test_url_scores_are_of_exact_counts(spark, bits):
     rng = random.Random(14)
