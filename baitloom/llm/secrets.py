@@ -8,8 +8,9 @@ rule without mandatory trigrams scans every text.
 
 Spans are code points, end exclusive; matches of one kind are leftmost and do
 not overlap. Null and empty texts have no spans. Repeated rows and null ids are
-scanned each for itself. Other columns are kept; those whose names clash with
-the result's are replaced.
+scanned each for itself. Texts are scanned whole, however long. An empty table gives
+no rows. Other columns are kept, whatever their names; those named like a result are
+replaced.
 """
 
 from __future__ import annotations
@@ -21,6 +22,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._store import free_name, saved, sized
+
+#: Up to so many candidate texts are looked up where the texts lie; more are joined. Spans gathered at a time.
+MOST_BROADCAST, BLOCK = 1_000_000, 128
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -141,30 +147,33 @@ def candidates(postings: DataFrame, key: str, queries: dict[str, Query]) -> Data
         return out
 
     kinds = F.filter(F.array(*[F.when(fulfilled(q), F.lit(k)) for k, q in queries.items()]), lambda k: k.isNotNull())
-    return postings.groupBy(key).agg(held).select(key, kinds.alias("__kinds")).where(F.size("__kinds") > 0)
+    return postings.groupBy(key).agg(held).select(key, kinds.alias("kinds")).where(F.size("kinds") > 0)
 
 
-def _spans(rule: Rule, number: int, text: str) -> Column:
-    """Spans of `__m{number}`, the rule's matches, as (start, number, end): what lies between them gives their places."""
-    regex = F.lit(rule.regex)
-    sized = F.zip_with(
-        F.zip_with(F.split(F.col(text), rule.regex, -1), F.col(f"__m{number}"), lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("n"))),
-        F.regexp_extract_all(F.col(text), regex, F.lit(rule.group)) if rule.group else F.col(f"__m{number}"),
+def _spans(rule: Rule, number: int) -> Column:
+    """Spans of m{number}, the rule's matches in text, as (start, kind, end): what lies between them gives their places.
+
+    Spans are gathered in blocks, so work stays near the number of matches.
+    """
+    regex, matches = F.lit(rule.regex), F.col(f"m{number}")
+    sized_ = F.zip_with(
+        F.zip_with(F.split("text", rule.regex, -1), matches, lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("n"))),
+        F.regexp_extract_all("text", regex, F.lit(rule.group)) if rule.group else matches,
         lambda both, part: F.struct(both["gap"].alias("gap"), both["n"].alias("n"), (F.length(part) >= rule.least).alias("ok")),
     )
     none = F.expr("CAST(array() AS array<struct<start:int,kind:int,end:int>>)")
-    folded = F.aggregate(
-        F.slice(sized, 1, F.size(f"__m{number}")),
-        F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda have, x: F.struct(
-            (have["at"] + x["gap"] + x["n"]).alias("at"),
-            F.when(
-                x["ok"],
-                F.concat(have["spans"], F.array(F.struct((have["at"] + x["gap"]).alias("start"), F.lit(number).alias("kind"), (have["at"] + x["gap"] + x["n"]).alias("end")))),
-            ).otherwise(have["spans"]).alias("spans"),
-        ),
-    )
-    return F.when(F.size(f"__m{number}") > 0, folded["spans"]).otherwise(none)
+    start = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<array<struct<start:int,kind:int,end:int>>>)").alias("done"), none.alias("open"))
+
+    def one(have: Column, x: Column) -> Column:
+        at = have["at"] + x["gap"]
+        full = F.size(have["open"]) >= BLOCK
+        done = F.when(full, F.concat(have["done"], F.array(have["open"]))).otherwise(have["done"])
+        spans = F.when(full, none).otherwise(have["open"])
+        span = F.array(F.struct(at.alias("start"), F.lit(number).alias("kind"), (at + x["n"]).alias("end")))
+        return F.struct((at + x["n"]).alias("at"), done.alias("done"), F.when(x["ok"], F.concat(spans, span)).otherwise(spans).alias("open"))
+
+    folded = F.aggregate(F.slice(sized_, 1, F.size(matches)), start, one, lambda have: F.concat(F.flatten(have["done"]), have["open"]))
+    return F.when(F.size(matches) > 0, folded).otherwise(none)
 
 
 def _said(spans: Column, rules: tuple[Rule, ...]) -> Column:
@@ -185,24 +194,27 @@ def scan_secrets(docs: DataFrame, *, base: tuple[Rule, ...] = BASE, more: tuple[
     queries = {r.kind: trigram_query(r.regex) for r in rules}
     indexed = {k: q for k, q in queries.items() if q}
     wanted = sorted({t for q in indexed.values() for clause in q for together in clause for t in together})
+    # the input's other columns travel in one struct, so none can clash with what is made here;
     # the key tells rows apart, so that copies of one text do not meet in one task
     ids = [F.col("doc_id")] if "doc_id" in docs.columns else []
-    keyed = docs.withColumn("__key", F.xxhash64(*ids, F.coalesce("text", F.lit(""))))
-    found = candidates(build_index(keyed, "__key", "text", wanted), "__key", indexed)
-    out = keyed.join(found, "__key", "left").drop("__key").withColumn("__t", F.coalesce("text", F.lit("")))
+    text = F.coalesce("text", F.lit(""))
+    row = F.struct(F.lit(0).alias(free_name("none", kept)), *[F.col(f"`{c}`") for c in kept]).alias("row")
+    keyed = docs.select(row, F.col("text").alias("original"), text.alias("text"), F.xxhash64(*ids, text).alias("key"))
+    found = saved(candidates(build_index(keyed.select("key", "text"), "key", "text", wanted), "key", indexed), "secret-candidates")
+    out = keyed.join(sized(found, found.count(), MOST_BROADCAST), "key", "left").drop("key")
     for i, rule in enumerate(rules):
-        match = F.regexp_extract_all("__t", F.lit(rule.regex), F.lit(0))
-        asked = F.coalesce(F.array_contains("__kinds", rule.kind), F.lit(False)) if rule.kind in indexed else F.lit(True)
-        out = out.withColumn(f"__m{i}", F.when(asked, match).otherwise(F.expr("CAST(array() AS array<string>)")))
-    out = out.select(*kept, "text", "__t", *[_spans(rule, i, "__t").alias(f"__s{i}") for i, rule in enumerate(rules)])
-    whole = F.concat(*[F.col(f"__s{i}") for i in range(len(rules))])
-    text = F.when(F.size("__all") > 0, _redacted(rules)).otherwise(F.col("text")).alias("text") if redact else F.col("text")
-    return out.withColumn("__all", F.array_sort(whole)).select(
-        *[text if c == "text" else F.col(c) for c in docs.columns],
-        *[F.size(f"__s{i}").cast("long").alias(f"n_{r.kind}") for i, r in enumerate(base)],
-        F.sha2(_said(F.concat(*[F.col(f"__s{i}") for i in range(len(base))]), rules), 256).alias("base_sha256"),
-        _said(F.col("__all"), rules).alias("spans"),
-        F.size("__all").cast("long").alias("n_secrets"),
+        match = F.regexp_extract_all("text", F.lit(rule.regex), F.lit(0))
+        asked = F.coalesce(F.array_contains("kinds", rule.kind), F.lit(False)) if rule.kind in indexed else F.lit(True)
+        out = out.withColumn(f"m{i}", F.when(asked, match).otherwise(F.expr("CAST(array() AS array<string>)")))
+    out = out.select("row", "original", "text", *[_spans(rule, i).alias(f"s{i}") for i, rule in enumerate(rules)])
+    whole = F.concat(*[F.col(f"s{i}") for i in range(len(rules))])
+    text = F.when(F.size("whole") > 0, _redacted(rules)).otherwise(F.col("original")) if redact else F.col("original")
+    return out.withColumn("whole", F.array_sort(whole)).select(
+        *[(text if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns],
+        *[F.size(f"s{i}").cast("long").alias(f"n_{r.kind}") for i, r in enumerate(base)],
+        F.sha2(_said(F.concat(*[F.col(f"s{i}") for i in range(len(base))]), rules), 256).alias("base_sha256"),
+        _said(F.col("whole"), rules).alias("spans"),
+        F.size("whole").cast("long").alias("n_secrets"),
     )
 
 
@@ -211,17 +223,17 @@ def _redacted(rules: tuple[Rule, ...]) -> Column:
     names = F.array(*[F.lit(r.kind) for r in rules])
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     folded = F.aggregate(
-        "__all",
+        "whole",
         start,
         lambda have, s: F.when(
             s["start"] >= have["at"],
             F.struct(
-                F.concat(have["out"], F.substring(F.col("__t"), have["at"] + 1, s["start"] - have["at"]), F.lit("["), F.get(names, s["kind"]), F.lit("]")).alias("out"),
+                F.concat(have["out"], F.substring(F.col("text"), have["at"] + 1, s["start"] - have["at"]), F.lit("["), F.get(names, s["kind"]), F.lit("]")).alias("out"),
                 s["end"].alias("at"),
             ),
         ).otherwise(F.struct(have["out"].alias("out"), F.greatest(have["at"], s["end"]).alias("at"))),
     )
-    return F.concat(folded["out"], F.substring(F.col("__t"), folded["at"] + 1, F.length("__t")))
+    return F.concat(folded["out"], F.substring(F.col("text"), folded["at"] + 1, F.length("text")))
 
 
 def _oracle(base: tuple[Rule, ...] = BASE, more: tuple[Rule, ...] = MORE) -> str:

@@ -4,15 +4,20 @@ URLs that a rule decides train two variable-order Markov models, one of accepted
 and one of rejected URLs. A character's probability is that of the longest
 context, smoothed with the next shorter one's down to the uniform. The verdict
 of other URLs is that of the log-likelihood difference per character, against
-a threshold calibrated where the two classes' error rates are least in sum.
+a threshold. A fifth of the decided URLs, by a hash, trains nothing and calibrates
+it: it lies where the two classes' error rates are least in sum.
 
-Counts cover every decided row of the table and are exact: a context or gram of
+Counts cover every other decided row of the table and are exact: a context or gram of
 up to six bytes is its own key. Up to 2^`bits` keys are broadcast. Beyond, they are
 joined to the distinct grams of the distinct URLs, which gives the same scores.
 
 A null URL, and one without "://", has an empty host and path and no rule; it
-scores 0. Without decided URLs of both classes every score is 0, the threshold
-is 0 and the method's verdict is allow. Rows are judged each for itself.
+scores 0, as one does that has neither after "://". One with a path only is scored
+by that. Without decided URLs of both classes in both parts every score or the
+threshold is 0; where both are, the method's verdict is allow. Rows are judged each
+for itself, repeated or not, whole however long. An empty table gives no rows. Other
+columns stay as they are, whatever their names; those named like a result are
+replaced.
 """
 
 from __future__ import annotations
@@ -26,11 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._flat import flat, slices
-from ._store import saved
+from ._store import free_name, saved
 
 # Host, path and verdict of the rules.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-ORDER, BITS, STRENGTH, CELLS = 5, 21, 3.0, 4096
+ORDER, BITS, STRENGTH, CELLS, ASIDE = 5, 21, 3.0, 4096, 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -170,11 +175,13 @@ def scored(urls: DataFrame, decided: DataFrame, *, bits: int = BITS) -> tuple[Da
 
 
 def best_threshold(scores: DataFrame) -> float:
-    """Where the error rates of the classes of (label, score) are least in sum."""
+    """Where the error rates of the classes of (label, score) are least in sum; 0 if a class is missing."""
     cell = F.least(F.greatest(F.floor((F.col("score") + 4) / 8 * CELLS), F.lit(0)), F.lit(CELLS - 1)).cast("int")
     table = np.zeros((2, CELLS))
     for r in scores.groupBy("label", cell.alias("cell")).count().collect():  # at most 2 * CELLS rows
         table[r["label"], r["cell"]] = r["count"]
+    if not table.sum(1).all():
+        return 0.0
     share = table / table.sum(1, keepdims=True)
     wrong = np.concatenate([[0], np.cumsum(share[1])]) + 1 - np.concatenate([[0], np.cumsum(share[0])])
     best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
@@ -186,15 +193,15 @@ def filter_urls(pages: DataFrame, *, rules: tuple[tuple[str, str, str], ...] = R
     made = ["host", "path", "rule", "verdict", "score"]
     keep = [c for c in (pages.columns if keep is None else keep) if c not in made]
     name, verdict = apply_rules(rules)
-    judged = (
-        pages.select(F.col("url").alias("__url"), *keep)
-        .withColumns({"host": host("__url"), "path": path("__url")})
-        .withColumns({"rule": name, "__verdict": verdict, "target": F.concat("host", "path", F.when(F.col("__url").isNotNull(), F.lit("\n")).otherwise(F.lit("")))})
-    )
-    judged = judged.withColumn("target", F.when(F.col("host") == "", F.lit("")).otherwise(F.col("target")))
-    label = (F.col("__verdict") == "allow").cast("int").alias("label")
-    decided = judged.where(F.col("__verdict").isNotNull()).select("target", label)
-    found, ready = scored(judged, decided, bits=bits)
-    threshold = best_threshold(found.where(F.col("__verdict").isNotNull()).select(label, "score")) if ready else 0.0
+    # the input's other columns travel in one struct, so none can clash with what is made here
+    row = F.struct(F.lit(0).alias(free_name("none", keep)), *[F.col(f"`{c}`") for c in keep]).alias("row")
+    judged = pages.select(row, F.col("url").alias("url")).withColumns({"host": host("url"), "path": path("url")})
+    empty = (F.col("host") == "") & (F.col("path") == "")
+    judged = judged.withColumns({"rule": name, "told": verdict, "target": F.when(empty, F.lit("")).otherwise(F.concat("host", "path", F.lit("\n")))}).drop("url")
+    label = (F.col("told") == "allow").cast("int").alias("label")
+    aside = F.pmod(F.xxhash64("target"), F.lit(ASIDE)) == 0
+    decided = judged.where(F.col("told").isNotNull())
+    found, ready = scored(judged, decided.where(~aside).select("target", label), bits=bits)
+    threshold = best_threshold(found.where(F.col("told").isNotNull() & aside).select(label, "score")) if ready else 0.0
     method = F.when(F.col("score") >= threshold, F.lit("allow")).otherwise(F.lit("block"))
-    return found.select(*keep, "host", "path", "rule", F.coalesce("__verdict", method).alias("verdict"), "score")
+    return found.select(*[F.col("row").getField(c).alias(c) for c in keep], "host", "path", "rule", F.coalesce("told", method).alias("verdict"), "score")
