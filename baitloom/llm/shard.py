@@ -6,16 +6,18 @@ bytes. The dimensions are log size, language, source and doc_id. Ties in the
 split dimension are ordered by a hash of the row, so a hot source or language is
 cut like any other range.
 
-Law: bytes. Equal texts go to one shard together while their copies hold at most
-`together` of a shard's bytes; larger groups are cut like single rows.
+Law: bytes. Equal texts go to one shard together. Groups of copies that hold over
+`together` of a shard's bytes are placed first, the largest in the emptiest shard,
+and the tree deals the rest into the room that they leave. Only a group that no
+shard has room for is cut, like single rows.
 
 Medians are found with histograms that Spark counts: each pass narrows every
 node's interval, until few enough units are left in it to be sorted. Slots come
 from counts by (shard, bucket), so no shard passes through one task.
 
 Null texts have size 1 and crc 0; null metadata count as empty or 0; repeated
-rows get slots of their own. An empty table gives no rows. Other columns are
-ignored.
+rows get slots of their own. Texts count whole, however long. An empty table gives
+no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,25 +43,50 @@ def _place_of(text: str) -> Column:
 class Node:
     path: str
     first: int
-    shards: int
-    bytes: int
+    rooms: list[float]  # bytes that its shards are to get
+    bytes: int = 0
     dimension: str = ""
     low: float = 0.0
     high: float = 0.0
     before: int = 0
     cut: tuple[float, int] | None = None  # units below (value, tie) go left
 
-
-def _units(rows: DataFrame, limit: float) -> tuple[DataFrame, DataFrame]:
-    """Rows with a unit id, and units (unit, bytes, tie, dimensions)."""
-    size = rows.groupBy("h", "text_crc32", "size").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
-    hot = size.where((F.col("bytes") > limit) & (F.col("n") > 1)).select("h", "text_crc32", "size", F.lit(True).alias("hot"))
-    # at most 1 / (together / shards) groups can be over the limit
-    rows = rows.join(F.broadcast(hot), ["h", "text_crc32", "size"], "left")
-    own = F.when(F.col("hot"), F.xxhash64("row", F.lit(1))).otherwise(F.xxhash64("h", "text_crc32", "size"))
+    def sides(self) -> list[Node]:
+        half = len(self.rooms) // 2
+        return [Node(self.path + "0", self.first, self.rooms[:half]), Node(self.path + "1", self.first + half, self.rooms[half:])]
+
+    def target(self) -> float:
+        """Bytes that go left."""
+        whole = sum(self.rooms)
+        half = len(self.rooms) // 2
+        return self.bytes * (sum(self.rooms[:half]) / whole if whole else half / len(self.rooms))
+
+
+def _placed_first(groups: list, shards: int, whole: int) -> tuple[list[int | None], list[float]]:
+    """Shards of groups of copies, largest first, null for those that no shard has room for; and the rooms that are left."""
+    rooms = [whole / shards] * shards
+    out: list[int | None] = []
+    for g in groups:
+        at = max(range(shards), key=lambda s: (rooms[s], -s))
+        out.append(at if g["bytes"] <= rooms[at] else None)
+        if out[-1] is not None:
+            rooms[at] -= g["bytes"]
+    return out, rooms
+
+
+def _units(rows: DataFrame, limit: float, shards: int, whole: int) -> tuple[DataFrame, DataFrame, list[float]]:
+    """Rows with a unit id and, of copies placed first, their shard; units (unit, bytes, tie, dimensions) of the others; and the room left in each shard."""
+    text = ["h", "text_crc32", "size"]
+    size = rows.groupBy(*text).agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    # at most shards / together groups can be over the limit
+    large = sorted(size.where((F.col("bytes") > limit) & (F.col("n") > 1)).collect(), key=lambda g: (-g["bytes"], g["h"], g["text_crc32"]))
+    fixed, rooms = _placed_first(large, shards, whole)
+    hot = rows.sparkSession.createDataFrame([(g["h"], g["text_crc32"], g["size"], s) for g, s in zip(large, fixed, strict=True)], "h long, text_crc32 long, size long, fixed int").withColumn("hot", F.lit(True))
+    rows = rows.join(F.broadcast(hot), text, "left")
+    own = F.when(F.col("hot"), F.xxhash64("row", F.lit(1))).otherwise(F.xxhash64(*text))
     rows = rows.withColumn("unit", own).drop("hot")
-    units = rows.groupBy("unit").agg(F.sum("size").alias("bytes"), F.min(F.struct("doc_id", "row", *DIMENSIONS)).alias("m"))
-    return rows, units.select("unit", "bytes", *[F.col(f"m.{d}").alias(d) for d in DIMENSIONS])
+    units = rows.where("fixed IS NULL").groupBy("unit").agg(F.sum("size").alias("bytes"), F.min(F.struct("doc_id", "row", *DIMENSIONS)).alias("m"))
+    return rows, units.select("unit", "bytes", *[F.col(f"m.{d}").alias(d) for d in DIMENSIONS]), rooms
 
 
 def _inside(node: Node, below: dict[str, Node]) -> Column:
@@ -117,7 +144,7 @@ def _split(units: DataFrame, nodes: list[Node], below: dict[str, Node], spread:
             counts.setdefault(r["node"], []).append(r)
         few = []
         for n in list(open_nodes):
-            target = n.bytes * (n.shards // 2) / n.shards
+            target = n.target()
             chosen = None
             for r in sorted(counts[n.path], key=lambda r: r["cell"]):
                 chosen = r
@@ -137,7 +164,7 @@ def _split(units: DataFrame, nodes: list[Node], below: dict[str, Node], spread:
                 near = near | ((F.col("node") == n.path) & F.col(n.dimension).between(r["low"], r["high"]) & ((F.lit(r["low"] != r["high"])) | F.col("unit").between(r["low_tie"], r["high_tie"])))
             left = placed.where(near).select("node", "unit", "bytes", *DIMENSIONS).collect()  # at most FEW for each node
             for n, _ in few:
-                target, sum_ = n.bytes * (n.shards // 2) / n.shards, n.before
+                target, sum_ = n.target(), n.before
                 own = sorted((r[n.dimension], r["unit"], r["bytes"]) for r in left if r["node"] == n.path)
                 n.cut = (own[-1][0], own[-1][1] + 1 if own[-1][1] < (1 << 63) - 1 else own[-1][1])
                 for v, u, size in own:
@@ -161,22 +188,23 @@ def shard(docs: DataFrame, *, shards: int = SHARDS, together: float = TOGETHER,
     )
     meta = saved(meta, "shard-rows")
     whole = meta.agg(F.sum("size").alias("bytes"), F.count("*").alias("n"), *[(F.max(d) - F.min(d)).alias(d) for d in DIMENSIONS]).first()
-    rows, units = _units(meta, (whole["bytes"] or 0) * together / shards)
+    rows, units, rooms = _units(meta, (whole["bytes"] or 0) * together / shards, shards, whole["bytes"] or 0)
     units = saved(units, "shard-units")
     below: dict[str, Node] = {}
-    level = [Node("", 0, shards, 0)]
+    level = [Node("", 0, rooms)]
     leaves: list[Node] = []
     while level:
-        inner = [n for n in level if n.shards > 1]
-        leaves += [n for n in level if n.shards == 1]
+        inner = [n for n in level if len(n.rooms) > 1]
+        leaves += [n for n in level if len(n.rooms) == 1]
         if inner:
             below |= {n.path: n for n in inner}
             _split(units, inner, below, {d: whole[d] or 0.0 for d in DIMENSIONS})
-        level = [Node(n.path + side, n.first + (0 if side == "0" else n.shards // 2), n.shards // 2 if side == "0" else n.shards - n.shards // 2, 0) for n in inner for side in "01"]
+        level = [side for n in inner for side in n.sides()]
     which = F.lit(0)
     for n in leaves:
         which = F.when(_inside(n, below), F.lit(n.first)).otherwise(which)
-    placed = rows.select("doc_id", "size", "text_crc32", "row", "unit").join(units.select("unit", which.cast("int").alias("shard")), "unit")
+    placed = rows.select("doc_id", "size", "text_crc32", "row", "unit", "fixed").join(units.select("unit", which.cast("int").alias("which")), "unit", "left")
+    placed = placed.withColumn("shard", F.coalesce("fixed", "which")).drop("fixed", "which")
     buckets = max(1, -(-(whole["n"] or 0) // (shards * slots_in_task)) * 8)
     placed = saved(placed.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int")), "shard-placed")
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))

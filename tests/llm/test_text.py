@@ -172,6 +172,21 @@ def test_shards(spark):
     assert shard.shard(docs(spark, [])).count() == 0
 
 
+def test_copies_stay_together(spark):
+    """Groups of over 4 % of a shard, too; only the one that is larger than a shard is cut."""
+    rng = np.random.default_rng(8)
+    groups = [3000, 700, 650, 300, 120, 60]  # of 10 bytes each
+    rows = [(i, "x" * int(n)) for i, n in enumerate(rng.integers(1, 60, 1500))]
+    rows += [(10_000 * (g + 1) + j, f"group {g:03}"[:9]) for g, n in enumerate(groups) for j in range(n)]
+    got = shard.shard(docs(spark, rows)).collect()
+    of = {}
+    for r in got:
+        of.setdefault((r.doc_id // 10_000, r.text_crc32), set()).add(r.shard)
+    assert all(len(s) == 1 for (g, _), s in of.items() if g != 1)
+    sizes = [sum(r.size for r in got if r.shard == s) for s in range(8)]
+    assert max(sizes) - min(sizes) <= 0.1 * sum(sizes) / 8
+
+
 def test_pages():
     page = "<html><head><title>t</title></head><body><nav><a href=x>menu</a></nav><div class='ad'>buy</div><article><h1>Head &amp; line</h1><p>One,\n two <b>three</b><br>four<p>Five&nbsp;six, seven.<aside>side</aside><script>var p='</p>'</script></article><div class=comments><p>nice, really, very nice comment</div><footer>end</footer>"
     assert html_text.main_text(page) == "Head & line One, two three four Five six, seven."
