@@ -7,17 +7,19 @@ row, further left.
 Texts meet where they share a string. Each window of `length` bytes has an
 anchor, the place in it whose 32-byte hash is least, so equal windows have equal
 anchors at equal offsets. An anchor and the windows that it stands for form a
-stretch. Stretches that agree in anchor and bytes are copies: all their windows
-but the first copy's start earlier too. First copies that share an anchor and
-differ otherwise go to a shard together, where a suffix array and its common
-prefixes find the windows that they share.
+stretch. Stretches that agree in anchor and bytes, by 64 bits of each, are copies:
+all their windows but the first copy's start earlier too. Copies within a batch are
+settled there, so that what a common stretch sends on grows with batches, not rows.
+First copies that share an anchor and differ otherwise go to a shard together, where
+a suffix array and its common prefixes find the windows that they share.
 
 An anchor with more than `hot` different stretches is cut into single windows,
-which are grouped by their hash in Spark, so no shard grows with it.
+which are grouped by 128-bit names in Spark, so no shard grows with it.
 
 Null texts count as empty. If doc_id is null, repeated or not an integer, rows
 are first numbered by doc_id (null first) and then by their place in the input.
-An empty table gives no rows. Other columns are ignored.
+An empty table gives no rows. Texts count whole; memory follows the longest. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,30 +91,58 @@ def _found(length: int, buckets: int):
             if not parts:
                 continue
             text, anchor, body, low, width = (np.concatenate(x) for x in zip(*parts, strict=True))
-            bucket = (mix(anchor) % np.uint64(buckets)).astype(np.int64)
+            first = _firsts(anchor, body, keys[text], low)
+            out: list[list] = [[] for _ in range(7)]
+            cut = np.flatnonzero(~first)
+            if len(cut):  # copies of what this batch has earlier are settled; they only travel, to a bucket of no anchor
+                who, counts = np.unique(text[cut], return_counts=True)
+                _add(out, int(mix(keys[:1].astype(np.uint64))[0] % np.uint64(buckets)), keys[who], counts, None, None, low[cut], width[cut])
+            at = np.flatnonzero(first)
+            bucket = (mix(anchor[at]) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
-            bucket = bucket[by]
+            at, bucket = at[by], bucket[by]
             cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-            out: list[list] = [[] for _ in range(7)]
             for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
-                own = by[a:b]
+                own = at[a:b]
                 who, counts = np.unique(text[own], return_counts=True)
-                made = (int(bucket[a]), keys[who].tobytes(), counts.astype(np.int32).tobytes(), anchor[own].tobytes(), body[own].tobytes(), low[own].tobytes(), width[own].astype(np.int32 if length >= 256 else np.uint8).tobytes())
-                for column, x in zip(out, made, strict=True):
-                    column.append(x)
+                _add(out, int(bucket[a]), keys[who], counts, anchor[own], body[own], low[own], width[own])
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], ["bucket", "keys", "counts", "anchors", "bodies", "lows", "widths"])
 
     return run
 
 
+def _firsts(anchor: np.ndarray, body: np.ndarray, key: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Which stretches are the earliest of those that agree in anchor and bytes."""
+    by = np.argsort(body, kind="stable")
+    same = body[by[1:]] == body[by[:-1]]
+    again = np.append(same, False) | np.append(False, same)
+    by = by[again]
+    by = by[np.lexsort((low[by], key[by], anchor[by], body[by]))]
+    out = np.ones(len(body), bool)
+    out[by[1:]] = (body[by[1:]] != body[by[:-1]]) | (anchor[by[1:]] != anchor[by[:-1]])
+    return out
+
+
+def _add(out: list[list], bucket: int, keys: np.ndarray, counts: np.ndarray, anchors, bodies, lows: np.ndarray, widths: np.ndarray) -> None:
+    """A row of arrays; stretches of one text stand together."""
+    made = (bucket, keys.tobytes(), counts.astype(np.int32).tobytes(), None if anchors is None else anchors.tobytes(), None if bodies is None else bodies.tobytes(), lows.tobytes(), widths.tobytes())
+    for column, x in zip(out, made, strict=True):
+        column.append(x)
+
+
 def _copies(length: int, hot: int):
     """A bucket's stretches to rows (key, low, width, kind, anchor): 0 copies, 1 first copies that share an anchor with others, 2 the same of a hot anchor."""
 
+    kind_of = np.uint8 if length < 256 else np.int32
+
     def run(table: pa.Table) -> pa.Table:
-        join = lambda name, kind: np.frombuffer(b"".join(x.as_py() for x in table[name]), kind)
-        key = np.repeat(join("keys", np.int64), join("counts", np.int32))
-        anchor, body = join("anchors", np.uint64), join("bodies", np.uint64)
-        low, width = join("lows", np.int32), join("widths", np.uint8 if length < 256 else np.int32).astype(np.int32)
+        settled = table.filter(pa.compute.is_null(table["anchors"]))
+        table = table.filter(pa.compute.is_valid(table["anchors"]))
+        join = lambda t, name, kind: np.frombuffer(b"".join(x.as_py() for x in t[name]), kind)
+        key = np.repeat(join(table, "keys", np.int64), join(table, "counts", np.int32))
+        anchor, body = join(table, "anchors", np.uint64), join(table, "bodies", np.uint64)
+        low, width = join(table, "lows", np.int32), join(table, "widths", kind_of).astype(np.int32)
+        travelled = [np.repeat(join(settled, "keys", np.int64), join(settled, "counts", np.int32)), join(settled, "lows", np.int32), join(settled, "widths", kind_of).astype(np.int32)]
         by = np.argsort(anchor, kind="stable")
         again = np.zeros(len(by), bool)
         same = anchor[by[1:]] == anchor[by[:-1]]
@@ -128,17 +159,19 @@ def _copies(length: int, hot: int):
         bodies = np.bincount(group, weights=new_body, minlength=1) if len(by) else np.zeros(1)
         kind = np.where(new_body, np.where(bodies[group] > hot, 2, np.where(bodies[group] > 1, 1, -1)), 0) if len(by) else np.zeros(0, np.int64)
         on = kind >= 0
-        return pa.table({"key": key[on], "low": low[on], "width": width[on], "kind": kind[on].astype(np.int32), "anchor": anchor[on].view(np.int64)})
+        key, low, width = (np.concatenate([x[on], y]) for x, y in zip((key, low, width), travelled, strict=True))
+        none = np.zeros(len(travelled[0]), np.int64)
+        return pa.table({"key": key, "low": low, "width": width, "kind": np.concatenate([kind[on], none]).astype(np.int32), "anchor": np.concatenate([anchor[on].view(np.int64), none])})
 
     return run
 
 
 def _cut_out(length: int):
-    """(text, key, stretches) to rows (key, low, anchor, part): a stretch's bytes."""
+    """(text, key, stretches) to rows (key, low, anchor, name, part): a stretch's bytes, or of hot anchors a window's 128-bit name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, low, anchor, part = [], [], [], []
+            key, low, anchor, name, part = [], [], [], [], []
             for text, k, own in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 data = (text.as_py() or "").encode()
                 for x in own:
@@ -146,14 +179,16 @@ def _cut_out(length: int):
                         for at in range(x["low"], x["low"] + x["width"]):
                             key.append(k)
                             low.append(at)
-                            anchor.append(int.from_bytes(hashlib.blake2b(data[at : at + length], digest_size=8).digest(), "little", signed=True))
+                            anchor.append(x["anchor"])
+                            name.append(hashlib.blake2b(data[at : at + length], digest_size=16).digest())
                             part.append(None)
                     else:
                         key.append(k)
                         low.append(x["low"])
                         anchor.append(x["anchor"])
+                        name.append(None)
                         part.append(data[x["low"] : x["low"] + x["width"] + length - 1])
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(low, pa.int32()), pa.array(anchor, pa.int64()), pa.array(part, pa.binary())], ["key", "low", "anchor", "part"])
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(low, pa.int32()), pa.array(anchor, pa.int64()), pa.array(name, pa.binary()), pa.array(part, pa.binary())], ["key", "low", "anchor", "name", "part"])
 
     return run
 
@@ -168,8 +203,8 @@ def _shared(length: int):
         start = offs[:-1] + np.arange(len(size))
         s = np.zeros(len(data) + len(size), np.int64)
         s[np.arange(len(data)) + np.repeat(np.arange(len(size)), size)] = data.astype(np.int64) + 1
-        sa = suffix_array(s, depth=2 * length)
-        common = common_prefixes(s, sa, length)[sa]
+        sa = suffix_array(s)
+        common = common_prefixes(s, sa)[sa]
         group = np.cumsum(common < length)
         owner = np.searchsorted(start, sa, "right") - 1
         offset = sa - start[owner]
@@ -249,14 +284,14 @@ def repeated_runs(keyed: DataFrame, *, length: int = LENGTH, hot: int = HOT) ->
     texts = keyed.select("key", "text")
     if size[0] <= MOST_BROADCAST:
         texts = texts.join(F.broadcast(near.select("key")), "key", "left_semi")
-    cut = texts.join(near, "key").select("text", "key", "own").mapInArrow(_cut_out(length), "key long, low int, anchor long, part binary")
+    cut = texts.join(near, "key").select("text", "key", "own").mapInArrow(_cut_out(length), "key long, low int, anchor long, name binary, part binary")
     cut = saved(cut, "dedup-cut")
     shards = max(wide, (size[1] or 0) * (length + length // 3) // IN_SHARD)
     parts = cut.where("part IS NOT NULL").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int"))
     shared = parts.groupBy("shard").applyInArrow(_shared(length), "key long, low int, width int")
-    windows = cut.where("part IS NULL").select("anchor", "key", "low")
-    first = windows.groupBy("anchor").agg(F.min(F.struct("key", "low")).alias("first"))
-    single = windows.join(first, "anchor").where(F.struct("key", "low") != F.col("first")).select("key", "low", F.lit(1).alias("width"))
+    windows = cut.where("part IS NULL").select("name", "key", "low")
+    first = windows.groupBy("name").agg(F.min(F.struct("key", "low")).alias("first"))
+    single = windows.join(first, "name").where(F.struct("key", "low") != F.col("first")).select("key", "low", F.lit(1).alias("width"))
     return copies.unionByName(shared).unionByName(single)
 
 

@@ -1,20 +1,16 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, over a shard's texts.
 
-The passes of induced sorting run bucket by bucket; within a bucket, all
-suffixes that stand there already induce at once, and again for those that they
-put into the same bucket, so the work is linear and each step is one array
-operation.
+The passes of induced sorting go through the array in order. Where symbols are
+few they run bucket by bucket: all suffixes that stand in a bucket already induce
+at once, and again those that they put into the same bucket, so each step is one
+array operation. Where symbols are many, as in the strings of names that the
+recursion sorts, they run suffix by suffix. Both are linear and give the same.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-from ._flat import Powers, mix
-
-_powers = Powers(np.uint64(0x9FB21C651E98DF25))
-_FEW_SYMBOLS = 2048
-
 
 def _types(s: np.ndarray) -> np.ndarray:
     """Which suffixes are smaller than their successor. The last counts as smaller."""
@@ -86,8 +82,47 @@ def _induce(s: np.ndarray, small: np.ndarray, sorted_lms: np.ndarray, heads: np.
     return sa
 
 
-def suffix_array(s: np.ndarray, depth: int = 1 << 30) -> np.ndarray:
-    """Starts of suffixes of s in order, where symbol 0 ends each text, none of them empty, and s. Equal texts' order, and any beyond `depth` symbols, is by place."""
+def _induce_each(s: np.ndarray, small: np.ndarray, sorted_lms: np.ndarray, heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
+    """The same, suffix by suffix."""
+    sa, edge, symbol = [-1] * len(s), tails.tolist(), s.tolist()
+    for j in reversed(sorted_lms.tolist()):
+        c = symbol[j]
+        edge[c] -= 1
+        sa[edge[c]] = j
+    # the symbol before each place, if the suffix from there is larger, or smaller; -1 else, and for an empty cell
+    larger, smaller = np.full(len(s) + 1, -1), np.full(len(s) + 1, -1)
+    larger[1:-1], smaller[1:-1] = np.where(small[:-1], -1, s[:-1]), np.where(small[:-1], s[:-1], -1)
+    before, edge = larger.tolist(), heads.tolist()
+    for i in sa:  # cells that are filled meanwhile are read, too
+        c = before[i]
+        if c >= 0:
+            at = edge[c]
+            sa[at] = i - 1
+            edge[c] = at + 1
+    before, edge = smaller.tolist(), tails.tolist()
+    for i in reversed(sa):
+        c = before[i]
+        if c >= 0:
+            edge[c] = at = edge[c] - 1
+            sa[at] = i - 1
+    sa[0] = len(s) - 1  # as in _induce
+    return np.array(sa, np.int32)
+
+
+def _equal_substrings(s: np.ndarray, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether the n_a symbols from a on are the n_b symbols from b on, symbol by symbol."""
+    same = n_a == n_b
+    left, d = np.flatnonzero(same), 0
+    while len(left):
+        agree = s[a[left] + d] == s[b[left] + d]
+        same[left[~agree]] = False
+        d += 1
+        left = left[agree & (n_a[left] > d)]
+    return same
+
+
+def suffix_array(s: np.ndarray) -> np.ndarray:
+    """Starts of suffixes of s in order, where symbol 0 ends each text, none of them empty, and s."""
     n = len(s)
     if n < 2:
         return np.arange(n, dtype=np.int32)
@@ -95,67 +130,50 @@ def suffix_array(s: np.ndarray, depth: int = 1 << 30) -> np.ndarray:
     counts = np.bincount(s)
     tails = np.cumsum(counts)
     heads = tails - counts
+    induce = _induce if 64 * len(heads) < n else _induce_each
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     if len(lms) > 1:
-        in_order = lms[np.argsort(s[lms], kind="stable")]
-        sa = _induce(s, small, in_order, heads, tails)
+        sa = induce(s, small, lms[np.argsort(s[lms], kind="stable")], heads, tails)
         is_lms = np.zeros(n, bool)
         is_lms[lms] = True
-        by_substring = sa[is_lms[sa]]
         place = np.full(n, -1, np.int64)
         place[lms] = np.arange(len(lms))
-        up, down = _powers.upto(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((s.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-        end = np.append(lms[1:] + 1, n)
-        hashed = mix((sums[end] - sums[lms]) * down[lms] + (end - lms).astype(np.uint64))
-        order = place[by_substring]
+        order = place[sa[is_lms[sa]]]  # by substring
+        size = np.append(lms[1:] + 1, n) - lms
         new = np.ones(len(order), bool)
-        new[1:] = hashed[order[1:]] != hashed[order[:-1]]
+        new[1:] = ~_equal_substrings(s, lms[order[1:]], lms[order[:-1]], size[order[1:]], size[order[:-1]])
         names = np.empty(len(order), np.int64)
-        names[order] = np.cumsum(new) - 1
-        lms = lms[_by_name(names, int(new.sum()), s[lms] == 0, depth)]
-    return _induce(s, small, lms, heads, tails)
-
-
-def _by_name(names: np.ndarray, kinds: int, ends: np.ndarray, depth: int) -> np.ndarray:
-    """Order of the suffixes of the string of names."""
-    if kinds == len(names):
-        return np.argsort(names)
-    if kinds <= _FEW_SYMBOLS:  # the string of names, sorted in the same way
-        return suffix_array(np.append(names + 1, 0), depth)[1:]
-    ranks, k = names, 1
-    while k < depth:  # too many names for buckets: by doubling
-        after = np.zeros(len(ranks), np.int64)
-        after[:-k] = ranks[k:] + 1
-        _, ranks = np.unique(ranks * (len(names) + 2) + after, return_inverse=True)
-        if ranks.max() == len(ranks) - 1:
-            break
-        k *= 2
-    return np.argsort(ranks, kind="stable")
-
-
-def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
-    """In text order, how far each suffix agrees with the one before it in the array, up to its text's end; right up to 2^ceil(log2(most + 1)) - 1."""
+        names[order] = np.cumsum(new)
+        if new.all():
+            lms = lms[order]
+        else:  # the string of names, sorted in the same way
+            lms = lms[suffix_array(np.append(names, 0))[1:]]
+    return induce(s, small, lms, heads, tails)
+
+
+def common_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:
+    """In text order, how far each suffix agrees with the one before it in the array, up to its text's end.
+
+    Where the symbols before the two agree, a suffix agrees one symbol less far
+    than its left neighbour does; the others are compared symbol by symbol.
+    """
     n = len(s)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
     at = np.where(s == 0, np.arange(n), n)
     left = np.minimum.accumulate(at[::-1])[::-1] - np.arange(n)
-    up, down = _powers.upto(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((s.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    i = np.flatnonzero(before >= 0)
+    own = np.ones(n, bool)
+    own[1:] = (before[1:] < 1) | (s[:-1] == 0) | (s[:-1] != s[np.maximum(before[1:] - 1, 0)])
+    i = np.flatnonzero(own)
     j = before[i]
-    room = np.minimum(left[i], left[j])
+    room = np.where(j >= 0, np.minimum(left[i], left[j]), 0)
     length = np.zeros(len(i), np.int64)
-    step = 1 << (int(most).bit_length() - 1)
-    while step:
-        fits = np.flatnonzero(length + step <= room)
-        a, b = i[fits] + length[fits], j[fits] + length[fits]
-        same = (sums[a + step] - sums[a]) * down[a] == (sums[b + step] - sums[b]) * down[b]
-        length[fits[same]] += step
-        step >>= 1
-    out = np.zeros(n, np.int64)
-    out[i] = length
-    return out
+    open_, d = np.flatnonzero(room > 0), 0
+    while len(open_):
+        agree = s[i[open_] + d] == s[j[open_] + d]
+        d += 1
+        open_ = open_[agree]
+        length[open_] = d
+        open_ = open_[room[open_] > d]
+    which = np.cumsum(own) - 1
+    return length[which] - (np.arange(n) - i[which])
