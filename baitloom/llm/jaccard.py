@@ -11,16 +11,18 @@ three tokens longer, so that pairs must share four.
 Prefix postings of the first order meet in Spark, by token. Each token's classes
 are paired with the token's leader first, the class with the fewest rare tokens;
 links found there join most of a group of near copies without pairing them
-all. What still holds different components under one token is paired in full.
-Of a pair, bitmaps of both sets must allow the overlap, and the sets must share a
-prefix token under each further order too; then whole sets are compared. The result is exact: a pair is left out only if its
-members are known to be connected, differ too much in size, or share no prefix
-token.
+all. What still holds different components under one token is paired within bands
+of like size. Filters are intersected before any text is fetched: bitmaps of both
+sets must allow the overlap, and the prefixes of each further order, joined to the
+pairs that are left, must share a token. Then whole sets are compared. The result
+is exact: a pair is left out only if its members are known to be connected, differ
+too much in size, or share no prefix token under some order.
 
 Null, empty and wordless texts have no shingles and are linked with nothing;
 their component is their own doc_id. A null doc_id takes its component from the
-others of its class or links, or null. Repeated rows are copies. Other columns
-are ignored.
+others of its class or links, or null. Repeated rows are copies. An empty table
+gives no rows. Texts count whole; memory follows the longest. Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -216,19 +218,18 @@ def _met(orders):
     return run
 
 
-def _verify(k: int, percent: int, orders):
+def _verify(k: int, percent: int):
     """Rows (hub, salt, member, text), the hub's own first, to the links (a, b) among them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, hub, hub_set, hub_prefix = orders.value, None, None, []
+        hub, hub_set = None, None
         for batch in batches:
             hubs, members = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             found = []
             for h, m, tokens in zip(hubs.tolist(), members.tolist(), shingle_sets(batch.column(2), k), strict=True):
                 if h == m:
                     hub, hub_set = h, tokens
-                    hub_prefix = [own.prefix(tokens, r)[0] for r in range(1, ORDERS)]
-                elif h == hub and all(np.isin(own.prefix(tokens, r + 1)[0], p).any() for r, p in enumerate(hub_prefix)):
+                elif h == hub:
                     common = len(np.intersect1d(tokens, hub_set, assume_unique=True))
                     if 100 * common >= percent * (len(tokens) + len(hub_set) - common):
                         found.append((h, m))
@@ -237,6 +238,25 @@ def _verify(k: int, percent: int, orders):
     return run
 
 
+def _prefixes(k: int, orders):
+    """(node, text) to (node, p1, p2, ...): prefixes under the further orders, tokens by 32 of their bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = orders.value
+        for batch in batches:
+            made: list[list[np.ndarray]] = [[] for _ in range(1, ORDERS)]
+            for tokens in shingle_sets(batch.column(1), k):
+                for r, out in enumerate(made, 1):
+                    out.append((own.prefix(tokens, r)[0] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            lists = []
+            for out in made:
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
+                lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*out, np.zeros(0, np.int32)]))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], ["node", *(f"p{r}" for r in range(1, ORDERS))])
+
+    return run
+
+
 def _possible(percent: int):
     """Pairs (hub, member, n, sign, hub_n, hub_sign) whose bitmaps allow a link."""
 
@@ -261,18 +281,26 @@ def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> Dat
     return texts.mapInArrow(_named(k), "node long, text string")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, run, k: int, percent: int) -> DataFrame:
-    """Links among pairs (hub, member), by bitmaps first. A hub's members are cut into parts, each of which gets the hub's text."""
+def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, orders, k: int, percent: int) -> DataFrame:
+    """Links among pairs (hub, member), by bitmaps and by prefixes of the further orders first. A hub's members are cut into parts, each of which gets the hub's text."""
     signs = classes.select("node", "n", "sign")
     both = pairs.join(signs.toDF("member", "n", "sign"), "member").join(signs.toDF("hub", "hub_n", "hub_sign"), "hub")
     pairs = saved(both.select("hub", "member", "n", "sign", "hub_n", "hub_sign").mapInArrow(_possible(percent), "hub long, member long"), "jaccard-possible")
+    numbers = range(1, ORDERS)
+    prefixes = _texts(docs, classes, pairs, k).mapInArrow(_prefixes(k, orders), "node long, " + ", ".join(f"p{r} array<int>" for r in numbers))
+    prefixes = saved(prefixes, "jaccard-prefixes")
+    member, hub = (prefixes.select(F.col("node").alias(x), *[F.col(f"p{r}").alias(f"{x}{r}") for r in numbers]) for x in ("member", "hub"))
+    shared = F.lit(True)
+    for r in numbers:
+        shared = shared & F.arrays_overlap(f"member{r}", f"hub{r}")
+    pairs = saved(pairs.join(member, "member").join(hub, "hub").where(shared).select("hub", "member").distinct(), "jaccard-candidates")
     texts = _texts(docs, classes, pairs, k)
     parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / IN_TASK).cast("int").alias("parts"))
     salted = pairs.join(parts, "hub").select("hub", "member", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("salt"))
     hubs = parts.select("hub", F.col("hub").alias("member"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
     rows = salted.unionByName(hubs).join(texts.select(F.col("node").alias("member"), "text"), "member")
     near = rows.withColumn("own", F.col("hub") != F.col("member")).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "own")
-    return near.select("hub", "member", "text").mapInArrow(run, "a long, b long")
+    return near.select("hub", "member", "text").mapInArrow(_verify(k, percent), "a long, b long")
 
 
 def jaccard_classes(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -292,12 +320,11 @@ def jaccard_classes(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT
 
     like = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
     classes = saved(sets.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sign").alias("sign")), "jaccard-classes")
-    run = _verify(k, percent, orders)
     # prefixes longer by SHARED - 1 tokens share SHARED at least, if the sets' overlap has as many
     need = lambda a, b: F.least(F.lit(SHARED), F.ceil(F.greatest(a, b) * percent / 100).cast("int"))
     both = [need(F.col("n"), F.col("leader_n")).alias("need")]
     stars = saved(met.where((F.col("node") != F.col("leader")) & like(F.col("n"), F.col("leader_n"))).select(F.col("leader").alias("hub"), F.col("node").alias("member"), *both).groupBy("hub", "member").agg(F.count("*").alias("shared"), F.first("need").alias("need")).where("shared >= need").select("hub", "member"), "jaccard-stars")
-    links = saved(_links(stars, docs, classes, run, k, percent), "jaccard-links")
+    links = saved(_links(stars, docs, classes, orders, k, percent), "jaccard-links")
     labels = components(links)
 
     # What is still apart under a token: pairs of different components that were not tried.
@@ -305,17 +332,20 @@ def jaccard_classes(docs: DataFrame, *, k: int = SHINGLE, percent: int = PERCENT
     # only under heavy tokens shares heavy ones at most.
     labelled = met.select("token", "heavy", "node", "n", "light").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     apart = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("token")
-    rest = saved(labelled.join(apart, "token"), "jaccard-rest")
-    a, b = rest.alias("a"), rest.alias("b")
+    # bands are a little wider than the largest difference in size, so likes are in one band or in two neighbouring ones
+    band = F.floor(F.log("n") / F.log(F.lit(101 / percent))).cast("int")
+    rest = saved(labelled.join(apart, "token").withColumn("band", band), "jaccard-rest")
+    a, b = rest.alias("a"), rest.withColumn("below", F.explode(F.array(F.col("band"), F.col("band") - 1))).alias("b")
     enough = F.least(F.col("a.n") - F.col("a.light"), F.col("b.n") - F.col("b.light")) * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & like(F.col("a.n"), F.col("b.n")) & (~F.col("a.heavy") | enough))
+    rises = F.struct("a.n", "a.node") < F.struct("b.n", "b.node")
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.band") == F.col("b.below")) & rises & (F.col("a.label") != F.col("b.label")) & like(F.col("a.n"), F.col("b.n")) & (~F.col("a.heavy") | enough))
     # All tokens that a pair shares are counted here, unless it shares heavy ones and is not `enough`.
     whole = lambda x: F.col(f"{x}.light") >= F.least(F.col(f"{x}.n"), F.col(f"{x}.n") - F.ceil(F.col(f"{x}.n") * percent / 100) + SHARED)
     least = F.when(enough | whole("a") | whole("b"), need(F.col("a.n"), F.col("b.n"))).otherwise(1)
-    pairs = pairs.select(F.col("a.node").alias("hub"), F.col("b.node").alias("member"), least.alias("need"))
+    pairs = pairs.select(F.least("a.node", "b.node").alias("hub"), F.greatest("a.node", "b.node").alias("member"), least.alias("need"))
     pairs = pairs.groupBy("hub", "member").agg(F.count("*").alias("shared"), F.first("need").alias("need")).where("shared >= need").select("hub", "member")
     tried = stars.select(F.least("hub", "member").alias("hub"), F.greatest("hub", "member").alias("member"))
-    more = saved(_links(saved(pairs.join(tried, ["hub", "member"], "left_anti"), "jaccard-pairs"), docs, classes, run, k, percent), "jaccard-links")
+    more = saved(_links(saved(pairs.join(tried, ["hub", "member"], "left_anti"), "jaccard-pairs"), docs, classes, orders, k, percent), "jaccard-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
