@@ -25,6 +25,7 @@ empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,9 @@ from pyspark.sql import functions as F
 
 from ._store import saved
 
-NEIGHBOURS, REVERSE, BLOCK, ORDERS, DESCENTS = 24, 24, 512, 4, 4
+#: Neighbours and reverse neighbours of a node, rows compared in a first block, orders of first blocks, rounds at most, and what a member learns of one list at most.
+NEIGHBOURS, REVERSE, BLOCK, ORDERS, DESCENTS, LEARNT = 24, 24, 512, 4, 4, 6
+#: Of a search: nodes kept, nodes expanded in a round, rounds at most, and nodes scored exactly in the end.
 POOL, EXPAND, ROUNDS, EXACT = 448, 64, 10, 64
 _LISTS = "node long, ids binary, scores binary, fresh binary"
 
@@ -180,7 +183,15 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in _flat_lists(batch)], ["a", "b", "score", "fresh"])
 
 
-def _lists_with_vectors(graph: DataFrame, vectors: DataFrame, reverse: int) -> DataFrame:
+def _halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, vec) with vectors in half precision."""
+    for batch in batches:
+        if batch.num_rows:
+            vecs = _matrix(batch.column(1), np.float32).astype(np.float16)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in vecs], pa.binary())], ["node", "vec"])
+
+
+def _lists_with_vectors(graph: DataFrame, halves: DataFrame, reverse: int) -> DataFrame:
     """(node, ids, vecs, fresh, least): neighbours and the best `reverse` reverse ones, with their vectors in half precision and the score that a list of theirs ends with."""
     edges = graph.mapInArrow(_edges, "a long, b long, score float, fresh boolean")
     back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "score", "fresh")
@@ -189,7 +200,7 @@ def _lists_with_vectors(graph: DataFrame, vectors: DataFrame, reverse: int) -> D
     # an edge that stands both ways comes twice; the packer keeps one
     both = edges.unionByName(back)
     ends = graph.mapInArrow(_ends, "b long, least float")
-    known = vectors.select(F.col("node").alias("b"), "vec").join(ends, "b", "left")
+    known = halves.select(F.col("node").alias("b"), "vec").join(ends, "b", "left")
     return both.join(known, "b").select("a", "b", "fresh", "vec", "least").repartition("a").sortWithinPartitions("a").mapInArrow(_pack, "node long, ids binary, vecs binary, fresh binary, least binary")
 
 
@@ -206,7 +217,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = table["a"].to_numpy(), table["b"].to_numpy()
         fresh = table["fresh"].to_numpy(zero_copy_only=False)
         least = np.nan_to_num(table["least"].fill_null(-np.inf).to_numpy(), nan=-np.inf, neginf=-9.0).astype(np.float32)
-        vec = _matrix(table["vec"].combine_chunks(), np.float32).astype(np.float16)
+        vec = _matrix(table["vec"].combine_chunks(), np.float16)
         by = np.lexsort((fresh, b, a))
         new = np.ones(len(by), bool)
         new[1:] = (a[by[1:]] != a[by[:-1]]) | (b[by[1:]] != b[by[:-1]])
@@ -269,8 +280,8 @@ def _fresh_count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([sum(x) for x in fresh], pa.int64()), pa.array([len(x) for x in fresh], pa.int64())], ["fresh", "all"])
 
 
-def build_graph(vectors: DataFrame, width: int, *, neighbours: int = NEIGHBOURS, reverse: int = REVERSE, descents: int = DESCENTS, seed: int = 11) -> DataFrame:
-    """(node, ids, scores, fresh) by NN-descent over (node, vec)."""
+def build_graph(vectors: DataFrame, halves: DataFrame, width: int, *, neighbours: int = NEIGHBOURS, reverse: int = REVERSE, descents: int = DESCENTS, seed: int = 11) -> DataFrame:
+    """(node, ids, scores, fresh) by NN-descent over (node, vec): `descents` rounds at most, fewer if 2 % of the lists' entries are new or less."""
     rng = np.random.default_rng(seed)
     first = None
     for _ in range(ORDERS):
@@ -280,7 +291,7 @@ def build_graph(vectors: DataFrame, width: int, *, neighbours: int = NEIGHBOURS,
         first = lists if first is None else first.unionByName(lists)
     graph = saved(_merge(first, neighbours), "ann-graph")
     for _ in range(descents):
-        found = _lists_with_vectors(graph, vectors, reverse).mapInArrow(_local_joins(6), _LISTS)
+        found = _lists_with_vectors(graph, halves, reverse).mapInArrow(_local_joins(LEARNT), _LISTS)
         graph = saved(_merge(graph.mapInArrow(_aged, _LISTS).unionByName(found), neighbours), "ann-graph")
         fresh = graph.mapInArrow(_fresh_count, "fresh long, all long").agg(F.sum("fresh"), F.sum("all")).first()
         if (fresh[0] or 0) <= 0.02 * (fresh[1] or 0):
@@ -336,23 +347,30 @@ def _expanded(expand: int):
     return run
 
 
-def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, *, pool: int = POOL, expand: int = EXPAND, rounds: int = ROUNDS, exact: int = EXACT) -> DataFrame:
-    """(query, node): the best nodes found for each query (node, vec: without the component that evens out norms)."""
-    layout = saved(_lists_with_vectors(graph, vectors, REVERSE).select("node", "ids", "vecs"), "ann-layout")
-    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def search(queries: DataFrame, graph: DataFrame, halves: DataFrame, *, pool: int = POOL, expand: int = EXPAND, rounds: int = ROUNDS, exact: int = EXACT) -> DataFrame:
+    """(query, node): the best nodes found for each query (node, vec: without the component that evens out norms).
+
+    A warning says how many nodes were left to expand, if the last round ended the search.
+    """
+    layout = saved(_lists_with_vectors(graph, halves, REVERSE).select("node", "ids", "vecs"), "ann-layout")
+    parts = int(halves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     layout = layout.withColumnRenamed("node", "b").repartition(parts, "b").persist()
     # the own node is kept apart: lists never hold their node itself
     start = queries.select(F.col("node").alias("query"), "vec", F.lit(-9.0).cast("float").alias("least"), F.col("node").alias("b"))
-    pools, narrow = None, queries.select("node", "vec")
-    for _ in range(rounds):
-        asked = start if pools is None else pools.join(narrow, "node").select("node", "ids", "scores", "fresh", "vec").mapInArrow(_frontier(expand, pool), "query long, vec binary, least float, b long")
-        found = asked.join(layout, "b").select("query", "vec", "least", "ids", "vecs").mapInArrow(_expand, _LISTS)
-        found = found if pools is None else pools.mapInArrow(_expanded(expand), _LISTS).unionByName(found)
-        pools = saved(_merge(found, pool), "ann-pools")
-        left = pools.mapInArrow(_fresh_count, "fresh long, all long").agg(F.sum("fresh")).first()[0]
-        if not left:
-            break
-    layout.unpersist()
+    pools, narrow, left = None, queries.select("node", "vec"), 1
+    try:
+        for _ in range(rounds):
+            asked = start if pools is None else pools.join(narrow, "node").select("node", "ids", "scores", "fresh", "vec").mapInArrow(_frontier(expand, pool), "query long, vec binary, least float, b long")
+            found = asked.join(layout, "b").select("query", "vec", "least", "ids", "vecs").mapInArrow(_expand, _LISTS)
+            found = found if pools is None else pools.mapInArrow(_expanded(expand), _LISTS).unionByName(found)
+            pools = saved(_merge(found, pool), "ann-pools")
+            left = pools.mapInArrow(_fresh_count, "fresh long, all long").agg(F.sum("fresh")).first()[0]
+            if not left:
+                break
+    finally:
+        layout.unpersist()
+    if left:
+        warnings.warn(f"the search ended after {rounds} rounds with {left} nodes not expanded", stacklevel=2)
     best = pools.mapInArrow(_edges, "a long, b long, score float, fresh boolean")
     rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("score"), "b"))
     return best.withColumn("rank", rank).where(F.col("rank") <= exact).select(F.col("a").alias("query"), F.col("b").alias("node"))
@@ -375,8 +393,9 @@ def nearest(rows: DataFrame, asks: Column, *, k: int = 20, seed: int = 11) -> Da
     flat = asking.select("node", "embedding").dropDuplicates(["node"]).mapInArrow(_packed(high, False), "node long, vec binary")
     if uneven:
         flat = flat.select("node", F.concat("vec", F.lit(bytearray(4))).alias("vec"))
-    graph = build_graph(vectors, width + uneven, seed=seed)
-    found = search(saved(flat, "ann-queries"), graph, vectors).unionByName(asking.select(F.col("node").alias("query"), "node").distinct())
+    halves = saved(vectors.mapInArrow(_halved, "node long, vec binary"), "ann-halves")
+    graph = build_graph(vectors, halves, width + uneven, seed=seed)
+    found = search(saved(flat, "ann-queries"), graph, halves).unionByName(asking.select(F.col("node").alias("query"), "node").distinct())
     dot = F.aggregate(F.zip_with("embedding", "other", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
     scored = asking.join(found.withColumnRenamed("node", "near"), asking["node"] == found["query"]).join(nodes.select(F.col("node").alias("near"), F.col("embedding").alias("other"), "members"), "near")
     own = F.when(F.col("near") == F.col("node"), F.array_position("members", F.col("query_id"))).otherwise(F.lit(0))
