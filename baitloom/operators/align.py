@@ -86,34 +86,43 @@ class Index:
                     self.known[i, :n] &= mask[word:] == mask[:n]
         place = np.flatnonzero(self.known.ravel())
         words = number.ravel()[place]
-        by = np.argsort(words, kind="stable")
-        self.words, self.places = words[by], place[by].astype(np.int32)
         self.bitmap = np.zeros(-(-(4**word) // 8), np.uint8)  # of fixed size, however many words there are
-        np.bitwise_or.at(self.bitmap, self.words >> 3, (1 << (self.words & 7)).astype(np.uint8))
+        np.bitwise_or.at(self.bitmap, words >> 3, (1 << (words & 7)).astype(np.uint8))
+        # by word and the letter before it, 4 if no word begins there
+        before = np.full(self.known.shape, 4, np.uint8)
+        before[:, 1:] = np.where(self.known[:, :-1], self.codes[:, : before.shape[1] - 1], 4)
+        keys = words * 5 + before.ravel()[place]
+        by = np.argsort(keys, kind="stable")
+        self.keys, self.places = keys[by], place[by].astype(np.int32)
 
     def meetings(self, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(place, row, place in the row) where a common run of letters with a word begins; a bounded number at a time."""
+        """(place, row, place in the row) where a common run of letters with a word begins; a bounded number at a time.
+
+        A run begins where the letters before differ, so holders of a word with
+        the same letter before it are passed over.
+        """
         width = self.known.shape[1]
         number, good = words_of(codes, self.word)
         at = np.flatnonzero(good)
         at = at[(self.bitmap[number[at] >> 3] >> (number[at] & 7).astype(np.uint8)) & 1 == 1]
-        low, high = np.searchsorted(self.words, number[at]), np.searchsorted(self.words, number[at], "right")
-        count = high - low
+        letter = np.where(at > 0, codes[np.maximum(at - 1, 0)], 4)
+        word = number[at] * 5
+        low, high = np.searchsorted(self.keys, word), np.searchsorted(self.keys, word + 5)
+        same, after = np.searchsorted(self.keys, word + letter), np.searchsorted(self.keys, word + letter + 1)
+        same, after = np.where(letter < 4, same, low), np.where(letter < 4, after, low)
+        count = same - low + high - after
         upto = np.cumsum(count)
         start = 0
         while start < len(at):
-            before = int(upto[start - 1]) if start else 0
-            end = max(start + 1, int(np.searchsorted(upto, before + HITS_AT_ONCE, "right")))
+            done = int(upto[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(upto, done + HITS_AT_ONCE, "right")))
             n = count[start:end]
-            t = np.repeat(at[start:end], n)
-            hit = np.arange(len(t)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[start:end], n)
+            part = slice(start, end)
+            hit = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            hit += np.repeat(low[part], n) + np.where(hit < np.repeat(same[part] - low[part], n), 0, np.repeat(after[part] - same[part], n))
             row, p = np.divmod(self.places[hit], width)
+            yield np.repeat(at[part], n), row, p
             start = end
-            goes_on = (t > 0) & (p > 0)
-            q, s = np.maximum(p - 1, 0), np.maximum(t - 1, 0)
-            goes_on &= self.known[row, q] & (self.codes[row, q] == codes[s])
-            first = ~goes_on
-            yield t[first], row[first], p[first]
 
     def diagonals(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows and distances (place less place in the row), each pair once, by row."""
