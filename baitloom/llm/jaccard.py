@@ -239,20 +239,23 @@ def _verify(k: int, percent: int):
 
 
 def _prefixes(k: int, orders):
-    """(node, text) to (node, p1, p2, ...): prefixes under the further orders, tokens by 32 of their bits."""
+    """Texts with the class they are asked for to (node, p1, p2, ...): prefixes under the further orders, tokens by 32 of their bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = orders.value
         for batch in batches:
-            made: list[list[np.ndarray]] = [[] for _ in range(1, ORDERS)]
-            for tokens in shingle_sets(batch.column(1), k):
+            nodes, made = [], [[] for _ in range(1, ORDERS)]
+            for asked, tokens in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), k), strict=True):
+                if not len(tokens) or asked not in (None, node := node_of(tokens)):
+                    continue
+                nodes.append(node)
                 for r, out in enumerate(made, 1):
                     out.append((own.prefix(tokens, r)[0] >> np.uint64(32)).astype(np.uint32).view(np.int32))
             lists = []
             for out in made:
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
                 lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*out, np.zeros(0, np.int32)]))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], ["node", *(f"p{r}" for r in range(1, ORDERS))])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), *lists], ["node", *(f"p{r}" for r in range(1, ORDERS))])
 
     return run
 
@@ -271,14 +274,14 @@ def _possible(percent: int):
     return run
 
 
-def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """(node, text) of the classes in these pairs. Ids that repeat, and rows without one, are told apart by the set itself."""
+def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, text) of the classes in these pairs, or null and the text of a row without id. As ids may repeat, the set itself must tell whether a text is the one."""
     nodes = pairs.select(F.col("hub").alias("node")).unionByName(pairs.select(F.col("member").alias("node"))).distinct()
     wanted = saved(classes.join(nodes, "node").select("node", F.col("least").alias("doc_id")), "jaccard-wanted")
     texts = docs.join(sized(wanted.where("doc_id IS NOT NULL"), wanted.count(), MOST_BROADCAST), "doc_id").select("node", "text")
     if not wanted.where("doc_id IS NULL").isEmpty():
         texts = texts.unionByName(docs.where("doc_id IS NULL").select(F.lit(None).cast("long").alias("node"), "text"))
-    return texts.mapInArrow(_named(k), "node long, text string")
+    return texts
 
 
 def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, orders, k: int, percent: int) -> DataFrame:
@@ -287,14 +290,14 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, orders, k: int
     both = pairs.join(signs.toDF("member", "n", "sign"), "member").join(signs.toDF("hub", "hub_n", "hub_sign"), "hub")
     pairs = saved(both.select("hub", "member", "n", "sign", "hub_n", "hub_sign").mapInArrow(_possible(percent), "hub long, member long"), "jaccard-possible")
     numbers = range(1, ORDERS)
-    prefixes = _texts(docs, classes, pairs, k).mapInArrow(_prefixes(k, orders), "node long, " + ", ".join(f"p{r} array<int>" for r in numbers))
+    prefixes = _texts(docs, classes, pairs).mapInArrow(_prefixes(k, orders), "node long, " + ", ".join(f"p{r} array<int>" for r in numbers))
     prefixes = saved(prefixes, "jaccard-prefixes")
     member, hub = (prefixes.select(F.col("node").alias(x), *[F.col(f"p{r}").alias(f"{x}{r}") for r in numbers]) for x in ("member", "hub"))
     shared = F.lit(True)
     for r in numbers:
         shared = shared & F.arrays_overlap(f"member{r}", f"hub{r}")
     pairs = saved(pairs.join(member, "member").join(hub, "hub").where(shared).select("hub", "member").distinct(), "jaccard-candidates")
-    texts = _texts(docs, classes, pairs, k)
+    texts = _texts(docs, classes, pairs).mapInArrow(_named(k), "node long, text string")
     parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / IN_TASK).cast("int").alias("parts"))
     salted = pairs.join(parts, "hub").select("hub", "member", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("salt"))
     hubs = parts.select("hub", F.col("hub").alias("member"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
