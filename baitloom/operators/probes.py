@@ -29,9 +29,9 @@ def pad_short(seqs: DataFrame, min_len: int = 90, probe_len: int = 120, nuc: str
     return rest.select(F.concat(F.lit(prefix + "_"), F.col(id_col).cast("string"), F.lit("_padded_probe")).alias("probe_id"), F.lpad("_s", probe_len, nuc).alias("seq"))
 
 
-def _chosen(letter: Column, draw: Column, props: dict[str, float]) -> Column:
+def _chosen(letter: Column, draw: Column, props: dict[str, float], n_choices: str) -> Column:
     out = letter
-    for code, letters in AMBIGUITY.items():
+    for code, letters in (AMBIGUITY | {"N": tuple(n_choices)}).items():
         weights = [props.get(x, 0.0) for x in letters]
         weights = weights if sum(weights) > 0 else [1.0] * len(letters)
         pick, below = F.lit(letters[-1]), []
@@ -43,14 +43,15 @@ def _chosen(letter: Column, draw: Column, props: dict[str, float]) -> Column:
     return out
 
 
-def substitute_ambiguous(probes: DataFrame, props: DataFrame, seed: int = 1) -> DataFrame:
+def substitute_ambiguous(probes: DataFrame, props: DataFrame, seed: int = 1, n_choices: str = "".join(AMBIGUITY["N"])) -> DataFrame:
     """Upper-cases probes and draws a letter for each ambiguity code, weighted by (letter, prop).
 
-    A draw depends on seed, probe and position only. Other characters stay.
+    A draw depends on seed, probe and position only. Other characters stay, and so
+    does a null sequence. `n_choices` are the letters that N may stand for.
     """
     weights = {r["letter"]: r["prop"] for r in props.select("letter", "prop").where(F.col("letter").isin(*"ACGT")).collect()}
     letters = F.split(F.upper("seq"), "")
-    drawn = F.transform(letters, lambda x, i: _chosen(x, unit_draw(F.lit(seed), F.col("probe_id"), i), weights))
+    drawn = F.transform(letters, lambda x, i: _chosen(x, unit_draw(F.lit(seed), F.col("probe_id"), i), weights, n_choices))
     return probes.withColumn("seq", F.when(ambiguous_count(F.col("seq")) > 0, F.array_join(drawn, "")).otherwise(F.upper("seq")))
 
 

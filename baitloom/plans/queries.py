@@ -377,7 +377,7 @@ def g5_fill_gaps(spark, d):
 def g6_design_incremental(spark, d):
     from ..operators.design import design_incremental
 
-    return design_incremental(T.kept(spark, d), 500)[0]
+    return design_incremental(T.kept(spark, d), 5000)[0]
 
 
 @query

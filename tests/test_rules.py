@@ -57,6 +57,8 @@ def test_substitution_never_draws_g_for_n(spark):
     props = frame(spark, [("A", 0.3), ("C", 0.3), ("G", 0.2), ("T", 0.2)], "letter string, prop double")
     got = P.substitute_ambiguous(frame(spark, [("p", "N" * 200)], "probe_id string, seq string"), props).first().seq
     assert set(got) == set("ACT")
+    only = P.substitute_ambiguous(frame(spark, [("p", "N" * 200)], "probe_id string, seq string"), props, n_choices="G").first().seq
+    assert only == "G" * 200
 
 
 def test_kmers(spark):
