@@ -190,13 +190,15 @@ def decontaminate(
         return _by_join(docs, items, window, gram, one_in, made).select(*keep, *made)
     rows = items.collect()
     index = docs.sparkSession.sparkContext.broadcast(Index([r[0] for r in rows], [r[1] for r in rows], window, gram))
-    read = docs.select(F.coalesce("text", F.lit("")).alias(free_name("text", keep)), *keep)
+    # the text is sent once, whether it is kept or not
+    at = keep.index("text") if "text" in keep else len(keep)
+    read = docs.select(*keep) if "text" in keep else docs.select(*keep, "text")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _table(batch.columns[1:], _judge(batch.column(0), index.value, one_in), [*keep, *made])
+            yield _table(batch.columns[: len(keep)], _judge(batch.column(at), index.value, one_in), [*keep, *made])
 
-    return read.mapInArrow(judge, T.StructType([*read.schema.fields[1:], *_made_fields()]))
+    return read.mapInArrow(judge, T.StructType([*read.schema.fields[: len(keep)], *_made_fields()]))
 
 
 def _made_fields() -> list[T.StructField]:
