@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_text, jaccard, manifest, neighbours, pieces, secrets, shard, substring_dedup, toxicity, url_filter
+from . import cover, decontaminate, html_text, jaccard, manifest, neighbours, pieces, secrets, shard, substring_dedup, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(table(spark, sf_dir, "documents"))
 
 
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover.near_groups(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_secrets": op2_secrets,
@@ -76,9 +80,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_pieces": op10_pieces,
     "op12_manifest": op12_manifest,
+    "op13_near_vectors": op13_near_vectors,
 }
 ORACLES: dict[str, str] = {
     "op2_secrets": secrets.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
     "op12_manifest": manifest.ORACLE,
+    "op13_near_vectors": cover.ORACLE,
 }
