@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover, decontaminate, html_text, jaccard, manifest, neighbours, pieces, secrets, shard, substring_dedup, toxicity, url_filter
+from . import cover, decontaminate, html_text, jaccard, manifest, neighbours, pieces, secrets, shard, substring_dedup, toxicity, trie, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(table(spark, sf_dir, "documents"))
 
@@ -79,12 +83,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_pieces": op10_pieces,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_manifest": op12_manifest,
     "op13_near_vectors": op13_near_vectors,
 }
 ORACLES: dict[str, str] = {
     "op2_secrets": secrets.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
+    "op11_prefix_trie": trie.ORACLE,
     "op12_manifest": manifest.ORACLE,
     "op13_near_vectors": cover.ORACLE,
 }

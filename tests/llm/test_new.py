@@ -1,6 +1,7 @@
 """Manifest, cover trees and the conversation trie against brute force."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from baitloom.llm import cover, manifest
+from baitloom.llm import cover, manifest, trie
 
 CLASH = ["tree", "n", "level", "low", "high", "digest", "group", "order", "leaf", "changed", "tie", "place", "path", "node", "weight", "block", "bucket", "part", "index", "above", "claim", "g", "links", "component", "root", "d", "p"]
 
@@ -169,3 +170,70 @@ def test_the_tree_covers_and_bounds_take_groups_whole(monkeypatch):
     cosine = x @ x.T
     assert links.count.tolist() == ((cosine >= 0.98).sum(1) - 1).tolist()
     assert sum(seen) < 20_000  # of two million links among the clump
+
+
+def trie_rows(rows, block=100, heads=6):
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            digest = hashlib.sha256(f"{len((role or '').encode())}:{role or ''}{text or ''}".encode()).digest()
+            own.setdefault(conv, []).append((turn is not None, turn or 0, digest, (role or "", text or "")))
+    own = {c: [x[3] for x in sorted(v)] for c, v in own.items()}
+    rebuilt = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % heads
+        rebuilt[c] = tuple(own.get(c - int(math.fmod(c, block)), [])[:h] + turns[h:])
+    members = {}
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(turns[:d], []).append(c)
+    kids, leaves, saved = dict.fromkeys(members, 0), dict.fromkeys(members, 0), dict.fromkeys(members, 0)
+    for p in members:
+        if p:
+            kids[p[:-1]] += 1
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += kids[p] == 0
+            saved[p[:d]] += (len(m) - 1) * len(p[-1][1]) if p else 0
+    ends = {p: sha(",".join(str(c) for c in sorted(c for c in m if rebuilt[c] == p))) for p, m in members.items()}
+    return sorted(((min(m), len(p), min(members[p[:-1]]) if p else None, len(m), kids[p], leaves[p], saved[p], ends[p]) for p, m in members.items()), key=str)
+
+
+def talks():
+    rng = random.Random(21)
+    text = lambda: rng.choice([None, "", "é日", "a", "b", "hello " * 5])
+    rows = [(c, t, rng.choice(["user", None, "assistant"]), text()) for c in range(180) for t in range(rng.randrange(1, 6))]
+    same = [("user", "all the same"), ("assistant", "yes"), ("user", "and on"), (None, "x"), ("user", "y"), ("a", "z"), ("a", "w")]
+    rows += [(c, t, *x) for c in [200, *range(211, 260)] for t, x in enumerate(same)]
+    rows += [(300, t, "user", f"turn {t}") for t in range(150)] + [(333, t, "user", f"turn {t}" if t < 120 else "other") for t in range(140)]
+    rows += [(400, None, "user", "no turn"), (400, None, "user", "no turn"), (400, 3, "user", "t"), (400, 3, "user", "s"), (None, 1, "user", "nobody"), (-5, 0, "user", "below zero"), (777, 0, "user", "alone")]
+    rng.shuffle(rows)
+    return rows
+
+
+TALKS = "conv_id long, turn long, role string, text string"
+
+
+@pytest.mark.parametrize("shard", [50_000, 12])
+def test_prefix_trie(spark, shard, monkeypatch):
+    monkeypatch.setattr(trie, "LIST_BYTES", 100)
+    rows = talks()
+    if shard == 12:
+        rows = [r for r in rows if r[0] is None or r[0] < 260 or r[1] is None or r[1] < 30]
+    got = trie.prefix_trie(with_clashes(spark.createDataFrame(rows, TALKS)).repartition(3), shard=shard)
+    assert sorted(map(tuple, got.collect()), key=str) == trie_rows(rows)
+
+
+def test_prefix_trie_of_nothing(spark):
+    assert trie.prefix_trie(spark.createDataFrame([], TALKS)).count() == 0
+
+
+def test_slots_are_minimal_and_tell_strangers():
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(-(2**62), 2**62, (2, 20_000))
+    a[:100], b[100:200] = 7, 9  # one half of a name may repeat
+    slots = trie.Slots(a[:15_000], b[:15_000])
+    assert sorted(slots.of(a[:15_000], b[:15_000]).tolist()) == list(range(15_000))
+    assert (slots.of(a[15_000:], b[15_000:]) == -1).all()
+    with pytest.raises(ValueError):
+        trie.Slots(np.array([1, 1]), np.array([2, 2]))
