@@ -42,12 +42,12 @@ def letter_matrix(seqs: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(codes: np.ndarray, word: int) -> tuple[np.ndarray, np.ndarray]:
-    """Along the last axis, each word as a number, two bits a letter, and whether all its letters are known."""
+    """Along the last axis, each word (of 31 letters at most) as a number, two bits a letter, and whether all its letters are known."""
     n = codes.shape[-1] - word + 1
     if n < 1:
         none = np.zeros((*codes.shape[:-1], 0))
         return none.astype(np.int32), none.astype(bool)
-    number, good = np.zeros((*codes.shape[:-1], n), np.int32), np.ones((*codes.shape[:-1], n), bool)
+    number, good = np.zeros((*codes.shape[:-1], n), np.int32 if word < 16 else np.int64), np.ones((*codes.shape[:-1], n), bool)
     for i in range(word):
         part = codes[..., i : i + n]
         number = number * 4 + (part & 3)

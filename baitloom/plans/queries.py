@@ -13,6 +13,7 @@ from ..operators import depth as D
 from ..operators import graph as G
 from ..operators import probes as P
 from ..operators import qc as Q
+from ..operators import runs as K
 from ..operators import stats as S
 from ..store import scratch
 from . import tables as T
@@ -246,8 +247,7 @@ def a8_mapped_probe_count(spark, d):
 
 @query
 def a9_panel_counts(spark, d):
-    kmers = P.enum_kmers(T.kept(spark, d), k=120)
-    added = P.take_top(P.kmer_support(kmers), 50, "x_round_3")
+    added = P.take_top(K.count_kmers(T.kept(spark, d), k=120), 50, "x_round_3")
     return P.panel_counts(P.append_probes(T.panel(spark, d), added))
 
 
@@ -273,20 +273,18 @@ def a13_low_coverage_bases(spark, d):
 
 @query
 def a14_kmer_support(spark, d):
-    kmers = P.enum_kmers(T.kept(spark, d), k=120)
-    return P.kmer_support(kmers).select(F.md5("kmer").alias("kmer_md5"), "size")
+    return K.count_kmers(T.kept(spark, d), k=120).select(F.md5("kmer").alias("kmer_md5"), "size")
 
 
 @query
 def t1_rank_candidates(spark, d):
-    support = P.kmer_support(P.enum_kmers(T.kept(spark, d), k=120))
-    return P.take_top(support, None, "x").select("probe_id", F.md5("seq").alias("seq_md5"))
+    return P.take_top(K.count_kmers(T.kept(spark, d), k=120), None, "x").select("probe_id", F.md5("seq").alias("seq_md5"))
 
 
 @query
 def t2_take_top(spark, d):
     """A top-k report: the 100 most frequent k-mers."""
-    return P.take_top(P.kmer_support(P.enum_kmers(T.kept(spark, d), k=120)), 100, "x")
+    return P.take_top(K.count_kmers(T.kept(spark, d), k=120), 100, "x")
 
 
 @query
@@ -347,10 +345,9 @@ def g9_evaluate(spark, d):
 @query
 def g2_cluster_sequences(spark, d):
     """All k-mers of all kept genomes, clustered at panel identity."""
-    from ..operators.cluster import cluster_kmers
+    from ..operators.cluster import cluster_runs
 
-    support = P.kmer_support(P.enum_kmers(T.kept(spark, d), k=120))
-    return cluster_kmers(support, 0.85).select(F.md5("kmer").alias("kmer_md5"), "size")
+    return cluster_runs(K.kmer_runs(T.kept(spark, d), 120), 120, 0.85).select(F.md5("kmer").alias("kmer_md5"), "size")
 
 
 @query

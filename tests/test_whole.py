@@ -12,6 +12,7 @@ from baitloom.operators import cluster as C
 from baitloom.operators import depth as D
 from baitloom.operators import probes as P
 from baitloom.operators import qc as Q
+from baitloom.operators import runs as K
 from baitloom.operators.align import align_probes
 from baitloom.operators.design import capture
 from baitloom.plans import tables as T
@@ -141,3 +142,64 @@ def test_plans(spark):
     j1 = plan("j1_align_probes")
     assert "Exchange" not in j1 and "CartesianProduct" not in j1 and "Join" not in j1
     assert not any(x in plan(q) for q in ("f6_qc_report", "w3_low_coverage", "a7_long_report", "f11_enum_kmers") for x in ("Python", "InArrow", "CartesianProduct"))
+
+
+def test_kmers_counted_in_runs(spark, monkeypatch):
+    """Runs give what k-mers one by one give: with repeats, letters other than four, chunks, steps, minimizers of many k-mers."""
+    rng = random.Random(31)
+    unit = letters(rng, 300)
+    rows = [(1, unit + "N" + unit[:200]), (2, unit.lower()), (3, "A" * 400), (4, letters(rng, 90) + "RYN" + letters(rng, 90)), (5, None), (6, ""), (7, "ACGT" * 5), (8, "N" * 200), (9, unit[:150] + "A" + unit[151:])]
+    seqs = spark.createDataFrame(rows, "target_id int, seq string")
+    monkeypatch.setattr(K, "CHUNK", 70)
+    for k, step, degen, most in ((60, 1, 0, 200_000), (60, 1, 3, 150), (40, 7, 1, 200_000), (120, 120, 0, 200_000)):
+        monkeypatch.setattr(K, "BUCKET", most)
+        want = {r.kmer: r["size"] for r in P.kmer_support(P.enum_kmers(seqs, k, step, degen)).collect()}
+        got = K.count_kmers(seqs, k, step, degen).collect()
+        assert {r.kmer: r["size"] for r in got} == want and len(got) == len(want) > 3
+
+
+def test_runs_cluster_as_kmers(spark, monkeypatch):
+    rng = random.Random(32)
+    base = letters(rng, 900)
+    rows = [(i, "".join(rng.choice("ACGT") if rng.random() < 0.04 else x for x in base)) for i in range(5)] + [(9, base[300:600] + "N" + base[100:400])]
+    seqs = spark.createDataFrame(rows, "target_id int, seq string")
+    runs = K.kmer_runs(seqs, 60, 1, 5)
+    whole = {r.kmer: r["size"] for r in C.cluster_runs(runs, 60, 0.85, batch=10**6).collect()}
+    assert {r.kmer: r["size"] for r in C.cluster_runs(runs, 60, 0.85, batch=10).collect()} == whole and 5 < len(whole) < 400
+    assert {r.kmer: r["size"] for r in C.cluster_kmers(P.kmer_support(P.enum_kmers(seqs, 60, 1, 5)), 0.85, batch=10).collect()} == whole
+
+
+def test_genomes_as_one_by_one(spark):
+    """Copies with a mutation, parts, strands, chains of likeness: as taking them one after the other, longest first."""
+    rng = random.Random(33)
+    base = letters(rng, 1500)
+    back = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    change = lambda s, n: (lambda at: "".join(rng.choice("ACGT".replace(x, "")) if i in at else x for i, x in enumerate(s)))(set(rng.sample(range(len(s)), n)))
+    seqs = [base, *[change(base, 1) for _ in range(12)], *[back(change(base, 1)) for _ in range(4)], base[200:900], back(base[400:1100]), change(base, 40), letters(rng, 700), letters(rng, 40), "", None]
+    rows = list(enumerate(seqs))
+    rng.shuffle(rows)
+
+    def alike(a, b):
+        short, long = sorted((a or "", b or ""), key=len)
+        if len(short) < 32:
+            return False
+        return any(sum(x == y for x, y in zip(s, long[at:])) >= 0.999 * len(s) for s in (short, back(short)) for at in range(len(long) - len(short) + 1))
+
+    want = {}
+    for i, s in sorted(rows, key=lambda r: (-len(r[1] or ""), r[0])):
+        own = next((c for c in sorted(set(want.values()), key=lambda c: (-len(seqs[c] or ""), c)) if alike(s, seqs[c])), i)
+        want[i] = own
+    got = C.cluster_genomes(spark.createDataFrame(rows, "id int, seq string"))
+    assert {r.id: r.centroid for r in got.collect()} == want
+
+
+def test_copies_of_a_genome_meet_their_representative_only(spark, monkeypatch):
+    rng = random.Random(34)
+    base = letters(rng, 2000)
+    counts = []
+    monkeypatch.setattr(C, "saved", lambda f, name, s=C.saved: (lambda out: (counts.append(out.count()) if name == "genomes-like" else None, out)[1])(s(f, name)))
+    for n in (30, 60):
+        rows = [(i, base[:j] + "ACGT"[("ACGT".index(base[j]) + 1) % 4] + base[j + 1 :]) for i, j in enumerate(rng.sample(range(2000), n))]
+        before = len(counts)
+        assert len({r.centroid for r in C.cluster_genomes(spark.createDataFrame(rows, "id int, seq string"), 0.99).collect()}) == 1
+        assert sum(counts[before:]) <= 8 * n
