@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .letters import cut_out
+
 
 def filter_alignments(aln: DataFrame, min_id: float = 85.0, min_len: int = 90) -> DataFrame:
     return aln.where((F.col("pident") >= min_id) & (F.col("length") >= min_len))
@@ -84,16 +86,16 @@ def smooth_short_zeros(segments: DataFrame, threshold: int = 10) -> DataFrame:
 def low_coverage(segments: DataFrame, targets: DataFrame, k: int = 120, min_depth: int = 0, min_len: int = 40) -> DataFrame:
     """(id, target_id, start, end, seq): runs of low depth longer than min_len, the shorter of them as windows of k around them."""
     low = coalesce_runs(segments, F.col("depth") <= min_depth, "low").where(F.col("low") & (F.col("end") - F.col("start") > min_len))
-    j = low.join(targets.select("target_id", F.encode("seq", "UTF-8").alias("seq")), "target_id").withColumn("n", F.length("seq")).where(F.col("n") >= k)
+    j = low.join(targets.select("target_id", F.length("seq").alias("n")), "target_id").where(F.col("n") >= k)
     size = F.col("end") - F.col("start")
     centred = F.col("start") - F.floor((F.lit(k) - size) / 2).cast("int")
     start = F.when(size >= k, F.col("start")).otherwise(F.least(F.greatest(centred, F.lit(0)), F.col("n") - k))
     end = F.when(size >= k, F.col("end")).otherwise(start + k)
-    cut = j.select("target_id", start.alias("start"), end.alias("end"), "seq", (size < k).alias("_short"))
-    part = F.substring(F.col("seq"), F.col("start") + 1, F.col("end") - F.col("start")).cast("string")
+    # two short runs may have one window; each has its row
+    cut = cut_out(j.select("target_id", start.alias("start"), end.alias("end"), F.col("start").alias("run"), (size < k).alias("short")), targets)
     return cut.select(
         F.concat(F.col("target_id").cast("string"), F.lit("_position_"), (F.col("start") + 1).cast("string"), F.lit("_to_"), F.col("end").cast("string")).alias("id"),
-        "target_id", "start", "end", F.when(F.col("_short"), F.upper(part)).otherwise(part).alias("seq"),
+        "target_id", "start", "end", F.when(F.col("short"), F.upper("seq")).otherwise(F.col("seq")).alias("seq"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequences import AMBIGUITY, ambiguous_count, chunks, tile_starts, unit_draw
-from ..store import saved
+from ..store import numbered
 
 CHUNK, FEW = 4096, 1000
 
@@ -93,14 +93,7 @@ def take_top(candidates: DataFrame, n: int | None, name: str) -> DataFrame:
     if n is not None and n <= FEW:
         ranked = rank_candidates(candidates).limit(n).withColumn("_i", F.row_number().over(Window.orderBy(F.desc("size"), F.asc_nulls_last("kmer"))))
     else:
-        ordered = saved(rank_candidates(candidates).select("size", "kmer", F.spark_partition_id().alias("_p")), "ranked")  # written, so that rows keep their partition
-        first, at = [], 0
-        for r in sorted(ordered.groupBy("_p").count().collect()):  # a row for each partition
-            first.append((r["_p"], at))
-            at += r["count"]
-        before = candidates.sparkSession.createDataFrame(first, "_p int, _b long")
-        own = F.row_number().over(Window.partitionBy("_p").orderBy(F.desc("size"), F.asc_nulls_last("kmer")))
-        ranked = ordered.withColumn("_r", own).join(F.broadcast(before), "_p").withColumn("_i", F.col("_r") + F.col("_b"))
+        ranked = numbered(candidates.select("size", "kmer"), F.desc("size"), F.asc_nulls_last("kmer")).withColumn("_i", F.col("place") + 1)
         ranked = ranked if n is None else ranked.where(F.col("_i") <= n)
     return ranked.select(F.concat(F.lit(name + "_probe_"), F.col("_i").cast("string")).alias("probe_id"), F.col("kmer").alias("seq"))
 

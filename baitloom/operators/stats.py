@@ -1,7 +1,7 @@
 """Reports over depth segments.
 
-Letters matter only as "uncovered N" and "uncovered A, C, G or T"; a segment's
-own stretch of the sequence is cut out for that, so bases are never exploded.
+Letters matter only as "uncovered N" and "uncovered A, C, G or T"; they come from
+counts up to a segment's two ends, so bases are never exploded.
 """
 
 from __future__ import annotations
@@ -11,25 +11,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequences import letter_count, unit_draw
+from ..functions.sequences import unit_draw
+from ..store import numbered
+from .letters import run_sums
 
 PERCENTILES = (0, 0.05, 0.1, 0.25, 0.5, 0.75, 1)
 
 
-def _with_letters(segments: DataFrame, targets: DataFrame) -> DataFrame:
-    """Segments with n bases, n_atgc and (upper-case) n_n."""
-    j = segments.join(targets.select("target_id", F.encode("seq", "UTF-8").alias("_raw")), "target_id")
-    part = F.substring(F.col("_raw"), F.col("start") + 1, F.col("end") - F.col("start")).cast("string")  # from bytes, where any place is reached at once
-    return j.select("target_id", "depth", (F.col("end") - F.col("start")).cast("long").alias("n"), letter_count(part, "ACGTacgt").cast("long").alias("n_atgc"), letter_count(part, "N").cast("long").alias("n_n"))
-
-
 def _sum(condition: Column, value: str) -> Column:
     return F.coalesce(F.sum(F.when(condition, F.col(value))), F.lit(0))
 
 
 def genome_depth_stats(segments: DataFrame, targets: DataFrame, maxcheck: int = 1) -> DataFrame:
     """(target_id, c0, ..., c_gt, meancov): per cent of bases at each depth, without uncovered N; null if nothing is left."""
-    x = _with_letters(segments, targets)
+    x = run_sums(segments, targets)
     un = _sum(F.col("depth") == 0, "n_n")
     rows = F.sum("n") - un
     share = lambda part: F.when(rows > 0, part / rows * 100)
@@ -63,23 +58,22 @@ def _coverage(d: int) -> Column:
 
 def coverage_at_depth(segments: DataFrame, targets: DataFrame, d: int = 1) -> DataFrame:
     """(target_id, coverage): covered bases, whatever their letter, against these and uncovered A, C, G and T."""
-    return _with_letters(segments, targets).groupBy("target_id").agg(_coverage(d).alias("coverage"))
+    return run_sums(segments, targets).groupBy("target_id").agg(_coverage(d).alias("coverage"))
 
 
 def coverage_percentiles(values: DataFrame, ps: Sequence[float] = PERCENTILES) -> DataFrame:
-    """(p, value): the value at rank (n - 1) p, or midway between its neighbours; null if there are no values.
+    """(p, value): the value at rank (n - 1) p, or midway between its neighbours; null if there are no values. Null values do not count.
 
-    Ranks come from counts of distinct values, so rows do not pass through one
-    task unless all values differ.
+    Values are sorted in ranges and numbered, so none passes through one task with
+    all others, however many are equal.
     """
-    counts = values.where("coverage IS NOT NULL").groupBy("coverage").agg(F.count("*").alias("c"))
-    order = Window.orderBy("coverage").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = counts.withColumn("upto", F.sum("c").over(order)).withColumn("since", F.col("upto") - F.col("c"))
-    wanted = values.sparkSession.createDataFrame([(float(p),) for p in ps], "p double")
-    at = wanted.crossJoin(counts.agg(F.sum("c").alias("n"))).withColumn("r", (F.col("n") - 1) * F.col("p"))
+    spark = values.sparkSession
+    placed = numbered(values.where("coverage IS NOT NULL").select("coverage", F.monotonically_increasing_id().alias("tie")), F.asc("coverage"), F.asc("tie"), name="rank")
+    wanted = spark.createDataFrame([(float(p),) for p in ps], "p double")
+    at = wanted.join(F.broadcast(placed.agg(F.count("*").alias("n"))), F.col("n") > 0).withColumn("r", (F.col("n") - 1) * F.col("p"))
     ranks = at.select("p", F.explode(F.array(F.floor("r"), F.ceil("r"))).alias("rank"))
-    found = upto.join(F.broadcast(ranks), (F.col("rank") >= F.col("since")) & (F.col("rank") < F.col("upto")))
-    return wanted.join(found.groupBy("p").agg(F.avg("coverage").alias("v")), "p", "left").select("p", F.round("v", 2).alias("value"))
+    found = placed.join(F.broadcast(ranks), "rank").groupBy("p").agg(F.avg("coverage").alias("v"))
+    return wanted.join(found, "p", "left").select("p", F.round("v", 2).alias("value"))
 
 
 def panel_depth_distribution(segments: DataFrame) -> DataFrame:
@@ -100,7 +94,7 @@ def summary_report(segments: DataFrame, targets: DataFrame, name: str) -> DataFr
 
 def long_report(segments: DataFrame, targets: DataFrame, name: str) -> DataFrame:
     """A row for each target: length, letters, bases at each depth, coverage at each depth."""
-    x = _with_letters(segments, targets)
+    x = run_sums(segments, targets)
     n, atgc = F.sum("n"), F.sum("n_atgc")
     bases = [_sum(F.col("depth") == d, "n").alias(f"bases_{d}x") for d in range(5)] + [_sum(F.col("depth") >= 5, "n").alias("bases_5plusx")]
     covs = [F.round(_coverage(d), 1).alias(f"cov_{d}x") for d in range(1, 6)]
@@ -113,8 +107,8 @@ def mapped_probe_count(aln: DataFrame) -> DataFrame:
 
 
 def attach_clusters(stats: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Adds each target's cluster, null if it has none. clusters: (id, cluster)."""
-    return stats.join(clusters.select(F.col("id").alias("target_id"), "cluster"), "target_id", "left")
+    """Adds each target's cluster, null if it has none, in place of a column `cluster` that is there. clusters: (id, cluster); a target that stands there twice has two rows."""
+    return stats.drop("cluster").join(clusters.select(F.col("id").alias("target_id"), "cluster"), "target_id", "left")
 
 
 def cluster_sizes(stats: DataFrame) -> DataFrame:
@@ -132,8 +126,8 @@ def _median_length(targets: DataFrame) -> DataFrame:
 
 
 def length_band(targets: DataFrame, tol: float = 0.1) -> DataFrame:
-    """Targets whose length is strictly within the median, more or less tol; adds median_len."""
-    j = targets.crossJoin(F.broadcast(_median_length(targets)))
+    """Targets whose length is strictly within the median, more or less tol; adds median_len, in place of a column of that name. Null sequences have no length and are left out."""
+    j = targets.drop("median_len").crossJoin(F.broadcast(_median_length(targets)))
     n = F.length("seq")
     return j.where((n > F.col("median_len") * (1 - tol)) & (n < F.col("median_len") * (1 + tol)))
 
