@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..store import free_name, saved, scratch
+from ..store import free_name, numbered, saved, scratch
 
 __all__ = ["components", "free_name", "numbered", "saved", "scratch", "sized"]
 
@@ -15,25 +15,6 @@ def sized(frame: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(frame) if rows <= most else frame
 
 
-def numbered(frame: DataFrame, *order: Column, name: str = "place") -> DataFrame:
-    """The rows with their place from 0 in this order, written.
-
-    Rows are sorted in ranges; a row's place in its own range and the sizes of the
-    ranges before give its place. No task holds more than a range, and the driver
-    sees one row for each. Add a column that tells all rows apart as the last of
-    the order if many rows may be equal.
-    """
-    index, part, before = (free_name(x, frame.columns) for x in ("index", "part", "before"))
-    ordered = saved(frame.orderBy(*order).withColumn(index, F.monotonically_increasing_id()).withColumn(part, F.shiftright(index, 33)), "ordered")
-    first, at = [], 0
-    for r in sorted(ordered.groupBy(part).count().collect()):  # a row for each range
-        first.append((r[0], at))
-        at += r[1]
-    starts = F.broadcast(frame.sparkSession.createDataFrame(first, f"`{part}` long, `{before}` long"))
-    placed = ordered.join(starts, part).withColumn(name, F.col(index).bitwiseAND((1 << 33) - 1) + F.col(before))
-    return placed.drop(index, part, before)
-
-
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, label) of every node on an edge (a, b): the least node that it reaches.
 

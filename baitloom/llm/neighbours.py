@@ -25,6 +25,7 @@ empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import warnings
 from collections.abc import Iterator
 
@@ -37,8 +38,8 @@ from ._store import saved
 
 #: Neighbours and reverse neighbours of a node, rows compared in a first block, orders of first blocks, rounds at most, and what a member learns of one list at most.
 NEIGHBOURS, REVERSE, BLOCK, ORDERS, DESCENTS, LEARNT = 24, 24, 512, 4, 4, 6
-#: Of a search: nodes kept, nodes expanded in a round, rounds at most, and nodes scored exactly in the end.
-POOL, EXPAND, ROUNDS, EXACT = 448, 64, 10, 64
+#: Of a search: nodes kept, nodes expanded in a round, and nodes scored exactly in the end (twice those asked for, if that is more).
+POOL, EXPAND, EXACT = 448, 64, 64
 _LISTS = "node long, ids binary, scores binary, fresh binary"
 
 
@@ -283,13 +284,19 @@ def _fresh_count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def build_graph(vectors: DataFrame, halves: DataFrame, width: int, *, neighbours: int = NEIGHBOURS, reverse: int = REVERSE, descents: int = DESCENTS, seed: int = 11) -> DataFrame:
     """(node, ids, scores, fresh) by NN-descent over (node, vec): `descents` rounds at most, fewer if 2 % of the lists' entries are new or less."""
     rng = np.random.default_rng(seed)
-    first = None
+    first, parts = None, max(1, vectors.count() // BLOCK)  # few rows are one block, in which all pairs are scored
     for _ in range(ORDERS):
         planes = rng.normal(size=(width, 24)).astype(np.float32)
         coded = vectors.mapInArrow(_coded(planes), "node long, vec binary, code long")
-        lists = coded.repartitionByRange("code", "node").sortWithinPartitions("code", "node").mapInArrow(_blocks(neighbours, BLOCK), _LISTS)
+        lists = coded.repartitionByRange(parts, "code", "node").sortWithinPartitions("code", "node").mapInArrow(_blocks(neighbours, BLOCK), _LISTS)
         first = lists if first is None else first.unionByName(lists)
     graph = saved(_merge(first, neighbours), "ann-graph")
+    # a vector that was alone in its range each time (one a range at most) meets some that are not
+    lone = vectors.join(graph.select("node"), "node", "left_anti")
+    if not lone.isEmpty():
+        met = vectors.join(graph.select("node"), "node", "left_semi").orderBy("node").limit(neighbours)
+        more = lone.unionByName(met).select("node", "vec").repartition(1).withColumn("code", F.lit(0).cast("long")).mapInArrow(_blocks(neighbours, max(BLOCK, 4 * neighbours)), _LISTS)
+        graph = saved(_merge(graph.unionByName(more), neighbours), "ann-graph")
     for _ in range(descents):
         found = _lists_with_vectors(graph, halves, reverse).mapInArrow(_local_joins(LEARNT), _LISTS)
         graph = saved(_merge(graph.mapInArrow(_aged, _LISTS).unionByName(found), neighbours), "ann-graph")
@@ -347,10 +354,12 @@ def _expanded(expand: int):
     return run
 
 
-def search(queries: DataFrame, graph: DataFrame, halves: DataFrame, *, pool: int = POOL, expand: int = EXPAND, rounds: int = ROUNDS, exact: int = EXACT) -> DataFrame:
+def search(queries: DataFrame, graph: DataFrame, halves: DataFrame, *, pool: int = POOL, expand: int = EXPAND, rounds: int | None = None, exact: int = EXACT) -> DataFrame:
     """(query, node): the best nodes found for each query (node, vec: without the component that evens out norms).
 
-    A warning says how many nodes were left to expand, if the last round ended the search.
+    Rounds go on until each pool's nodes have been expanded. A node that a pool has dropped
+    cannot come back, so they end. With `rounds` as a limit, a warning says how many
+    nodes were left.
     """
     layout = saved(_lists_with_vectors(graph, halves, REVERSE).select("node", "ids", "vecs"), "ann-layout")
     parts = int(halves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -359,7 +368,7 @@ def search(queries: DataFrame, graph: DataFrame, halves: DataFrame, *, pool: int
     start = queries.select(F.col("node").alias("query"), "vec", F.lit(-9.0).cast("float").alias("least"), F.col("node").alias("b"))
     pools, narrow, left = None, queries.select("node", "vec"), 1
     try:
-        for _ in range(rounds):
+        for _ in itertools.count() if rounds is None else range(rounds):
             asked = start if pools is None else pools.join(narrow, "node").select("node", "ids", "scores", "fresh", "vec").mapInArrow(_frontier(expand, pool), "query long, vec binary, least float, b long")
             found = asked.join(layout, "b").select("query", "vec", "least", "ids", "vecs").mapInArrow(_expand, _LISTS)
             found = found if pools is None else pools.mapInArrow(_expanded(expand), _LISTS).unionByName(found)
@@ -395,7 +404,7 @@ def nearest(rows: DataFrame, asks: Column, *, k: int = 20, seed: int = 11) -> Da
         flat = flat.select("node", F.concat("vec", F.lit(bytearray(4))).alias("vec"))
     halves = saved(vectors.mapInArrow(_halved, "node long, vec binary"), "ann-halves")
     graph = build_graph(vectors, halves, width + uneven, seed=seed)
-    found = search(saved(flat, "ann-queries"), graph, halves).unionByName(asking.select(F.col("node").alias("query"), "node").distinct())
+    found = search(saved(flat, "ann-queries"), graph, halves, pool=max(POOL, 4 * k), exact=max(EXACT, 2 * k)).unionByName(asking.select(F.col("node").alias("query"), "node").distinct())
     dot = F.aggregate(F.zip_with("embedding", "other", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
     scored = asking.join(found.withColumnRenamed("node", "near"), asking["node"] == found["query"]).join(nodes.select(F.col("node").alias("near"), F.col("embedding").alias("other"), "members"), "near")
     own = F.when(F.col("near") == F.col("node"), F.array_position("members", F.col("query_id"))).otherwise(F.lit(0))

@@ -7,6 +7,8 @@ import re
 import time
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from baitloom.llm import html_text, url_filter
@@ -78,3 +80,18 @@ def test_url_scores_are_of_exact_counts(spark, bits):
             want += math.log(p["allow"] / p["block"]) / len(text(r))
         assert abs(r.score - want) < 1e-6 and (r.score != 0) == (r.page_id not in (80, 81, 83))
     assert len(got) == len(rows)
+
+
+def test_any_number_of_languages_has_a_threshold():
+    """Thirty languages: none is left out, and those too rare for a threshold of their own have the one for all."""
+    from baitloom.llm import toxicity
+
+    rng = np.random.default_rng(8)
+    names = [f"l{i}" for i in range(30)]
+    langs = [names[i % 30] for i in range(6600)] + ["rare"] * 10
+    toxic = rng.integers(0, 2, len(langs))
+    texts = pa.chunked_array([pa.array([f"{lang}word {lang}other " + ("vile" if t else "mild") for lang, t in zip(langs, toxic, strict=True)])])
+    model = toxicity.train(texts, toxic, langs, epochs=1)
+    assert model.langs.shape[1] == 31 and len(model.thresholds) == 31
+    data, offs = toxicity.flat(pa.array([f"{n}word {n}other" for n in names]))
+    assert len(set(model.language(*toxicity.buckets(data, offs)).tolist())) == 30
