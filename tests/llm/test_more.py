@@ -87,7 +87,7 @@ def test_any_number_of_languages_has_a_threshold():
     from baitloom.llm import toxicity
 
     rng = np.random.default_rng(8)
-    names = [f"l{i}" for i in range(30)]
+    names = [a + b for a in "abcdef" for b in "vwxyz"]
     langs = [names[i % 30] for i in range(6600)] + ["rare"] * 10
     toxic = rng.integers(0, 2, len(langs))
     texts = pa.chunked_array([pa.array([f"{lang}word {lang}other " + ("vile" if t else "mild") for lang, t in zip(langs, toxic, strict=True)])])
