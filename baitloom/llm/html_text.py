@@ -5,7 +5,14 @@ itself, its length and its commas, to its parent and in part to further
 ancestors; a container's points are discounted by its link density. The text is
 that of the best container and of the article around it, without what is dense
 in links or marked as menu, header, footer, sidebar, notice, advert, form, script, style or
-comment.
+comment. Of several articles in one main element those that are not much smaller stay together.
+
+Element names and hidden attributes decide by themselves what is away. Class names do
+not outweigh points: a block with half of the page's points stays, whatever its name; one
+of which only a part of the name is of furniture stays if it holds much prose. Reader
+comments are away however long, unless nearly all of the page is in them. Blocks of
+links before the first paragraph of prose and after the last one are menus, with or
+without a name.
 
 A block's text has character references decoded and white space turned into
 one space; blocks are joined by one space in page order. A tag that the page's
@@ -45,11 +52,15 @@ _CLOSES_P = _BLOCK - frozenset(["html", "body", "option", "optgroup", "button",
 _AWAY = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion promotions banner cookie cookies consent gdpr notice notices alert alerts popup modal overlay "
     "comment comments commentlist comment-list respond disqus reply replies sidebar side-bar aside widget widgets nav navbar navigation sidenav menu menus breadcrumb breadcrumbs pagination pager masthead header footer "
-    "site-header page-header main-header top-header share sharing share-buttons social social-links related related-posts related-articles related-links related-content recommended recommendations newsletter subscribe subscription "
+    "site-header page-header main-header top-header share sharing share-buttons social social-links related related-posts related-articles related-links related-content related-stories related-news recommended recommendations newsletter subscribe subscription "
     "signup sign-up login search searchbox search-form toolbar skip-link skiplink copyright contentinfo complementary legal-notice reader-comments form".split()
 )
 _AWAY_FIRST = frozenset("ad ads advert adsense sponsored promo cookie cookies comment comments disqus sidebar nav navbar menu breadcrumb breadcrumbs footer popup modal newsletter gdpr widget social share".split())
 _AWAY_LAST = frozenset("ad ads advert advertisement banner cookies comment comments sidebar nav navbar navigation menu breadcrumb breadcrumbs footer popup modal newsletter widget disqus".split())
+# Parts that make a name one of furniture wherever they stand, of reader comments, and first parts that only say how a page is laid out.
+_AWAY_PART = frozenset("ad ads adsbygoogle advert adverts advertisement adsense sponsored sponsor promo newsletter subscribe subscription signup cookie cookies consent gdpr notice recommended share sharing popup modal".split())
+_TALK = frozenset("comment comments commentlist respond disqus reply replies".split())
+_LAYOUT = frozenset("no not non without has have with hide show".split())
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[/a-zA-Z][^>]*$""",
     re.S,
@@ -57,7 +68,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""(?:^|[\s/"'])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
     tag: str
     parent: Node | None
@@ -67,33 +78,47 @@ class Node:
     link_n: int = 0
     order: int = 0
     inside: bool = False  # an article or main
+    kind: str = ""  # what its class names say it is
+    hard: bool = False  # away whatever it holds
+    own_n: int = 0
+    own_link: int = 0
+    points: float = 0.0  # of all in it
     blocks: list[tuple[int, str]] = field(default_factory=list)  # (place, text)
     children: list[Node] = field(default_factory=list)
 
 
-def _marked_away(tag: str, attributes: str, inside_article: bool) -> bool:
+def _hidden(tag: str, attributes: str, inside_article: bool) -> bool:
+    """Whether an element is away by its own name or because it is not shown."""
     if tag in _DROPPED or (tag == "header" and not inside_article):
         return True
-    if not attributes:
-        return False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
-        if name == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-        elif tag not in ("html", "body", "article", "main", "h1") and any(map(_names_furniture, value.split())):
+        if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
     return False
 
 
+def _kind(tag: str, attributes: str) -> str:
+    """What class names, ids and roles say: talk, furniture (a whole name), maybe (a part of one), or nothing."""
+    if not attributes or tag in ("html", "body", "article", "main", "h1"):
+        return ""
+    kinds = {_named(x) for name, value in _ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id", "role") for x in value.strip("\"'").split()}
+    return next((k for k in ("talk", "furniture", "maybe") if k in kinds), "")
+
+
 @lru_cache(maxsize=4096)
-def _names_furniture(name: str) -> bool:
-    """Whether a whole class name, or its first or last part where that is plain, is of what stands beside an article."""
+def _named(name: str) -> str:
     name = re.sub(r"(?<=[a-z])(?=[A-Z])|_+", "-", name).strip("-").lower()
     parts = name.split("-")
-    return name in _AWAY or (len(parts) > 1 and (parts[0] in _AWAY_FIRST or parts[-1] in _AWAY_LAST))
+    if parts[0] in _LAYOUT and len(parts) > 1:
+        return ""
+    if not _TALK.isdisjoint(parts):
+        return "talk"
+    if name in _AWAY:
+        return "furniture"
+    return "maybe" if len(parts) > 1 and (parts[0] in _AWAY_FIRST or parts[-1] in _AWAY_LAST) or not _AWAY_PART.isdisjoint(parts) else ""
 
 
 def _tree(page: str) -> Node:
@@ -111,8 +136,8 @@ def _tree(page: str) -> Node:
             if text:
                 place += 1
                 node.blocks.append((place, text))
-                node.text_n += len(text)
-                node.link_n += min(links, len(text))
+                node.own_n += len(text)
+                node.own_link += min(links, len(text))
             parts.clear()
         links = 0
 
@@ -166,9 +191,9 @@ def _tree(page: str) -> Node:
                     close_implied(other, _STOPS[other])
                 if tag in _VOID or attributes.rstrip().endswith("/"):
                     continue
-                away = node.away or _marked_away(tag, attributes, node.inside)
+                hard = node.hard or _hidden(tag, attributes, node.inside)
                 place += 1
-                node.children.append(Node(tag, node, away, order=place, inside=node.inside or tag in ("article", "main")))
+                node.children.append(Node(tag, node, order=place, inside=node.inside or tag in ("article", "main"), kind=_kind(tag, attributes), hard=hard))
                 node = node.children[-1]
                 opened[tag] += 1
                 link_depth = 0
@@ -194,7 +219,7 @@ _STOPS = {
 
 def _hides(attributes: str) -> bool:
     """Whether an inline element is marked as hidden or as not the article, and so must stand apart."""
-    return bool(attributes) and ("class" in attributes or "id" in attributes or "hidden" in attributes or "style" in attributes) and _marked_away("span", attributes, True)
+    return bool(attributes) and ("class" in attributes or "id" in attributes or "hidden" in attributes or "style" in attributes) and (_hidden("span", attributes, True) or bool(_kind("span", attributes)))
 
 
 def _walk(node: Node) -> Iterator[Node]:
@@ -209,14 +234,39 @@ def _link_density(node: Node) -> float:
     return node.link_n / node.text_n if node.text_n else 0.0
 
 
+def _own_points(x: Node) -> float:
+    """Of the texts directly in a block."""
+    text = " ".join(t for _, t in x.blocks)
+    return (1 + sum(text.count(c) for c in ",،、，") + min(len(text) / 100, 3)) * (1 - x.own_link / x.own_n) if x.blocks else 0.0
+
+
+def _set_away(root: Node) -> None:
+    """Decides what is away: by element, and by name as far as points allow."""
+    nodes = list(_walk(root))
+    for x in reversed(nodes):  # children before parents
+        x.points += 0.0 if x.hard else _own_points(x)
+        if x.parent is not None and not x.hard:
+            x.parent.points += x.points
+    heads = {id(x) for x in nodes if x.tag in ("h1", "article", "main")}
+    for x in reversed(nodes):
+        if id(x) in heads and x.parent is not None:
+            heads.add(id(x.parent))
+    whole = root.points
+    for x in nodes:
+        most = x.points > 0.5 * whole
+        named = {"talk": not (id(x) in heads and most) and x.points < 0.9 * whole, "furniture": not most, "maybe": x.points < max(12, 0.1 * whole) and not most}.get(x.kind, False)
+        x.away = x.hard or named or (x.parent is not None and x.parent.away)
+
+
 def _score(root: Node) -> list[Node]:
     """Points of every container that paragraphs stand in."""
     nodes = [x for x in _walk(root) if not x.away]
+    for x in nodes:
+        x.text_n, x.link_n = x.own_n, x.own_link
     for x in nodes:
         if not x.blocks:
             continue
-        text = " ".join(t for _, t in x.blocks)
-        points = (1 + sum(text.count(c) for c in ",،、，") + min(len(text) / 100, 3)) * (1 - _link_density(x))
+        points = _own_points(x)
         if x.tag in _PARAGRAPHS:
             over, share = x.parent, 1.0
         else:  # text that stands in a container itself
@@ -242,12 +292,13 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = _tree(page)
+    _set_away(root)
     scored = _score(root)
     if not scored:  # a marked wrapper around everything: only element names count then
         for x in list(_walk(root))[1:]:
             x.away = x.tag in _DROPPED or x.tag == "header" or (x.parent is not None and x.parent.away)
         for x in _walk(root):
-            x.text_n, x.link_n = sum(len(t) for _, t in x.blocks), 0
+            x.own_link = 0
         scored = _score(root)
     if not scored:
         return ""
@@ -255,7 +306,19 @@ def main_text(page: str | None) -> str:
     blocks = [b for x in _walk(best) if not x.away for b in x.blocks]
     for x in _around(best):
         blocks += x
-    return " ".join(t for _, t in sorted(blocks, key=lambda b: b[0]))
+    return " ".join(_without_menus(sorted(set(blocks)), root))
+
+
+def _without_menus(blocks: list[tuple[int, str]], root: Node) -> list[str]:
+    """Texts of blocks in page order, but those of links before the first prose and after the last. Prose has 80 letters, or as many as the longest block that is not of links."""
+    holder = {place: x for x in _walk(root) for place, _ in x.blocks}
+    nodes = [holder[place] for place, _ in blocks]
+    dense = [x.own_link / x.own_n for x in nodes]
+    bar = min(80, max((len(t) for (_, t), d in zip(blocks, dense, strict=True) if d < 0.25), default=0))
+    prose = [i for i, ((_, t), d) in enumerate(zip(blocks, dense, strict=True)) if d < 0.25 and len(t) >= bar]
+    if not prose:
+        return [t for _, t in blocks]
+    return [t for i, (_, t) in enumerate(blocks) if prose[0] <= i <= prose[-1] or dense[i] < 0.5 or nodes[i].tag in _HEADINGS]
 
 
 def _readable(top: Node) -> list[tuple[int, str]]:
@@ -269,6 +332,12 @@ def _readable(top: Node) -> list[tuple[int, str]]:
     return out
 
 
+def _within(x: Node | None, outer: Node) -> bool:
+    while x is not None and x is not outer:
+        x = x.parent
+    return x is outer
+
+
 def _around(best: Node) -> Iterator[list[tuple[int, str]]]:
     """Blocks that belong to the article beside the best container.
 
@@ -279,6 +348,11 @@ def _around(best: Node) -> Iterator[list[tuple[int, str]]]:
     while above[-1].parent is not None:
         above.append(above[-1].parent)
     holder = next((x for tag in ("article", "main") for x in above if x.tag == tag), None)
+    main = next((x for x in above if x.tag == "main"), None)
+    if main is not None and holder is not None and holder is not main:
+        others = (y for y in _walk(main) if y.tag == "article" and not y.away and y is not holder and y not in above and not _within(y, holder))
+        if any(y.points >= 0.2 * holder.points for y in others):
+            holder = main
     x, met = best, False
     while x is not holder and x.parent is not None and x.tag not in ("body", "html"):
         found = [] if met else list(x.parent.blocks)

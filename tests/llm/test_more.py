@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from baitloom.llm import html_text, url_filter
 
@@ -95,3 +96,35 @@ def test_any_number_of_languages_has_a_threshold():
     assert model.langs.shape[1] == 31 and len(model.thresholds) == 31
     data, offs = toxicity.flat(pa.array([f"{n}word {n}other" for n in names]))
     assert len(set(model.language(*toxicity.buckets(data, offs)).tolist())) == 30
+
+
+LONG = "".join(f"<p>{'Word, and more words, ' * 12}{i}.</p>" for i in range(5))
+TEXT = " ".join(f"{'Word, and more words, ' * 12}{i}." for i in range(5))
+#: Class names as pages have them: what stands in the article (L), and what must come out (T).
+REAL = [
+    ("<div class='content no-sidebar'>L</div><div><p>Copyright..</p></div>", "T Copyright.."),  # nothing tells this line from the text
+    ("<article><div class='has-sidebar'>L</div><p>End.</p></article>", "T End."),
+    ("<div class='elementor-widget elementor-widget-text-editor'>L</div>", "T"),
+    ("<article><p>First of all, this.</p><section class='social-history'>L</section></article>", "First of all, this. T"),
+    ("<body><div><a>Home</a> <a>About</a></div>L</body>", "T"),
+    ("<div><ul><li><a href='/'>Home</a><li><a href='/a'>About</a></ul>L</div>", "T"),
+    ("<div>L<ul><li><a href='/'>Terms</a><li><a href='/a'>Imprint</a></ul></div>", "T"),
+    *[(f"<article>L<div class='{name}'><p>Buy this, sign up, or read on.</p></div><p>End, at last.</p></article>", "T End, at last.") for name in ("newsletter-signup", "ad-slot", "google-ad", "cookie-notice", "subscribe-box", "related-stories", "user-comment-text", "adsbygoogle", "site-notice", "post-share-buttons")],
+    ("<article>L</article><div class='post-comments'>L</div>", "T"),
+    ("<main><article><h1>One</h1>L</article><article><h1>Two</h1>L</article></main>", "One T Two T"),
+    ("<div class='post'><h1>Title</h1>L<div class='comment-thread'><p>Nice, really.</p></div></div>", "Title T"),
+    ("<div class='sidebar-left-layout'><div id='main-column'>L</div></div>", "T"),
+]
+
+
+@pytest.mark.parametrize("page, want", REAL)
+def test_names_do_not_outweigh_points(page, want):
+    assert html_text.main_text(page.replace("L", LONG)) == want.replace("T", TEXT).replace(TEXT + "wo", "Two").replace(TEXT + "itle", "Title")
+
+
+def test_pages_of_the_table_without_article_tags(spark):
+    """The article is found by its points alone."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    bare = pages.withColumn("html", F.regexp_replace("html", "</?article[^>]*>", ""))
+    text = lambda p: sorted((r.page_id, r.text) for r in html_text.extract_text(p).collect())
+    assert text(bare) == text(pages)
