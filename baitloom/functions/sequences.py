@@ -64,3 +64,36 @@ def chunks(seqs: DataFrame, id_col: str, size: int, more: int) -> DataFrame:
     piece = lambda at: F.struct(at.alias("at"), F.substring(F.col("_raw"), at + 1, F.lit(size + more)).cast("string").alias("piece"))
     cut = raw.select(id_col, F.explode(F.transform(F.sequence(F.lit(0), F.length("_raw") - 1, F.lit(size)), piece)).alias("_c"))
     return cut.select(id_col, F.col("_c.at").alias("at"), F.col("_c.piece").alias("piece"))
+
+
+def in_pieces(targets: DataFrame) -> bool:
+    """Whether targets are a table of pieces (target_id, at, piece) instead of whole sequences (target_id, seq)."""
+    return "piece" in targets.columns and "seq" not in targets.columns
+
+
+def cut_again(parts: DataFrame, id_col: str, size: int, more: int) -> DataFrame:
+    """Pieces (id, at, piece), which follow each other without gap or overlap, as `chunks` would cut the whole.
+
+    A part goes to each chunk that it touches, and a chunk is put together by its own
+    key, so no task holds more of a target than a chunk.
+    """
+    n = F.length("piece")
+    first = F.greatest(F.floor((F.col("at") - size - more) / size) + 1, F.lit(0))
+    asked = parts.where(n > 0).select(id_col, F.col("at").cast("long").alias("_at"), F.col("piece").alias("_p"), F.explode(F.sequence(first, F.floor((F.col("at") + n - 1) / size))).alias("_c"))
+    low = F.greatest(F.col("_c") * size - F.col("_at"), F.lit(0)).cast("int")
+    high = F.least(F.col("_c") * size + size + more - F.col("_at"), F.length("_p")).cast("int")
+    cut = asked.select(id_col, "_c", F.struct(F.col("_at"), F.substring(F.col("_p"), low + 1, high - low).alias("part")).alias("_s"))
+    whole = cut.groupBy(id_col, "_c").agg(F.array_join(F.sort_array(F.collect_list("_s"))["part"], "").alias("piece"))
+    return whole.select(id_col, (F.col("_c") * size).cast("int").alias("at"), "piece")
+
+
+def pieces_of(targets: DataFrame, id_col: str, size: int, more: int) -> DataFrame:
+    """Chunks of whole sequences or of a table of pieces."""
+    return cut_again(targets, id_col, size, more) if in_pieces(targets) else chunks(targets, id_col, size, more)
+
+
+def lengths_of(targets: DataFrame, name: str = "length") -> DataFrame:
+    """(target_id, length) of whole sequences or of a table of pieces."""
+    if not in_pieces(targets):
+        return targets.select("target_id", F.length("seq").alias(name))
+    return targets.groupBy("target_id").agg(F.max(F.col("at") + F.length("piece")).cast("int").alias(name))

@@ -15,6 +15,7 @@ each for itself. Letters other than A, C, G and T match nothing; case is ignored
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequences import chunks, reverse_complement
+from ..functions.sequences import pieces_of, reverse_complement
+from ..store import saved
 
 _CODE = np.full(256, 4, np.uint8)
 _CODE[np.frombuffer(b"ACGTacgt", np.uint8)] = [0, 1, 2, 3, 0, 1, 2, 3]
@@ -287,27 +289,35 @@ def _gap_letters(first, last, low, high, length):
 
 
 def align_probes(probes: DataFrame, targets: DataFrame, word: int = 13, min_id: float = 85.0, min_len: int = 90, dust: bool = True, gapped: bool = False, min_score: int = 0) -> DataFrame:
-    """Alignments of probes (probe_id, seq) with targets (target_id, seq), both strands.
+    """Alignments of probes (probe_id, seq) with targets (target_id, seq), or a table of their pieces, both strands.
 
     `dust` leaves out words of low complexity as seeds. A panel of more than
-    PROBES_AT_ONCE probes goes over the targets once for each block of so many.
+    PROBES_AT_ONCE probes goes over the targets once for each block of so many; the
+    chunks and each block's hits are then written, and its index is given up before
+    the next is made, so memory does not grow with the panel.
     """
     spark = probes.sparkSession
-    kind = targets.schema["target_id"].dataType.simpleString()
+    schema = ALIGNMENT.format(targets.schema["target_id"].dataType.simpleString())
     panel = probes.where(F.length("seq") >= word).select(F.col("probe_id").cast("string").alias("probe_id"), "seq", reverse_complement(F.col("seq")).alias("back"))
     size = panel.agg(F.count("*").alias("n"), F.max(F.length("seq")).alias("width")).first()
     blocks = -(-size["n"] // PROBES_AT_ONCE)
     if not blocks:
-        return spark.createDataFrame([], ALIGNMENT.format(kind))
-    pieces = chunks(targets, "target_id", CHUNK, 3 * size["width"] + 2 * REACH)
-    out = None
+        return spark.createDataFrame([], schema)
+    pieces = pieces_of(targets, "target_id", CHUNK, 3 * size["width"] + 2 * REACH)
+    if blocks > 1:
+        block = F.pmod(F.xxhash64("probe_id", "seq"), F.lit(blocks)).alias("block")
+        panel, pieces = saved(panel.select("*", block).repartition("block").sortWithinPartitions("block"), "align-panel"), saved(pieces, "align-chunks")
+    found = []
     for b in range(blocks):
-        part = panel.where(F.pmod(F.xxhash64("probe_id", "seq"), F.lit(blocks)) == b).toArrow()  # about PROBES_AT_ONCE rows
+        part = (panel.where(F.col("block") == b) if blocks > 1 else panel).toArrow()  # about PROBES_AT_ONCE rows
         if not part.num_rows:
             continue
         both = part["seq"].to_pylist() + part["back"].to_pylist()
         minus = np.arange(len(both)) >= part.num_rows
         shared = spark.sparkContext.broadcast((pa.concat_arrays([part["probe_id"].combine_chunks()] * 2), minus, Index(both, word, dust)))
-        found = pieces.mapInArrow(_matched(shared, min_id, min_len, min_score, gapped), ALIGNMENT.format(kind))
-        out = found if out is None else out.unionByName(found)
-    return out
+        hits = pieces.mapInArrow(_matched(shared, min_id, min_len, min_score, gapped), schema)
+        if blocks == 1:
+            return hits
+        found.append(saved(hits, "align-hits"))
+        shared.destroy()
+    return functools.reduce(DataFrame.unionByName, found)

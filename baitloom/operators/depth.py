@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sequences import in_pieces, lengths_of
 from .letters import cut_out
 
 
@@ -44,8 +45,8 @@ def alignment_events(aln: DataFrame) -> DataFrame:
 
 
 def alignments_to_depth(aln: DataFrame, targets: DataFrame) -> DataFrame:
-    """Depth segments: every alignment counts on all its bases. targets: (target_id, seq)."""
-    return depth_from_events(alignment_events(aln), targets.select("target_id", F.length("seq").alias("length")))
+    """Depth segments: every alignment counts on all its bases. targets: (target_id, seq), or pieces of them."""
+    return depth_from_events(alignment_events(aln), lengths_of(targets))
 
 
 def segment_events(segments: DataFrame) -> DataFrame:
@@ -53,8 +54,30 @@ def segment_events(segments: DataFrame) -> DataFrame:
     return segments.where("depth != 0").select("target_id", F.explode(pair).alias("e")).select("target_id", "e.pos", "e.delta")
 
 
-def merge_capture(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Summed segments of two captures; targets of one only are taken over. Shared targets must be equally long."""
+def _digests(targets: DataFrame) -> DataFrame:
+    """(target_id, digest) of sequences; of pieces, which must be cut alike on both sides, of their digests in order."""
+    if not in_pieces(targets):
+        return targets.select("target_id", F.sha2("seq", 256).alias("digest"))
+    each = targets.groupBy("target_id").agg(F.sort_array(F.collect_list(F.struct("at", F.sha2("piece", 256).alias("d")))).alias("d"))
+    return each.select("target_id", F.sha2(F.to_json("d"), 256).alias("digest"))
+
+
+def checked_equal(a: DataFrame, b: DataFrame) -> None:
+    """Raises if a target of both (target_id, seq), or tables of pieces, has two sequences. Only digests are compared."""
+    other = _digests(b).withColumnRenamed("digest", "other")
+    wrong = _digests(a).join(other, "target_id").where(~F.col("digest").eqNullSafe(F.col("other"))).select("target_id").first()
+    if wrong is not None:
+        raise ValueError(f"sequences of a shared target differ: {wrong[0]}")
+
+
+def merge_capture(a: DataFrame, b: DataFrame, targets: DataFrame | None = None, other_targets: DataFrame | None = None) -> DataFrame:
+    """Summed segments of two captures; targets of one only are taken over.
+
+    Shared targets must be equally long and, where both sides' targets are given,
+    have the same sequence.
+    """
+    if targets is not None and other_targets is not None:
+        checked_equal(targets, other_targets)
     lengths = lambda x: x.groupBy("target_id").agg(F.max("end").alias("length"))
     both = lengths(a).join(lengths(b).withColumnRenamed("length", "other"), "target_id", "full")
     checked = both.select("target_id", F.when(F.coalesce(F.col("length") != F.col("other"), F.lit(False)), F.raise_error(F.lit("lengths of a shared target differ")).cast("int")).otherwise(F.coalesce("length", "other")).alias("length"))
@@ -86,7 +109,7 @@ def smooth_short_zeros(segments: DataFrame, threshold: int = 10) -> DataFrame:
 def low_coverage(segments: DataFrame, targets: DataFrame, k: int = 120, min_depth: int = 0, min_len: int = 40) -> DataFrame:
     """(id, target_id, start, end, seq): runs of low depth longer than min_len, the shorter of them as windows of k around them."""
     low = coalesce_runs(segments, F.col("depth") <= min_depth, "low").where(F.col("low") & (F.col("end") - F.col("start") > min_len))
-    j = low.join(targets.select("target_id", F.length("seq").alias("n")), "target_id").where(F.col("n") >= k)
+    j = low.join(lengths_of(targets, "n"), "target_id").where(F.col("n") >= k)
     size = F.col("end") - F.col("start")
     centred = F.col("start") - F.floor((F.lit(k) - size) / 2).cast("int")
     start = F.when(size >= k, F.col("start")).otherwise(F.least(F.greatest(centred, F.lit(0)), F.col("n") - k))
@@ -113,6 +136,12 @@ def to_dense(segments: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def from_dense(capture: DataFrame) -> DataFrame:
-    """Segments of (target_id, depth array)."""
-    cut = capture.select("target_id", F.posexplode("depth").alias("start", "depth"))
-    return coalesce_runs(cut.select("target_id", "start", (F.col("start") + 1).alias("end"), "depth"))
+    """Segments of (target_id, depth array): where a depth differs from the one before it a segment starts.
+
+    Only segments become rows, and nothing is shuffled.
+    """
+    n = F.size("depth")
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | ~F.get("depth", i).eqNullSafe(F.get("depth", i - 1)))
+    marked = capture.where(n > 0).select("target_id", "depth", starts.alias("_s"), n.alias("_n"))
+    runs = F.transform("_s", lambda s, i: F.struct(s.alias("start"), F.coalesce(F.get("_s", i + 1), F.col("_n")).alias("end"), F.get("depth", s).alias("depth")))
+    return marked.select("target_id", F.explode(runs).alias("_r")).select("target_id", "_r.start", "_r.end", "_r.depth")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequences import chunks, letter_count
+from ..functions.sequences import in_pieces, letter_count, pieces_of
 
 PIECE = 4096
 #: Kinds of letters that are counted.
@@ -19,7 +19,7 @@ ATGC, N = "ACGTacgt", "N"
 
 def _pieces(targets: DataFrame) -> DataFrame:
     """(target_id, piece_no, piece)"""
-    cut = chunks(targets, "target_id", PIECE, 0)
+    cut = pieces_of(targets, "target_id", PIECE, 0)
     return cut.select("target_id", F.expr(f"at div {PIECE}").alias("piece_no"), "piece")
 
 
@@ -27,7 +27,13 @@ def _counted(targets: DataFrame) -> DataFrame:
     """Pieces with the letters of a kind that the target has before them."""
     before = Window.partitionBy("target_id").orderBy("piece_no").rowsBetween(Window.unboundedPreceding, -1)
     upto = lambda letters: F.coalesce(F.sum(letter_count(F.col("piece"), letters).cast("long")).over(before), F.lit(0))
-    return _pieces(targets).withColumn("atgc_before", upto(ATGC)).withColumn("n_before", upto(N))
+    if not in_pieces(targets):
+        return _pieces(targets).withColumn("atgc_before", upto(ATGC)).withColumn("n_before", upto(N))
+    # a target may be too long for a task that sorts its pieces, but not for one that sorts their counts
+    cut = _pieces(targets)
+    counts = cut.select("target_id", "piece_no", *[letter_count(F.col("piece"), x).cast("long").alias(c) for c, x in (("atgc_before", ATGC), ("n_before", N))])
+    sums = [F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("atgc_before", "n_before")]
+    return cut.join(counts.select("target_id", "piece_no", *sums), ["target_id", "piece_no"])
 
 
 def run_sums(segments: DataFrame, targets: DataFrame) -> DataFrame:

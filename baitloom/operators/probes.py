@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequences import AMBIGUITY, ambiguous_count, chunks, tile_starts, unit_draw
-from ..store import numbered
+from ..functions.sequences import AMBIGUITY, ambiguous_count, chunks, cut_again, in_pieces, tile_starts, unit_draw
+from ..store import numbered, saved
 
 CHUNK, FEW = 4096, 1000
 
@@ -14,15 +14,34 @@ CHUNK, FEW = 4096, 1000
 def tile(seqs: DataFrame, probe_len: int = 120, step: int = 120, max_ambig: int = 10, prefix: str = "", id_col: str = "target_id") -> DataFrame:
     """(probe_id, seq): tiles of each sequence, numbered from 1 after dropping ambiguous ones.
 
-    Tiles are numbered inside their array, so nothing is shuffled.
+    Tiles are numbered inside their array, so nothing is shuffled. Of a table of
+    pieces, each chunk cuts its own tiles, and only their counts meet.
     """
-    raw = seqs.select(F.col(id_col).cast("string").alias("_id"), F.encode("seq", "UTF-8").alias("_raw"))
-    starts = tile_starts(F.length("_raw"), probe_len, step)
-    pieces = F.filter(F.transform(starts, lambda s: F.substring(F.col("_raw"), s + 1, F.lit(probe_len)).cast("string")), lambda p: ambiguous_count(p) <= max_ambig)
-    cut = raw.select("_id", F.posexplode(pieces).alias("_n", "seq"))
+    few = lambda p: ambiguous_count(p) <= max_ambig
+    if in_pieces(seqs):
+        cut = _tiles_of_pieces(seqs, id_col, probe_len, step, few)
+    else:
+        raw = seqs.select(F.col(id_col).cast("string").alias("_id"), F.encode("seq", "UTF-8").alias("_raw"))
+        starts = tile_starts(F.length("_raw"), probe_len, step)
+        pieces = F.filter(F.transform(starts, lambda s: F.substring(F.col("_raw"), s + 1, F.lit(probe_len)).cast("string")), few)
+        cut = raw.select("_id", F.posexplode(pieces).alias("_n", "seq"))
     return cut.select(F.concat(F.lit(prefix + "_"), "_id", F.lit("_piece_"), (F.col("_n") + 1).cast("string")).alias("probe_id"), "seq")
 
 
+def _tiles_of_pieces(pieces: DataFrame, id_col: str, probe_len: int, step: int, few) -> DataFrame:
+    """(_id, _n, seq). A chunk that is not full ends with its sequence, and so has the tile that does."""
+    size = step * max(1, CHUNK // step)
+    n = F.length("piece")
+    last = n - probe_len
+    ends = F.when(n < size + probe_len, F.array(last)).otherwise(F.array().cast("array<int>"))
+    starts = F.when(last >= 0, F.array_union(F.sequence(F.lit(0), F.least(last, F.lit(size - 1)), F.lit(step)), ends)).otherwise(F.array().cast("array<int>"))
+    made = F.filter(F.transform(starts, lambda s: F.substring(F.col("piece"), s + 1, F.lit(probe_len))), few)
+    cut = saved(cut_again(pieces, id_col, size, probe_len).select(F.col(id_col).cast("string").alias("_id"), "at", made.alias("_t")), "tiles")
+    before = Window.partitionBy("_id").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut.select("_id", "at", F.coalesce(F.sum(F.size("_t")).over(before), F.lit(0)).alias("_before"))
+    return cut.join(counts, ["_id", "at"]).select("_id", "_before", F.posexplode("_t").alias("_i", "seq")).select("_id", (F.col("_before") + F.col("_i")).alias("_n"), "seq")
+
+
 def pad_short(seqs: DataFrame, min_len: int = 90, probe_len: int = 120, nuc: str = "T", prefix: str = "", id_col: str = "target_id") -> DataFrame:
     """(probe_id, seq): sequences under a probe's length, without N, padded on the left."""
     rest = seqs.where(F.length("seq") < probe_len).withColumn("_s", F.regexp_replace("seq", "[Nn]", "")).where(F.length("_s") >= min_len)
