@@ -222,3 +222,12 @@ ORACLES: dict[str, str] = {
     "s8_write_stats_csv": _with("cov", "SELECT target_id || ',' || printf('%.3f', round(coverage, 2)) AS line FROM cov"),
     "s9_write_report_tsv": _with("pct pb", f"SELECT 'panel' AS name, {', '.join(f'{x} AS {x}' for x in (f'depth_{d}' for d in range(5)))}, depth_5plus, (SELECT value FROM pct WHERE p = 0.5) AS cov_med FROM (SELECT {_SHARES} FROM pb)"),
 }
+
+# The same results by another way of reading.
+ORACLES |= {
+    "s1_read_fasta_pieces": _with("k", "SELECT CAST(target_id AS VARCHAR) AS target_id, CAST(x AS INT) AS \"at\", md5(substr(seq, x + 1, 500)) AS piece_md5 FROM (SELECT target_id, seq, unnest(range(0, length(seq), 500)) AS x FROM k)"),
+    "f8_tile_pieces": ORACLES["f8_tile"],
+    "g8_capture_pieces": ORACLES["g8_capture"],
+    "s2_read_capture_runs": ORACLES["w2_smooth_short_zeros"],
+    "j4_merge_files": ORACLES["j4_merge_capture"],
+}

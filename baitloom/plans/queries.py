@@ -319,6 +319,22 @@ def j1_align_probes(spark, d):
     return _aligned(spark, d)
 
 
+@query
+def j1_own_panel(spark, d):
+    """Tiles of all genomes against all genomes, so that copies and their variants meet. Too much for SQL base by base."""
+    from ..operators.align import align_probes
+
+    return align_probes(P.tile(T.kept(spark, d), prefix="x"), T.kept(spark, d), min_id=90.0, min_len=60)
+
+
+@query
+def j1_gapped(spark, d):
+    """The panel's alignments with gaps."""
+    from ..operators.align import align_probes
+
+    return align_probes(T.panel(spark, d), T.kept(spark, d), min_id=85.0, min_len=40, dust=False, gapped=True)
+
+
 @query
 def g8_capture(spark, d):
     from ..operators.design import capture
@@ -413,6 +429,43 @@ def s2_read_capture(spark, d):
     return read.select("target_id", F.md5("seq").alias("seq_md5"), F.md5(F.array_join(F.col("depth").cast("array<string>"), ",")).alias("depth_md5"))
 
 
+@query
+def s1_read_fasta_pieces(spark, d):
+    """Pieces of 500 letters, read by line."""
+    lines = F.regexp_replace("seq", "(.{60})", "$1\n")
+    R.write_fasta(T.kept(spark, d).select("target_id", lines.alias("seq")), to := scratch(spark, "genomes.fa"), "target_id")
+    return R.read_fasta_pieces(spark, to, 500).select("target_id", "at", F.md5("piece").alias("piece_md5"))
+
+
+@query
+def f8_tile_pieces(spark, d):
+    R.write_fasta(T.kept(spark, d), to := scratch(spark, "genomes.fa"), "target_id")
+    return P.tile(R.read_fasta_pieces(spark, to), prefix="x")
+
+
+@query
+def g8_capture_pieces(spark, d):
+    """Capture of genomes that are read in pieces."""
+    from ..operators.design import capture
+
+    R.write_fasta(T.kept(spark, d), to := scratch(spark, "genomes.fa"), "target_id")
+    found = capture(T.panel(spark, d), R.read_fasta_pieces(spark, to))
+    return found.withColumn("target_id", F.col("target_id").cast("long"))
+
+
+@query
+def s2_read_capture_runs(spark, d):
+    return R.read_capture_runs(spark, _capture_file(spark, d), smooth=10)[1].withColumn("target_id", F.col("target_id").cast("long"))
+
+
+@query
+def j4_merge_files(spark, d):
+    """Two capture files, whose sequences are compared by digest."""
+    R.write_capture(D.to_dense(T.depth(spark, d, 41, 83), T.kept(spark, d)), other := scratch(spark, "other.pt"))
+    (a, x), (b, y) = R.read_capture_runs(spark, _capture_file(spark, d)), R.read_capture_runs(spark, other)
+    return D.merge_capture(x, y, a, b).withColumn("target_id", F.col("target_id").cast("long"))
+
+
 @query
 def s3_read_alignments(spark, d):
     empty = [F.lit(0).alias(c) for c in ("mismatch", "gapopen", "qstart", "qend")]
