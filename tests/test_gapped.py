@@ -2,7 +2,6 @@
 
 import random
 
-import pytest
 from baitloom import catalog
 from baitloom.operators import design as X
 from baitloom.operators.align import align_probes
