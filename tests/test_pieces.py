@@ -2,8 +2,8 @@
 
 import random
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from baitloom import sources as S
 from baitloom.operators import align
@@ -117,3 +117,13 @@ def test_blocks_end_at_unknown_letters(spark, monkeypatch):
     rows = [("x", a + "N" + b), ("y", a + "N" + b), ("z", "N" * 40), ("null", None), ("empty", ""), ("short", "ACG")]
     got = G.collapse_shared_sequence(spark.createDataFrame(rows, "target_id string, seq string"), k=21, min_len=40).collect()
     assert sorted((r.seq, r.genomes) for r in got) == sorted([(a, 2), (b, 2)])
+
+
+def test_hashes_that_meet_are_told_apart(monkeypatch):
+    seq = np.frombuffer(letters(random.Random(54), 400, "AC").encode(), np.uint8)
+    at = np.arange(len(seq) - 6)
+    want = len({seq[i : i + 6].tobytes() for i in at})
+    for hashes in (G.window_hashes, lambda x, k: np.zeros(len(x) - k + 1, np.uint64)):
+        monkeypatch.setattr(G, "window_hashes", hashes)
+        by, head = G._groups(seq, at, 6)
+        assert head.sum() == want and all((seq[at[by[i]] : at[by[i]] + 6] == seq[at[by[i - 1]] : at[by[i - 1]] + 6]).all() != head[i] for i in range(1, len(by)))
