@@ -120,6 +120,7 @@ _SUMMARY = (
 )
 _STATS = "round(c0, 6) AS c0, round(c1, 6) AS c1, round(c_gt, 6) AS c_gt, round(meancov, 6) AS meancov"
 _SHARES = ", ".join(f"round(count(*) FILTER (depth = {d}) * 100.0 / count(*), 2) AS depth_{d}" for d in range(5)) + ", round(count(*) FILTER (depth >= 5) * 100.0 / count(*), 2) AS depth_5plus"
+_RANKS = ", ".join(f"(SELECT value FROM pct WHERE p = {p}) AS cov_{c}" for p, c in ((0, "min"), (0.05, "5"), (0.1, "10"), (0.25, "q1"), (0.5, "med"), (0.75, "q3"), (1, "max")))
 _COV = "CASE WHEN count(*) FILTER (depth >= {0} OR base IN ('A', 'C', 'G', 'T')) = 0 THEN 0 ELSE count(*) FILTER (depth >= {0}) * 100.0 / count(*) FILTER (depth >= {0} OR base IN ('A', 'C', 'G', 'T')) END"
 _CHOICES = {"R": "AG", "K": "GT", "S": "GC", "Y": "CT", "M": "AC", "W": "AT", "B": "CGT", "H": "ACT", "D": "AGT", "V": "ACG", "N": "ATCT"}
 _PICK = " ".join(
@@ -220,7 +221,7 @@ ORACLES: dict[str, str] = {
     "s6_write_fasta": _with("panel", "SELECT '>' || probe_id AS line FROM panel UNION ALL SELECT seq FROM panel"),
     "s7_write_capture": _with("pb", "SELECT md5('>' || target_id) AS line_md5 FROM (SELECT DISTINCT target_id FROM pb) UNION ALL SELECT md5('$' || string_agg(base, '' ORDER BY p)) FROM pb GROUP BY target_id UNION ALL SELECT md5('#' || string_agg(depth, ',' ORDER BY p)) FROM pb GROUP BY target_id"),
     "s8_write_stats_csv": _with("cov", "SELECT target_id || ',' || printf('%.3f', round(coverage, 2)) AS line FROM cov"),
-    "s9_write_report_tsv": _with("pct pb", f"SELECT 'panel' AS name, {', '.join(f'{x} AS {x}' for x in (f'depth_{d}' for d in range(5)))}, depth_5plus, (SELECT value FROM pct WHERE p = 0.5) AS cov_med FROM (SELECT {_SHARES} FROM pb)"),
+    "s9_write_report_tsv": _with("pct pb", f"SELECT 'panel' AS name, {', '.join(f'{x} AS {x}' for x in (f'depth_{d}' for d in range(5)))}, depth_5plus, total_targets, {_RANKS} FROM (SELECT {_SHARES}, count(DISTINCT target_id)::DOUBLE AS total_targets FROM pb)"),
 }
 
 # The same results by another way of reading.

@@ -511,4 +511,4 @@ def s9_write_report_tsv(spark, d):
     report = S.summary_report(T.depth(spark, d), T.kept(spark, d), "panel")
     R.write_report_tsv(report, to := scratch(spark, "report.tsv"))
     read = spark.read.csv(to, sep="\t", header=True)
-    return read.select("name", *[F.col(c).cast("double").alias(c) for c in ("depth_0", "depth_1", "depth_2", "depth_3", "depth_4", "depth_5plus", "cov_med")])
+    return read.select("name", *[F.col(c).cast("double").alias(c) for c in read.columns if c != "name"])
