@@ -230,5 +230,6 @@ ORACLES |= {
     "f8_tile_pieces": ORACLES["f8_tile"],
     "g8_capture_pieces": ORACLES["g8_capture"],
     "s2_read_capture_runs": ORACLES["w2_smooth_short_zeros"],
+    "s4_read_clusters_cdhit": ORACLES["s4_read_clusters"],
     "j4_merge_files": ORACLES["j4_merge_capture"],
 }

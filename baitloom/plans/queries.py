@@ -480,6 +480,14 @@ def s4_read_clusters(spark, d):
     return R.read_clusters(spark, to)
 
 
+@query
+def s4_read_clusters_cdhit(spark, d):
+    """The same as blocks of a cluster file, one for each member, so that no cluster passes through one task."""
+    member = F.concat(F.lit(">Cluster "), "cluster", F.lit("\n0\t120nt, >"), F.col("id").cast("string"), F.lit("... *"))
+    T.clusters(spark, d).select(member).write.text(to := scratch(spark, "clusters.clstr"))
+    return R.read_clusters(spark, to, "cdhit").select("id", "cluster")
+
+
 @query
 def s5_read_gfa_links(spark, d):
     """Among the lines of a graph, those of its links."""
