@@ -9,7 +9,8 @@ are hit. Items shorter than a window are looked up whole.
 
 The benchmark's index goes to the executors only while it has at most
 `broadcast_words` words. Beyond that, fingerprints of documents and items meet
-in a Spark join, and only pairs that share one are compared.
+in a Spark join, and only pairs that share one are compared, each document with a bounded
+part of its items at a time.
 
 Null, empty and wordless texts give zero counts, an empty item list and
 contaminated = false. Repeated rows are judged each for itself, and a null
@@ -27,14 +28,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._flat import Words, byte_values, flat, slices, sliding_min
-from ._store import free_name
+from ._store import free_name, saved
 
 WINDOW, GRAM = 13, 5
+#: Letters of items that are compared with a document at once, where the index is not broadcast.
+TOGETHER = 1 << 22
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[0x00:0x30] = _IS_WORD[0x3A:0x41] = _IS_WORD[0x5B:0x61] = _IS_WORD[0x7B:0x80] = False
 _VALUES = byte_values(_IS_WORD)
@@ -238,33 +241,73 @@ def _prints(window: int, gram: int, lengths: list[int] | None):
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, offs = flat(batch.column(0))
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.diff(Words(data, offs, _VALUES).first)))], ["n"])
+        data, offs = flat(batch.column(1))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(Words(data, offs, _VALUES).first), pa.int64())], ["id", "n_words"])
+
+
+def _stretches(window: int, gram: int):
+    """Rows (id, text, items) to (id, starts, ends, classes): merged stretches of words that one of the items hits, and the items that do."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            starts, ends, classes = [], [], []
+            for i, items in enumerate(batch.column(2).to_pylist()):
+                index = Index([x["class"] for x in items], [x["text"] for x in items], window, gram)
+                data, offs = flat(batch.column(1).slice(i, 1))
+                part = data[offs[0] : offs[1]]
+                words = Words(part, offs - offs[0], _VALUES)
+                edges, found = np.zeros(len(words.starts) + 2, np.int64), set()
+                for at, n, item in index.hits(part, words):
+                    edges[at + 1] += 1
+                    edges[at + n + 1] -= 1
+                    found.add(item)
+                turns = np.diff((np.cumsum(edges) > 0).astype(np.int8))
+                starts.append(np.flatnonzero(turns == 1))
+                ends.append(np.flatnonzero(turns == -1))
+                classes.append(sorted(found))
+            kinds = (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.string()))
+            made = [pa.array(x, kind) for x, kind in zip((starts, ends, classes), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", "starts", "ends", "classes"])
+
+    return rows
 
 
 def _by_join(docs: DataFrame, items: DataFrame, window: int, gram: int, one_in: int, made: list[str]) -> DataFrame:
-    """The same without a broadcast: fingerprints are joined, then texts that share one."""
-    counts = items.select("text").mapInArrow(_word_counts, "n long").where((F.col("n") > 0) & (F.col("n") < window)).distinct()
-    lengths = sorted(r["n"] for r in counts.collect())  # fewer than a window's words, so fewer numbers than that
-    item_prints = items.mapInArrow(_prints(window, gram, None), "id string, print long").distinct()
+    """The same without a broadcast: fingerprints are joined, then texts that share one.
+
+    Equal documents are compared once, and so are equal items. The items that a document
+    may hold come to it in parts of about TOGETHER letters; only merged stretches
+    and the names of hit items are put together again.
+    """
+    digest = F.sha2("text", 256)
+    names = items.select(digest.alias("class"), "item_id").distinct()
+    items = items.groupBy(digest.alias("id")).agg(F.first("text").alias("text"))
+    counts = items.mapInArrow(_word_counts, "id string, n_words long").select(F.col("n_words").alias("n"))
+    lengths = sorted(r["n"] for r in counts.where((F.col("n") > 0) & (F.col("n") < window)).distinct().collect())  # fewer numbers than a window has words
+    item_prints = items.mapInArrow(_prints(window, gram, None), "id string, print long").withColumnRenamed("id", "class")
     key = free_name("key", docs.columns)
     keyed = docs.withColumn(key, F.sha2(F.coalesce("text", F.lit("")), 256))
     texts = keyed.groupBy(F.col(key).alias("id")).agg(F.first(F.coalesce("text", F.lit(""))).alias("text"))
     doc_prints = texts.mapInArrow(_prints(window, gram, lengths), "id string, print long")
-    pairs = doc_prints.join(item_prints.withColumnRenamed("id", "item_id"), "print")
-    near = pairs.select("id", "item_id").distinct().join(items, "item_id")
-    found = near.groupBy("id").agg(F.collect_list(F.struct("item_id", "text")).alias("items"))
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text, close in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
-                index = Index([x["item_id"] for x in close or ()], [x["text"] for x in close or ()], window, gram)
-                rows += _judge(pa.array([text.as_py()], pa.string()), index, one_in)
-            yield _table([batch.column(0)], rows, ["id", *made])
-
-    judged = texts.join(found, "id", "left").mapInArrow(judge, "id string, " + RESULT)
-    return keyed.join(judged.withColumnRenamed("id", key), key)
+    sizes = items.select(F.col("id").alias("class"), F.length("text").cast("long").alias("size"))
+    near = saved(doc_prints.join(item_prints, "print").select("id", "class").distinct().join(sizes, "class"), "near-items")
+    parts = near.groupBy("id").agg(F.ceil(F.sum("size") / TOGETHER).alias("parts"))
+    part = F.pmod(F.xxhash64("class"), F.col("parts")).alias("part")
+    dealt = near.join(parts, "id").select("id", "class", part).join(items.withColumnRenamed("id", "class"), "class")
+    asked = dealt.groupBy("id", "part").agg(F.collect_list(F.struct("class", "text")).alias("items")).join(texts, "id").select("id", "text", "items")
+    met = saved(asked.mapInArrow(_stretches(window, gram), "id string, starts array<long>, ends array<long>, classes array<string>"), "item-hits")
+    spans = met.select("id", F.explode(F.arrays_zip("starts", "ends")).alias("s")).select("id", "s.starts", "s.ends")
+    before = Window.partitionBy("id").orderBy("starts", "ends").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.col("ends") - F.greatest("starts", F.coalesce(F.max("ends").over(before), F.lit(0)))
+    n_hit = spans.select("id", F.greatest(fresh, F.lit(0)).alias("n")).groupBy("id").agg(F.sum("n").alias("n_hit"))
+    hit = met.select("id", F.explode("classes").alias("class")).join(names, "class").groupBy("id").agg(F.sort_array(F.collect_set("item_id")).alias("names"))
+    counted = texts.mapInArrow(_word_counts, "id string, n_words long").join(n_hit, "id", "left").join(hit, "id", "left")
+    n = F.coalesce("n_hit", F.lit(0)).cast("long")
+    judged = counted.select(
+        F.col("id").alias(key), "n_words", n.alias("n_hit"), F.coalesce(F.size("names"), F.lit(0)).cast("long").alias("n_items"),
+        F.sha2(F.coalesce(F.array_join("names", ","), F.lit("")), 256).alias("items_sha256"), ((n > 0) & (n * one_in >= F.col("n_words"))).alias("contaminated"),
+    )
+    return keyed.join(judged, key)
 
 
 ORACLE = r"""

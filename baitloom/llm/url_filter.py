@@ -9,7 +9,8 @@ it: it lies where the two classes' error rates are least in sum.
 
 Counts cover every other decided row of the table and are exact: a context or gram of
 up to six bytes is its own key. Up to 2^`bits` keys are broadcast. Beyond, they are
-joined to the distinct grams of the distinct URLs, which gives the same scores.
+joined to the distinct grams of the distinct URLs, which gives the same scores; only
+those of no letter or one before, 66,307 at most, are broadcast, for every gram asks for them.
 
 A null URL, and one without "://", has an empty host and path and no rule; it
 scores 0, as one does that has neither after "://". One with a path only is scored
@@ -36,6 +37,8 @@ from ._store import free_name, saved
 # Host, path and verdict of the rules.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 ORDER, BITS, STRENGTH, CELLS, ASIDE = 5, 21, 3.0, 4096, 5
+#: Keys of orders 0 and 1 are below; there are at most 257 * 257 + 257 + 1 of them.
+SHORT = 2 << 9 * (ORDER + 1)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -142,7 +145,10 @@ def _joined_scores(targets: DataFrame, counts: DataFrame) -> DataFrame:
     wanted = [F.struct(F.lit(2 * k + j).alias("i"), x.alias("key")) for k, pair in enumerate(_keys(F.col("gram"))) for j, x in enumerate(pair)]
     rows = parts.select("gram").distinct().select("gram", F.explode(F.array(*wanted)).alias("w")).select("gram", "w.i", "w.key")
     n = [F.max(F.when(F.col("i") == i, F.coalesce(f"n{y}", F.lit(0)))).alias(f"c{y}_{i}") for i in range(2 * ORDER + 2) for y in (0, 1)]
-    wide = rows.join(counts, "key", "left").groupBy("gram").agg(*n)
+    # every gram asks for the empty context, and many for that of one letter: these few counts go to the grams
+    short = F.broadcast(counts.where(F.col("key") < SHORT))
+    found = rows.where(F.col("key") < SHORT).join(short, "key", "left").unionByName(rows.where(F.col("key") >= SHORT).join(counts.where(F.col("key") >= SHORT), "key", "left"))
+    wide = found.groupBy("gram").agg(*n)
     logs = []
     for y in (0, 1):
         p = F.lit(1 / 256)

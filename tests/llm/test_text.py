@@ -104,10 +104,12 @@ def brute_contamination(rows, items):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("limit", [2_000_000, 0])
-def test_contamination(spark, limit):
-    items = [(1, prose(9, 40)), (10, prose(9, 40)), (2, "Short item"), (3, None), (4, "..."), (None, prose(8, 20)), (5, prose(7, 13))]
-    rows = [*ODD, (50, prose(3, 30) + " " + prose(9, 40).upper() + " tail"), (51, "a short ITEM here"), (52, prose(7, 13)), (53, prose(7, 12)), (54, prose(3, 2000) + " " + prose(7, 13))]
+@pytest.mark.parametrize("limit, together", [(2_000_000, 0), (0, 1 << 22), (0, 50)])
+def test_contamination(spark, monkeypatch, limit, together):
+    """By a broadcast, and by joins with all items of a document at once or in many parts."""
+    monkeypatch.setattr(decontaminate, "TOGETHER", together)
+    items = [(1, prose(9, 40)), (10, prose(9, 40)), (2, "Short item"), (3, None), (4, "..."), (None, prose(8, 20)), (5, prose(7, 13)), (6, prose(9, 40) + " " + prose(6, 20)), (7, prose(9, 60)), (7, "short")]
+    rows = [*ODD, (50, prose(3, 30) + " " + prose(9, 40).upper() + " tail"), (50, prose(3, 30) + " " + prose(9, 40).upper() + " tail"), (55, prose(9, 55) + " Short " + prose(6, 20)), (51, "a short ITEM here"), (52, prose(7, 13)), (53, prose(7, 12)), (54, prose(3, 2000) + " " + prose(7, 13))]
     table = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.decontaminate(docs(spark, rows), table, broadcast_words=limit)
     assert sorted((tuple(r[c] for c in ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for r in got.collect()), key=str) == brute_contamination(rows, items)
