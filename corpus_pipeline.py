@@ -1,7 +1,9 @@
 """A training corpus from raw documents, in five stages.
 
 Each stage takes what its predecessor kept. All but the last return the columns
-of documents.
+of documents, whatever they are: other columns pass through, and one that has the name of
+something that a stage makes keeps its own values. Repeated rows are judged each for itself,
+texts count whole, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,23 +21,35 @@ from baitloom.llm.toxicity import fit, score_toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not call toxic."""
+    """Documents that the classifier does not call toxic.
+
+    A null text counts as empty, and without labels of both classes nothing goes.
+    """
     model = fit(docs, table(spark, sf_dir, "labels"))
     return score_toxicity(docs, model).where("predicted = 0").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near copies."""
+    """The document of least id of each group of near copies.
+
+    Documents with a null or wordless text, or a null id, resemble nothing and stay.
+    """
     return keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not hold the benchmark."""
+    """Documents that do not hold the benchmark.
+
+    Null and wordless texts hold nothing and stay; without items everything stays.
+    """
     return decontaminate(docs, table(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced by their kind and n_chars brought up to date."""
+    """All documents, with secrets replaced by their kind and n_chars brought up to date.
+
+    Null texts stay null; n_chars changes only where a secret was found.
+    """
     found = scan_secrets(docs, redact=True)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -44,7 +58,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, and how many pieces its text has, their digest, and whether they decode to the text."""
+    """doc_id, and how many pieces its text has, their digest, and whether they decode to the text.
+
+    A null or empty text has no pieces; a null id stays null.
+    """
     return digest(docs, keep=["doc_id"])
 
 
