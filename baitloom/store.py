@@ -46,6 +46,19 @@ def saved(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(to)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more, such as those that a round has replaced. What lies outside the folder of scratch() stays."""
+    for frame in frames:
+        context = frame.sparkSession.sparkContext
+        hadoop, uri = context._jvm.org.apache.hadoop.fs, context._jvm.java.net.URI
+        root = context.getCheckpointDir()
+        home = root and hadoop.Path(root).toUri().getPath() + "/"
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            path = hadoop.Path(uri(folder))
+            if home and path.toUri().getPath().startswith(home):
+                path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def free_name(name: str, taken: Iterable[str]) -> str:
     """A column name that is not among those taken, whatever their case."""
     used = {x.lower() for x in taken}

@@ -43,3 +43,19 @@ def test_tables(spark, tmp_path):
     assert tuple(spark.read.csv(str(tmp_path / "s.csv"), header=True).first()) == ("a", "1.235")
     S.write_report_tsv(stats, str(tmp_path / "r.tsv"))
     assert spark.read.csv(str(tmp_path / "r.tsv"), sep="\t", header=True).columns == ["target_id", "c0"]
+
+
+def test_replaced_tables_are_deleted(spark, tmp_path):
+    """Tables of the shared folder go, all others stay."""
+    from pathlib import Path
+    from urllib.parse import unquote, urlparse
+
+    from baitloom.store import discard, saved
+
+    written = saved(spark.range(5).toDF("id"), "a table")
+    spark.range(3).write.parquet(own := str(tmp_path / "own table"))
+    folder = {f.rsplit("/", 1)[0] for f in written.inputFiles()}
+    assert len(folder) == 1
+    discard(written, spark.read.parquet(own))
+    assert not Path(unquote(urlparse(folder.pop()).path)).exists()
+    assert spark.read.parquet(own).count() == 3
