@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..store import free_name, numbered, saved, scratch
+from ..store import discard, free_name, numbered, saved, scratch
 
-__all__ = ["components", "free_name", "numbered", "saved", "scratch", "sized"]
+__all__ = ["components", "discard", "free_name", "numbered", "saved", "scratch", "sized"]
 
 
 def sized(frame: DataFrame, rows: int, most: int) -> DataFrame:

@@ -128,3 +128,37 @@ def test_pages_of_the_table_without_article_tags(spark):
     bare = pages.withColumn("html", F.regexp_replace("html", "</?article[^>]*>", ""))
     text = lambda p: sorted((r.page_id, r.text) for r in html_text.extract_text(p).collect())
     assert text(bare) == text(pages)
+
+
+def test_every_labelled_document_trains(spark):
+    """4,800 toxic rows of which each fourth shares a rare word: all of these words are learned, however the rows lie and are sharded; nothing is drawn."""
+    from baitloom.llm import toxicity
+
+    spelled = lambda n: "".join("qwertyuiop"[int(x)] for x in f"{n:04}")
+    made = [(i, f"some words {spelled(i // 4) if i < 6000 else 'plain' + spelled(i % 9)} here", "en", int(i < 6000)) for i in range(6600)]
+    rows = spark.createDataFrame(made, "doc_id long, text string, lang string, toxic int")
+    docs, labels = rows.drop("toxic"), rows.select("doc_id", "toxic")
+    model = toxicity.fit(docs.repartition(7), labels, shard_rows=1000)
+    learns = rows.where(~toxicity.held_out(F.col("doc_id"))).where("toxic = 1 AND xxhash64(doc_id, 7) % 5 <> 0")
+    words = [r[0] for r in learns.groupBy(F.split("text", " ")[2].alias("word")).count().where("count > 1").collect()]
+    data, offs = toxicity.flat(pa.array(words))
+    ids, first = toxicity.buckets(data, offs)
+    own = ids[first[:-1], 0]
+    own = own[~np.isin(own, toxicity.buckets(*toxicity.flat(pa.array([made[i][1] for i in range(6000, 6009)])))[0][:, 0])]  # not by chance a bucket of clean texts
+    assert len(own) > 1000 and (model.emb[own, 0] > 0.2).all()
+    again = toxicity.fit(docs.coalesce(1), labels, shard_rows=1000)
+    assert np.array_equal(model.emb, again.emb) and np.array_equal(model.thresholds, again.thresholds)
+
+
+def test_toxicity_threshold_against_all_cuts():
+    """The threshold from counts against every cut of the rows."""
+    from baitloom.llm import toxicity
+
+    rng = np.random.default_rng(4)
+    for n in (2, 30, 300):
+        toxic = np.arange(n) % 3 == 0
+        step = rng.integers(-40, 40, n) + 25 * toxic
+        step, toxic = np.append(step, [3, 3]), np.append(toxic, [True, False])
+        cut = toxicity._threshold(np.stack([toxic, step, np.ones(len(step))], 1).astype(np.int64)) * toxicity.GRID
+        wrong = lambda c: np.mean(step[toxic] < c) + toxicity.FALSE_ALARM * np.mean(step[~toxic] > c)  # noqa: E731, B023
+        assert abs(wrong(cut) - min(wrong(c + 0.5) for c in range(-42, 68))) < 1e-9
