@@ -7,8 +7,8 @@ pairs among them of which one is new are scored, and each node keeps its best:
 neighbours of neighbours become neighbours. Rounds end when few lists change.
 
 A query starts at its own node. In each round its best nodes that were not yet
-expanded are joined with their neighbour lists, which hold the neighbours'
-vectors; the best `pool` of all nodes seen stay, until all of them were expanded
+expanded, each time up to twice as many, are joined with their neighbour lists, which hold the neighbours'
+vectors; the best `pool` of all nodes seen stay, beside the query's vector, until all of them were expanded
 or the last round is over. The best are scored again in double precision on the
 original vectors, and nodes give way to the rows of their vector.
 
@@ -38,9 +38,10 @@ from ._store import saved
 
 #: Neighbours and reverse neighbours of a node, rows compared in a first block, orders of first blocks, rounds at most, and what a member learns of one list at most.
 NEIGHBOURS, REVERSE, BLOCK, ORDERS, DESCENTS, LEARNT = 24, 24, 512, 4, 4, 6
-#: Of a search: nodes kept, nodes expanded in a round, and nodes scored exactly in the end (twice those asked for, if that is more).
+#: Of a search: nodes kept, nodes expanded in a first round, and nodes scored exactly in the end (twice those asked for, if that is more).
 POOL, EXPAND, EXACT = 448, 64, 64
 _LISTS = "node long, ids binary, scores binary, fresh binary"
+_POOLS = f"{_LISTS}, vec binary"
 
 
 def _valid(embedding: str) -> Column:
@@ -178,6 +179,25 @@ def _merge(lists: DataFrame, k: int) -> DataFrame:
     return lists.repartition("node").sortWithinPartitions("node").mapInArrow(_merged(k), _LISTS)
 
 
+def _pooled(k: int):
+    """As _merged, for pools with the vector of their query, which one or more of a node's rows have."""
+    merged = _merged(k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vecs: dict[int, bytes] = {}
+
+        def lists() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                known = batch.filter(batch.column(4).is_valid())
+                vecs.update(zip(known.column(0).to_pylist(), known.column(4).to_pylist(), strict=True))
+                yield pa.RecordBatch.from_arrays(batch.columns[:4], ["node", "ids", "scores", "fresh"])
+
+        for batch in merged(lists()):  # in order of node: what is out needs its vector no more
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([vecs.pop(x) for x in batch.column(0).to_pylist()], pa.binary())], [*batch.schema.names, "vec"])
+
+    return run
+
+
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lists to edges (a, b, score, fresh)."""
     for batch in batches:
@@ -320,7 +340,8 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ids_out.append(ids[good])
                 scores_out.append(scores[good])
         if keep:
-            yield _as_lists(nodes[keep], ids_out, scores_out, [np.ones(len(x), bool) for x in ids_out])
+            lists = _as_lists(nodes[keep], ids_out, scores_out, [np.ones(len(x), bool) for x in ids_out])
+            yield pa.RecordBatch.from_arrays([*lists.columns, pa.nulls(len(keep), pa.binary())], [*lists.schema.names, "vec"])
 
 
 def _frontier(expand: int, pool: int):
@@ -349,7 +370,7 @@ def _expanded(expand: int):
                 x = np.frombuffer(x, bool).copy()
                 x[np.flatnonzero(x)[:expand]] = False
                 fresh.append(x.tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fresh, pa.binary())], ["node", "ids", "scores", "fresh"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fresh, pa.binary()), batch.column(4)], ["node", "ids", "scores", "fresh", "vec"])
 
     return run
 
@@ -366,13 +387,16 @@ def search(queries: DataFrame, graph: DataFrame, halves: DataFrame, *, pool: int
     layout = layout.withColumnRenamed("node", "b").repartition(parts, "b").persist()
     # the own node is kept apart: lists never hold their node itself
     start = queries.select(F.col("node").alias("query"), "vec", F.lit(-9.0).cast("float").alias("least"), F.col("node").alias("b"))
-    pools, narrow, left = None, queries.select("node", "vec"), 1
+    # a query's first pool is empty, and keeps its vector
+    empty = queries.select("node", *(F.lit(bytearray()).alias(c) for c in ("ids", "scores", "fresh")), "vec")
+    pools, left = None, 1
     try:
-        for _ in itertools.count() if rounds is None else range(rounds):
-            asked = start if pools is None else pools.join(narrow, "node").select("node", "ids", "scores", "fresh", "vec").mapInArrow(_frontier(expand, pool), "query long, vec binary, least float, b long")
-            found = asked.join(layout, "b").select("query", "vec", "least", "ids", "vecs").mapInArrow(_expand, _LISTS)
-            found = found if pools is None else pools.mapInArrow(_expanded(expand), _LISTS).unionByName(found)
-            pools = saved(_merge(found, pool), "ann-pools")
+        for k in itertools.count() if rounds is None else range(rounds):
+            most = min(pool, expand << min(k, 16))  # few rounds, each of which is a shuffle or two, whatever the size
+            asked = start if pools is None else pools.mapInArrow(_frontier(most, pool), "query long, vec binary, least float, b long")
+            found = asked.join(layout, "b").select("query", "vec", "least", "ids", "vecs").mapInArrow(_expand, _POOLS)
+            found = found.unionByName(empty if pools is None else pools.mapInArrow(_expanded(most), _POOLS))
+            pools = saved(found.repartition("node").sortWithinPartitions("node").mapInArrow(_pooled(pool), _POOLS), "ann-pools")
             left = pools.mapInArrow(_fresh_count, "fresh long, all long").agg(F.sum("fresh")).first()[0]
             if not left:
                 break
@@ -380,7 +404,7 @@ def search(queries: DataFrame, graph: DataFrame, halves: DataFrame, *, pool: int
         layout.unpersist()
     if left:
         warnings.warn(f"the search ended after {rounds} rounds with {left} nodes not expanded", stacklevel=2)
-    best = pools.mapInArrow(_edges, "a long, b long, score float, fresh boolean")
+    best = pools.select("node", "ids", "scores", "fresh").mapInArrow(_edges, "a long, b long, score float, fresh boolean")
     rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("score"), "b"))
     return best.withColumn("rank", rank).where(F.col("rank") <= exact).select(F.col("a").alias("query"), F.col("b").alias("node"))
 

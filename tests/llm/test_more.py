@@ -162,3 +162,16 @@ def test_toxicity_threshold_against_all_cuts():
         cut = toxicity._threshold(np.stack([toxic, step, np.ones(len(step))], 1).astype(np.int64)) * toxicity.GRID
         wrong = lambda c: np.mean(step[toxic] < c) + toxicity.FALSE_ALARM * np.mean(step[~toxic] > c)  # noqa: E731, B023
         assert abs(wrong(cut) - min(wrong(c + 0.5) for c in range(-42, 68))) < 1e-9
+
+
+def test_search_takes_few_rounds(spark, monkeypatch):
+    """A pool of 448 is expanded to its end in fewer rounds than 448 / 64, and its queries find nearly all of their nearest."""
+    from baitloom.llm import neighbours
+
+    rounds = []
+    monkeypatch.setattr(neighbours, "saved", lambda frame, name, f=neighbours.saved: (rounds.append(name), f(frame, name))[1])
+    x = np.random.default_rng(3).normal(size=(1500, 16))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id) for r in neighbours.nearest(rows, F.col("vec_id") % 100 == 0).collect()}
+    want = {(q, int(i)) for q in range(0, 1500, 100) for i in [i for i in np.argsort(-(x @ x[q])) if i != q][:20]}
+    assert len(got) == 300 and len(got & want) >= 285 and rounds.count("ann-pools") <= 7
