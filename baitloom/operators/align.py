@@ -16,6 +16,7 @@ each for itself. Letters other than A, C, G and T match nothing; case is ignored
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ _CODE[np.frombuffer(b"ACGTacgt", np.uint8)] = [0, 1, 2, 3, 0, 1, 2, 3]
 MATCH, MISMATCH = 1, -2
 #: Of banded alignments, twice the score: a match, a mismatch and a gap's letter.
 DOUBLED, REACH = (2, -4, -5), 16
-PROBES_AT_ONCE, CHUNK, HITS_AT_ONCE, ROWS_AT_ONCE = 20_000, 16_384, 1 << 20, 1 << 15
+PROBES_AT_ONCE, CHUNK, HITS_AT_ONCE, ROWS_AT_ONCE, BANDS_AT_ONCE = 20_000, 16_384, 1 << 20, 1 << 15, 2048
 ALIGNMENT = "probe_id string, target_id {0}, pident double, length int, mismatch int, gapopen int, qstart int, qend int, sstart int, send int, score int"
 
 
@@ -207,6 +208,26 @@ def banded(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(best)
 
 
+def band_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each row the score that banded finds, and nothing else: gaps along the band are a running maximum, and no cell knows where it came from."""
+    match, mismatch, gap = DOUBLED
+    n, width = a.shape
+    band = 2 * REACH + 1
+    probe, on = np.ascontiguousarray(np.where(a < 4, a, 9).T), np.ascontiguousarray(b.T)
+    ramp = (np.arange(band, dtype=np.int16) * -gap)[:, None]
+    step = np.array([mismatch, match], np.int16)
+    row, best = np.zeros((band, n), np.int16), np.zeros(n, np.int16)
+    for i in range(width):
+        new = row + step[(on[i : i + band] == probe[i]).view(np.uint8)]
+        np.maximum(new[:-1], row[1:] + np.int16(gap), out=new[:-1])
+        new += ramp
+        np.maximum.accumulate(new, axis=0, out=new)
+        new -= ramp
+        row = np.maximum(new, 0, out=new)
+        np.maximum(best, row.max(axis=0), out=best)
+    return best
+
+
 def _bands(row: np.ndarray, diag: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray]:
     """One diagonal for all of a row in the same stretch of REACH, its middle; stretches lie on the target as a whole."""
     made = np.unique(np.stack([row, (diag + at) // REACH]), axis=1)
@@ -237,48 +258,84 @@ def _inside_a_better(row: np.ndarray, score: np.ndarray, ranges: np.ndarray) ->
 def _matched(shared, min_id: float, min_len: int, min_score: int, gapped: bool):
     """(target_id, at, piece) to alignments with a block of probes; a chunk has those whose diagonal lies in its own part."""
 
-    def hits(index: Index, codes: np.ndarray, at: int) -> list[np.ndarray]:
-        """Row, score, first and last on the probe and on the target, equal letters, columns, gaps."""
+    match, mismatch, gap = DOUBLED
+    # what a hit must reach at least: equal letters, and twice the score of the shortest one
+    equal = math.ceil(min_id * min_len / 100 - 1e-6)
+    each = (match - gap) * min_id / 100 + gap
+    least = max(2, 2 * min_score, math.ceil(each * min_len - 1e-6) if each > 0 else 2)
+
+    def candidates(index: Index, i: int, codes: np.ndarray, at: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """Chunk, row, diagonal, the row's letters and the chunk's beside them, of diagonals or bands with a common word; a bounded number at a time."""
         width = index.codes.shape[1]
         row, diag = index.diagonals(codes)
         if gapped:
             row, diag = _bands(row, diag, at)
-        parts: list[list[np.ndarray]] = []
         for lo in range(0, len(row), ROWS_AT_ONCE):
             r, d = row[lo : lo + ROWS_AT_ONCE], diag[lo : lo + ROWS_AT_ONCE]
-            if gapped:
-                score, first, last, low, high, same, length, gaps = banded(index.codes[r], laid_on(codes, d - REACH, width + 2 * REACH))
-                score, low, high = score // 2, d - REACH + low, d - REACH + high
-            else:
-                score, first, last, same = best_segments(index.codes[r], laid_on(codes, d, width))
-                length, gaps, low, high = last - first + 1, np.zeros(len(r), np.int32), d + first, d + last
-            good = (same * 100.0 >= min_id * length) & (length >= min_len) & (score >= min_score) & (score > 0)
-            parts.append([x[good] for x in (r, score, first, last, low, high, same, length, gaps, d)])
-        found = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 10
-        by = np.lexsort((found[2], found[4], found[0]))
+            a, b = index.codes[r], laid_on(codes, d - REACH, width + 2 * REACH) if gapped else laid_on(codes, d, width)
+            if not gapped:
+                able = np.count_nonzero((a == b) & (a < 4), axis=1) >= equal
+                r, d, a, b = r[able], d[able], a[able], b[able]
+            yield np.full(len(r), i), r, d, a, b
+
+    def measured(parts: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+        """Chunk, row, score, first and last on the probe and on the target, equal letters, columns, gaps, diagonal of hits, of the candidates of many chunks at once."""
+        i, r, d, a, b = (np.concatenate(x) for x in zip(*parts, strict=True))
+        if gapped:
+            able = np.concatenate([np.zeros(0, bool), *(band_scores(a[x : x + BANDS_AT_ONCE], b[x : x + BANDS_AT_ONCE]) >= least for x in range(0, len(r), BANDS_AT_ONCE))])
+            i, r, d, a, b = i[able], r[able], d[able], a[able], b[able]
+        if not len(r):
+            return [np.zeros(0, np.int64)] * 11
+        if gapped:
+            score, first, last, low, high, same, length, gaps = banded(a, b)
+            score, low, high = score // 2, d - REACH + low, d - REACH + high
+        else:
+            score, first, last, same = best_segments(a, b)
+            length, gaps, low, high = last - first + 1, np.zeros(len(r), np.int32), d + first, d + last
+        good = (same * 100.0 >= min_id * length) & (length >= min_len) & (score >= min_score) & (score > 0)
+        return [x[good] for x in (i, r, score, first, last, low, high, same, length, gaps, d)]
+
+    def alignments(batch: pa.RecordBatch, starts: np.ndarray, parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        """Hits of whole chunks, less those inside better ones, as alignments."""
+        ids, minus, index = shared.value
+        width = index.codes.shape[1]
+        found = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        if not len(found[0]):
+            return
+        by = np.lexsort((found[3], found[5], found[1], found[0]))
         found = [x[by] for x in found]
-        keep = ~_inside_a_better(found[0], found[1], np.stack(found[2:6]))
-        return [x[keep] for x in found]
+        keep = ~_inside_a_better(found[0] * len(index.codes) + found[1], found[2], np.stack(found[3:7]))
+        at = starts[found[0]]
+        own = keep & (found[10] < width + CHUNK) & ((found[10] >= width) | (at == 0))
+        i, row, score, first, last, low, high, same, length, gaps, _ = (x[own] for x in found)
+        if not len(row):
+            return
+        size, back, at = index.lengths[row], minus[row], at[own]
+        low, high = low + at + 1, high + at + 1
+        cast = lambda x: pa.array(np.asarray(x), pa.int32())
+        made = [
+            ids.take(pa.array(row)), batch.column(0).take(pa.array(i)), pa.array(same * 100.0 / length), cast(length), cast(length - same - _gap_letters(first, last, low, high, length)), cast(gaps),
+            cast(np.where(back, size - last, first + 1)), cast(np.where(back, size - first, last + 1)), cast(np.where(back, high, low)), cast(np.where(back, low, high)), cast(score),
+        ]
+        yield pa.RecordBatch.from_arrays(made, ["probe_id", "target_id", "pident", "length", "mismatch", "gapopen", "qstart", "qend", "sstart", "send", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, minus, index = shared.value
-        width = index.codes.shape[1]
+        index = shared.value[2]
         for batch in batches:
-            for i, (at, piece) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            starts, pool, n, found = batch.column(1).to_numpy().astype(np.int64), [], 0, []
+            for i, piece in enumerate(batch.column(2).to_pylist()):
                 codes = _CODE[np.frombuffer(piece.encode("ascii", "replace"), np.uint8)]
-                found = hits(index, codes, at)
-                own = (found[9] < width + CHUNK) & ((found[9] >= width) | (at == 0))
-                row, score, first, last, low, high, same, length, gaps, _ = (x[own] for x in found)
-                if not len(row):
-                    continue
-                size, back = index.lengths[row], minus[row]
-                low, high = low + at + 1, high + at + 1
-                cast = lambda x: pa.array(np.asarray(x), pa.int32())
-                made = [
-                    ids.take(pa.array(row)), batch.column(0).take(pa.array(np.full(len(row), i))), pa.array(same * 100.0 / length), cast(length), cast(length - same - _gap_letters(first, last, low, high, length)), cast(gaps),
-                    cast(np.where(back, size - last, first + 1)), cast(np.where(back, size - first, last + 1)), cast(np.where(back, high, low)), cast(np.where(back, low, high)), cast(score),
-                ]
-                yield pa.RecordBatch.from_arrays(made, ["probe_id", "target_id", "pident", "length", "mismatch", "gapopen", "qstart", "qend", "sstart", "send", "score"])
+                for part in candidates(index, i, codes, int(starts[i])):
+                    pool.append(part)
+                    n += len(part[0])
+                    if n >= ROWS_AT_ONCE:
+                        found.append(measured(pool))
+                        pool, n = [], 0
+                if found:  # a chunk's hits are judged together
+                    yield from alignments(batch, starts, [*found, *map(measured, [pool] if pool else [])])
+                    pool, n, found = [], 0, []
+            if pool:
+                yield from alignments(batch, starts, [measured(pool)])
 
     return run
 
